@@ -25,15 +25,10 @@ def squared_distance(cols: Sequence[str], center: Sequence[float]) -> Column:
     return reduce(add, [g * g for g in gaps])
 
 
-def nearest(distances: Sequence[str]) -> Column:
-    """Position of the smallest of the distance columns; ties go to the lower position.
+def nearest(distances: str) -> Column:
+    """Position of the smallest entry of an array column; ties go to the lower position.
 
-    A null distance (null feature) gives a null position.
+    An array of nulls (a null feature) gives a null position. Bind the array to a column
+    first: it is referred to twice.
     """
-    if not distances:
-        raise ValueError("at least one distance is needed")
-    low = F.least(*distances) if len(distances) > 1 else F.col(distances[0])
-    choice = F.when(F.col(distances[0]) == low, F.lit(0))
-    for position, name in enumerate(distances[1:], start=1):
-        choice = choice.when(F.col(name) == low, F.lit(position))
-    return choice.cast("int")
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")

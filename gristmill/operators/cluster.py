@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from multiprocessing.pool import ThreadPool
+from operator import add
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
@@ -33,11 +35,15 @@ def assign(
 ) -> DataFrame:
     """Add the number of the nearest centre (ties: the lower number; null part: null).
 
-    Two projections over each row: no join, no shuffle.
+    Two projections over each row: no join, no shuffle. The code grows with k x d only,
+    also where a later filter on the label is pushed below the projections.
     """
-    names = [f"_d{i}" for i in range(len(centers))]
-    distances = {n: squared_distance(cols, c) for n, c in zip(names, centers, strict=True)}
-    return df.withColumns(distances).withColumn(label, nearest(names)).drop(*names)
+    distances = F.array(*[squared_distance(cols, c) for c in centers])
+    return (
+        df.withColumn("_distances", distances)
+        .withColumn(label, nearest("_distances"))
+        .drop("_distances")
+    )
 
 
 def lloyd_step(
@@ -91,50 +97,46 @@ def silhouette(
     """One row ``silhouette``: mean squared-Euclidean silhouette of labels ``0..k-1``.
 
     Closed form: the mean distance of x to a cluster is ``|x|^2 + mean|y|^2 - 2 x.mean(y)``,
-    so two scans suffice and no pair of rows ever meets. Rows alone in their cluster
-    score 0; with fewer than two non-empty clusters the result is null.
+    so two scans suffice and no pair of rows ever meets. The first brings k x (d + 2)
+    numbers to the driver, the second is arithmetic on columns and literals. Rows alone
+    in their cluster score 0, unlabelled rows do not count; with fewer than two
+    non-empty clusters the result is null.
     """
-    d = len(cols)
-    rows = df.select(F.col(label).alias("_c"), *[F.col(c).alias(f"x{j}") for j, c in enumerate(cols)])
-    xs = [f"x{j}" for j in range(d)]
-    rows = rows.where(F.col("_c").isNotNull()).withColumn("_sq", squared_norm(xs))
-
-    per_cluster = rows.groupBy("_c").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("_sq").alias("sq"),
-        *[F.avg(x).alias(x) for x in xs],
+    xs = [f"x{j}" for j in range(len(cols))]
+    rows = df.select(
+        F.col(quoted(label)).cast("int").alias("c"),
+        *[F.col(quoted(name)).alias(x) for name, x in zip(cols, xs, strict=True)],
+    ).withColumn("sq", squared_norm(xs))
+
+    grouped = rows.groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("sq").alias("sq"), *[F.avg(x).alias(x) for x in xs]
+    )
+    found = {r["c"]: r for r in grouped.limit(k + 2).collect() if r["c"] is not None}
+    if any(not 0 <= c < k for c in found):
+        raise ValueError(f"{label} has values outside 0..{k - 1}, such as {max(found)}")
+    if len(found) < 2:
+        return df.sparkSession.createDataFrame([(None,)], "silhouette double")
+
+    def distance(stats):
+        cross = reduce(add, [F.col(x) * F.lit(stats[x]) for x in xs])
+        return F.col("sq") + F.lit(stats["sq"]) - 2 * cross
+
+    nothing = F.lit(None).cast("double")
+    to_cluster = F.array(*[distance(found[c]) if c in found else nothing for c in range(k)])
+    members = F.array(*[F.lit(float(found[c]["n"]) if c in found else 0.0) for c in range(k)])
+    far = rows.select("c", to_cluster.alias("d"), F.get(members, F.col("c")).alias("n"))
+    others = F.array(*[F.when(F.col("c") != c, F.get("d", F.lit(c))) for c in range(k)])
+    near = far.select(
+        "n",
+        (F.get("d", F.col("c")) * F.col("n") / F.nullif(F.col("n") - 1, F.lit(0.0))).alias("a"),
+        F.array_min(others).alias("b"),
     )
-    # k rows of statistics folded into one struct, which every task gets as a scalar.
-    fields = ["n", "sq", *xs]
-    folded = per_cluster.agg(
-        F.struct(
-            *[
-                F.max(F.when(F.col("_c") == i, F.struct(*fields))).alias(f"c{i}")
-                for i in range(k)
-            ]
-        ).alias("_stats")
-    ).scalar()
-
-    def distance(i):
-        s = F.col("_stats")[f"c{i}"]
-        cross = sum((F.col(x) * s[x] for x in xs[1:]), F.col(xs[0]) * s[xs[0]])
-        return F.col("_sq") + s["sq"] - 2 * cross
-
-    far = rows.withColumn("_stats", folded).withColumns({f"d{i}": distance(i) for i in range(k)})
-    label_is = [F.col("_c") == i for i in range(k)]
-    own_d = F.coalesce(*[F.when(label_is[i], F.col(f"d{i}")) for i in range(k)])
-    own_n = F.coalesce(*[F.when(label_is[i], F.col("_stats")[f"c{i}"]["n"]) for i in range(k)])
-    others = [F.when(~label_is[i], F.col(f"d{i}")) for i in range(k)]
-    other_d = F.least(*others) if k > 1 else F.lit(None).cast("double")
-    near = far.select(own_d.alias("own_d"), own_n.alias("own_n"), other_d.alias("b"))
-    scored = near.withColumn("a", F.col("own_d") * F.col("own_n") / (F.col("own_n") - 1.0))
     widest = F.greatest("a", "b")
     score = (
-        F.when(F.col("b").isNull(), F.lit(None).cast("double"))
-        .when((F.col("own_n") == 1) | (widest == 0), F.lit(0.0))
-        .otherwise((F.col("b") - F.col("a")) / widest)
+        F.when((F.col("n") == 1) | (widest == 0), F.lit(0.0))
+        .when(F.col("n") > 1, (F.col("b") - F.col("a")) / widest)
     )
-    return scored.agg(F.avg(score).alias("silhouette"))
+    return near.agg(F.avg(score).alias("silhouette"))
 
 
 def evaluate(

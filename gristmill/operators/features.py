@@ -31,30 +31,31 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
 
 
-def standardize(df: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFrame:
+def standardize(
+    df: DataFrame,
+    cols: Sequence[str],
+    prefix: str = "",
+    fitted: DataFrame | None = None,
+) -> DataFrame:
     """``(x - mean) / stddev`` per column; a constant column becomes 0, null stays null.
 
-    The moments are one row from a scalar subquery, so this is lazy and joins nothing.
+    The moments of ``df``, or those ``fitted`` on another table, are 2 x d numbers that
+    the driver reads and puts into the projection as literals: nothing is joined.
     ``prefix=""`` replaces the columns, any other prefix adds new ones.
     """
-    row = F.struct(
-        *[F.avg(F.col(quoted(c)).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[
-            F.coalesce(F.stddev_samp(F.col(quoted(c)).cast("double")), F.lit(0.0)).alias(f"s{i}")
-            for i, c in enumerate(cols)
-        ],
-    )
-    moment_row = df.agg(row.alias("_moments")).scalar()
-    # Bound to one column first: referring to the subquery itself d times would plan
-    # it d times.
-    held = df.withColumn("_moments", moment_row)
-    m = F.col("_moments")
+    known = moments(df, cols) if fitted is None else fitted
+    rows = {r["column"]: r for r in known.collect()}
     scaled = {}
-    for i, c in enumerate(cols):
-        gap = F.col(quoted(c)).cast("double") - m[f"m{i}"]
-        spread = m[f"s{i}"]
-        scaled[prefix + c] = F.when(spread == 0, gap * 0.0).otherwise(gap / spread)
-    return held.withColumns(scaled).drop("_moments")
+    for c in cols:
+        value = F.col(quoted(c)).cast("double")
+        mean, spread = rows[c]["mean"], rows[c]["stddev"]
+        if mean is None:
+            scaled[prefix + c] = F.lit(None).cast("double")
+        elif not spread:
+            scaled[prefix + c] = (value - F.lit(mean)) * 0.0
+        else:
+            scaled[prefix + c] = (value - F.lit(mean)) / F.lit(spread)
+    return df.withColumns(scaled)
 
 
 def medians(
