@@ -14,7 +14,7 @@ from gristmill.functions import quoted
 
 # An exact median finishes with one sorted window per column; the search narrows the
 # range until about this many distinct values are left for it.
-MEDIAN_WINDOW = 1_000_000
+MEDIAN_WINDOW = 50_000
 MEDIAN_SAMPLE = 1_000_000
 
 
@@ -155,9 +155,9 @@ def _propose(values, ranges, wide, sample, attempt) -> dict[int, tuple[float, fl
         middle = [(r[end] - r["below"]) / max(1, r["inside"] - 1) for end in ("first", "second")]
         ends = [max(0.0, middle[0] - r["reach"]), min(1.0, middle[1] + r["reach"])]
         share = min(1.0, sample / r["inside"])
-        drawn = v.between(F.lit(r["lo"]), F.lit(r["hi"])) & (F.rand(attempt) < F.lit(share))
+        drawn = v.between(F.lit(r["lo"]), F.lit(r["hi"])) & (F.col("draw") < F.lit(share))
         quantiles.append(F.percentile_approx(F.when(drawn, v), ends, 10_000).alias(f"q{i}"))
-    row = values.agg(*quantiles).first()
+    row = values.withColumn("draw", F.rand(attempt)).agg(*quantiles).first()
     found = {}
     for i in wide:
         pair = row[f"q{i}"]

@@ -31,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """A table for work that is heavy per row: a small file must not be one task."""
+    return sources.spread(table(spark, sf_dir, name).select(*cols))
+
+
 def rounded(df: DataFrame, cols, digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
 
@@ -51,7 +56,10 @@ def money(col) -> F.Column:
 @query
 def tsv_roundtrip_sum(spark, sf_dir):
     """lineitem as gzip TSV, read back as strings, parsed strictly."""
-    rows = table(spark, sf_dir, "lineitem").select(
+    items = spread_table(
+        spark, sf_dir, "lineitem", "l_returnflag", "l_quantity", "l_extendedprice"
+    )
+    rows = items.select(
         "l_returnflag",
         "l_quantity",
         F.translate(F.col("l_extendedprice").cast("string"), ".", ",").alias("price"),
@@ -69,7 +77,7 @@ def tsv_roundtrip_sum(spark, sf_dir):
 @query
 def multiline_csv_roundtrip(spark, sf_dir):
     """documents as CSV with line breaks inside quoted fields."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "lang", "text")
     path = sinks.write_delimited(docs, scratch.folder(spark, "multiline"), sep=",")
     read = sources.spread(sources.read_delimited(spark, path, sep=",", multiline=True))
     return read.select(
@@ -239,8 +247,8 @@ def parse_lenient(spark, sf_dir):
 @query
 def parse_lenient_documents(spark, sf_dir):
     """The first number inside every whole text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("number"))
-    return clean.parse_columns(docs, ["number"], mode="lenient")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text")
+    return clean.parse_columns(docs.withColumnRenamed("text", "number"), ["number"], "lenient")
 
 
 # ---- profiles ----------------------------------------------------------------------
@@ -248,12 +256,12 @@ def parse_lenient_documents(spark, sf_dir):
 
 @query
 def word_count_space(spark, sf_dir):
-    return text.word_count(table(spark, sf_dir, "documents"), "text", sep=" ")
+    return text.word_count(spread_table(spark, sf_dir, "documents", "text"), "text", sep=" ")
 
 
 @query
 def word_count_ws(spark, sf_dir):
-    return text.word_count(table(spark, sf_dir, "documents"), "text", sep=None)
+    return text.word_count(spread_table(spark, sf_dir, "documents", "text"), "text", sep=None)
 
 
 @query
