@@ -9,8 +9,8 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 from operator import add
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
-from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -151,7 +151,7 @@ def evaluate(
     )
     try:
         return evaluator.evaluate(predictions)
-    except IllegalArgumentException as refused:
+    except Py4JJavaError as refused:
         # Cheaper than counting the clusters first, which would be one more scan.
         if "greater than one" in str(refused):
             return None
