@@ -12,7 +12,9 @@ from gristmill.functions import key_rank
 from gristmill.functions.hashing import RANK_BITS
 
 SEED = 42
-RANK = "_rank"
+RANK, TIE = "_rank", "_tie"
+# Rows of one rank that may be ordered in one place; more are split by the next rank.
+TIED = 1_000_000
 
 
 def fraction(df: DataFrame, share: float, seed: int = SEED) -> DataFrame:
@@ -53,7 +55,10 @@ def to_target(
         return df
     if key is not None:
         if cap:
-            return lowest_ranks(df.withColumn(RANK, key_rank(key)), RANK, target).drop(RANK)
+            # Rows of an equal key are told apart by all their columns.
+            row = F.xxhash64(*df.columns).bitwiseAND(F.lit((1 << RANK_BITS) - 1))
+            ranked = df.withColumns({RANK: key_rank(key), TIE: row})
+            return lowest_ranks(ranked, [RANK, TIE], target).drop(RANK, TIE)
         return keyed(df, key, round(share * (1 << RANK_BITS)))
     drawn = fraction(df, share, seed)
     if not cap:
@@ -62,16 +67,18 @@ def to_target(
     # takes several jobs and all of them have to see the same draw.
     rank = (F.rand(seed) * float(1 << RANK_BITS)).cast("bigint")
     drawn = scratch.materialize(drawn.withColumn(RANK, rank), "draw")
-    return lowest_ranks(drawn, RANK, target).drop(RANK)
+    return lowest_ranks(drawn, [RANK], target).drop(RANK)
 
 
-def lowest_ranks(df: DataFrame, rank: str, n: int) -> DataFrame:
-    """Exactly the ``n`` rows of lowest rank (all rows when there are fewer).
+def lowest_ranks(df: DataFrame, ranks: Sequence[str], n: int, tied: int = TIED) -> DataFrame:
+    """Exactly the ``n`` first rows by 32-bit ranks (all rows when there are fewer).
 
     Neither a sort nor a global limit: two histograms of at most 65,536 counts locate
     the rank of the n-th row, lower ranks pass a plain filter, and only rows that share
-    this one rank go through a limit.
+    this one rank are ordered by the next. Should those be very many (one key holding
+    a large part of the table), the next rank is searched in the same way.
     """
+    rank, *rest = ranks
     half = RANK_BITS // 2
     coarse = F.shiftright(F.col(rank), half)
     fine = F.col(rank).bitwiseAND(F.lit((1 << half) - 1))
@@ -79,17 +86,22 @@ def lowest_ranks(df: DataFrame, rank: str, n: int) -> DataFrame:
     cut = _bucket_of(df, coarse, n)
     if cut is None:
         return df
-    high, left = cut
-    low, left = _bucket_of(df.where(coarse == F.lit(high)), fine, left)
+    high, left, _ = cut
+    low, left, ties = _bucket_of(df.where(coarse == F.lit(high)), fine, left)
     border = (high << half) + low
     below = df.where(F.col(rank) < F.lit(border))
-    return below.unionAll(df.where(F.col(rank) == F.lit(border)).limit(left))
+    at = df.where(F.col(rank) == F.lit(border))
+    if rest and ties > tied:
+        taken = lowest_ranks(at, rest, left, tied)
+    else:
+        taken = (at.orderBy(*rest) if rest else at).limit(left)
+    return below.unionAll(taken)
 
 
-def _bucket_of(df: DataFrame, bucket, n: int) -> tuple[int, int] | None:
-    """The bucket that holds the n-th row, and how many of its rows belong to the first n."""
+def _bucket_of(df: DataFrame, bucket, n: int) -> tuple[int, int, int] | None:
+    """The bucket of the n-th row, how many of its rows are among the first n, its size."""
     counts = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
     # The window sees one row per bucket, at most 65,536.
     upto = counts.select("b", "n", F.sum("n").over(Window.orderBy("b")).alias("upto"))
     hit = upto.where(F.col("upto") >= F.lit(n)).orderBy("b").first()
-    return None if hit is None else (hit["b"], n - (hit["upto"] - hit["n"]))
+    return None if hit is None else (hit["b"], n - (hit["upto"] - hit["n"]), hit["n"])

@@ -8,14 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
+_unnamed: dict[str, str] = {}
 
 
 def base(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where none is named."""
     named = spark.conf.get(CONF, None)
     if not named:
-        named = tempfile.mkdtemp(prefix="gristmill-")
-        spark.conf.set(CONF, named)
+        app = spark.sparkContext.applicationId
+        if app not in _unnamed:
+            _unnamed[app] = tempfile.mkdtemp(prefix="gristmill-")
+        named = _unnamed[app]
     return named.rstrip("/")
 
 

@@ -130,15 +130,25 @@ def test_exact_cap_with_a_hot_key(spark):
         assert sample.to_target(df, n, key="k", cap=True).count() == n
 
 
+@pytest.mark.parametrize("tied", [1, 1_000_000])
+def test_hot_rank_is_split_by_the_next(spark, tied):
+    hot = F.when(F.col("id") % 2 == 0, 500).otherwise(F.col("id"))
+    df = spark.range(1_000).select(hot.alias("r"), ((F.col("id") * 7919) % 1_000).alias("s"))
+    rows = sorted((500 if i % 2 == 0 else i, (i * 7919) % 1_000) for i in range(1_000))
+    for n in (250, 300, 700, 751):
+        got = sample.lowest_ranks(df, ["r", "s"], n, tied)
+        assert sorted(tuple(r) for r in got.collect()) == rows[:n]
+
+
 @pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 999, 1_000, 2_000])
 def test_lowest_ranks(spark, n):
     spread_out = (F.col("id") * 2_654_435_761) % (1 << 32)
     df = spark.range(1_000).withColumn("r", spread_out)
     want = sorted((i * 2_654_435_761) % (1 << 32) for i in range(1_000))[:n]
-    got = sorted(r["r"] for r in sample.lowest_ranks(df, "r", n).collect())
+    got = sorted(r["r"] for r in sample.lowest_ranks(df, ["r"], n).collect())
     assert got == want
 
 
 def test_lowest_ranks_with_equal_ranks(spark):
     df = spark.range(100).withColumn("r", F.lit(5))
-    assert sample.lowest_ranks(df, "r", 10).count() == 10
+    assert sample.lowest_ranks(df, ["r"], 10).count() == 10

@@ -1,6 +1,7 @@
 import glob
 import gzip
 import json
+import os
 
 import pytest
 from conftest import as_set, plan_of
@@ -135,3 +136,17 @@ def test_scratch_uses_the_named_folder(spark):
     df = scratch.materialize(spark.range(5).withColumn("r", F.rand()), "x")
     assert as_set(df) == as_set(df)
     assert "Range" not in plan_of(df)
+
+
+def test_scratch_where_no_folder_is_named():
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+        class sparkContext:
+            applicationId = "app-1"
+
+    assert scratch.base(Unset) == scratch.base(Unset)
+    assert os.path.isdir(scratch.base(Unset))

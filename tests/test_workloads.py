@@ -123,3 +123,30 @@ def test_train_caps_the_sample(spark, training_table, tmp_path):
     out = str(tmp_path / "predictions")
     plans.train_clusters(training_table, str(tmp_path / "m"), out, ks=[2], max_iter=2, max_rows=100)
     assert spark.read.parquet(out).count() <= 100
+
+
+def test_command_line(spark, products, training_table, tmp_path, capsys):
+    from gristmill.__main__ import main
+
+    main(["profile", "--input", products])
+    assert "Fat_100g" in capsys.readouterr().out
+    main(["prepare", "--input", products, "--out", str(tmp_path / "full")])
+    assert spark.read.parquet(str(tmp_path / "full")).count() == 240
+    table = str(tmp_path / "table")
+    training_table.write.parquet(table)
+    model = str(tmp_path / "model")
+    main(["train", "--input", table, "--format", "parquet", "--model-out", model, "--fast"])
+    # The trained columns of the first table are numbers only after parsing.
+    numbers = str(tmp_path / "numbers")
+    cols = ["energy_100g", "fat_100g", "carbohydrates_100g", "salt_100g"]
+    training_table.select(
+        "code", *[F.translate(c, ",", ".").try_cast("double").alias(c) for c in cols]
+    ).write.parquet(numbers)
+    labels = str(tmp_path / "labels")
+    main(["inspect", "--input", numbers, "--format", "parquet", "--model", model, "--predictions-out", labels])
+    assert "silhouette" in capsys.readouterr().out
+    assert spark.read.parquet(labels).count() == 243
+    words = str(tmp_path / "words")
+    main(["words", "--input", products, "--column", "product_name", "--out", words])
+    counts = {r["word"]: r["n"] for r in spark.read.parquet(words).collect()}
+    assert counts["name"] == 240
