@@ -14,6 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -200,7 +201,8 @@ class Sweep:
 
 
 def sweep(
-    vectors: DataFrame,
+    points: DataFrame,
+    cols: Sequence[str],
     ks: Iterable[int] = range(3, 11),
     max_iter: int = 50,
     tol: float = 1e-4,
@@ -210,24 +212,29 @@ def sweep(
     vector: str = "features",
     label: str = "prediction",
 ) -> Sweep:
-    """Fit and score every k; ``score_fraction`` scores on a Bernoulli sample instead.
+    """Fit and score every k on plain (scaled) columns; give it a table on storage.
 
-    ``parallelism`` fits that many k at once, which fills the cluster while one fit
-    waits for its slowest task; each running fit caches its own copy of the vectors.
+    Scoring assigns and averages in generated code, with the fitted centres as literals,
+    instead of unpacking vectors; the value is the one Spark ML's evaluator gives.
+    ``score_fraction`` scores on a Bernoulli sample of the points. ``parallelism`` fits
+    that many k at once, which fills the cluster while one fit waits for its slowest
+    task; each running fit caches its own copy of the vectors.
     """
     ks = sorted(set(ks))
-    vectors = vectors.select(vector)
+    cols = list(cols)
+    points = points.select(*[quoted(c) for c in cols])
+    vectors = features.assemble(points, cols, vector).select(vector)
+    scored = points if score_fraction is None else sample.fraction(points, score_fraction, seed)
 
     def one(k):
         model = fit(vectors, k, max_iter, tol, seed, vector, label)
-        # Thin the vectors first: the label depends on the row alone, so scoring the
-        # sample equals sampling the scored rows, at a fraction of the work.
-        scored = vectors if score_fraction is None else sample.fraction(vectors, score_fraction, seed)
-        return k, model, evaluate(model.transform(scored), label, vector)
+        found = model.clusterCenters()
+        labelled = assign(scored, cols, found, label)
+        return k, model, silhouette(labelled, cols, len(found), label).first()["silhouette"]
 
     if parallelism > 1 and len(ks) > 1:
         with ThreadPool(min(parallelism, len(ks))) as pool:
-            done = pool.map(inheritable_thread_target(vectors.sparkSession)(one), ks, chunksize=1)
+            done = pool.map(inheritable_thread_target(points.sparkSession)(one), ks, chunksize=1)
     else:
         done = [one(k) for k in ks]
 
@@ -236,7 +243,7 @@ def sweep(
     if not ranked:
         raise ValueError(f"no k of {ks} gave two non-empty clusters")
     best = max(ranked, key=lambda k: (silhouettes[k], -k))
-    scores = vectors.sparkSession.createDataFrame(list(silhouettes.items()), SWEEP_SCHEMA)
+    scores = points.sparkSession.createDataFrame(list(silhouettes.items()), SWEEP_SCHEMA)
     scores = scores.withColumn("is_best", F.col("k") == F.lit(best))
     return Sweep(scores, {k: model for k, model, _ in done}, best, silhouettes)
 
@@ -267,7 +274,8 @@ def train(
 ) -> Trained:
     """Prepare, sweep k, and join the best clustering to the preparation stages.
 
-    The prepared vectors are written once and every fit reads them there. The final
+    The prepared features are written once, as plain columns, and every fit and score
+    reads them there. The final
     model reuses the best fit of the sweep; ``refit=True`` fits preparation and k-means
     again on ``df``. ``partitions`` spreads an input of too few splits.
     """
@@ -275,11 +283,13 @@ def train(
     columns.require(df, cols)
     prepare = Pipeline(stages=features.stages(cols, impute_nulls, invalid))
     prepared = prepare.fit(df)
-    vectors = prepared.transform(df).select("features")
+    parts = vector_to_array("features")
+    names = [f"f{j}" for j in range(len(cols))]
+    points = prepared.transform(df).select(*[parts[j].alias(n) for j, n in enumerate(names)])
     if partitions is not None:
-        vectors = vectors.repartition(partitions)
-    vectors = scratch.materialize(vectors, "vectors")
-    found = sweep(vectors, ks, max_iter, tol, seed, score_fraction, parallelism)
+        points = points.repartition(partitions)
+    points = scratch.materialize(points, "points")
+    found = sweep(points, names, ks, max_iter, tol, seed, score_fraction, parallelism)
     candidates = {
         k: PipelineModel(stages=[*prepared.stages, model]) for k, model in found.models.items()
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,8 +14,10 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import quoted
 
-# An exact median finishes with one sorted window per column; the search narrows the
-# range until about this many distinct values are left for it.
+# Up to this many values per column the built-in exact median may hold them in one task.
+MEDIAN_DIRECT = 1_000_000
+# Beyond it the range around the middle is narrowed, until at most about this many
+# distinct values per column are left for a sorted window.
 MEDIAN_WINDOW = 50_000
 MEDIAN_SAMPLE = 1_000_000
 
@@ -63,6 +67,7 @@ def medians(
     cols: Sequence[str],
     exact: bool = False,
     accuracy: int = 1000,
+    direct: int = MEDIAN_DIRECT,
     window: int = MEDIAN_WINDOW,
     sample: int = MEDIAN_SAMPLE,
 ) -> DataFrame:
@@ -75,132 +80,141 @@ def medians(
     cols = list(cols)
     values = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(cols)])
     if not exact:
-        rows = [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.percentile_approx(f"v{i}", 0.5, accuracy).alias("median"),
-            )
-            for i, c in enumerate(cols)
-        ]
-        return values.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
-    ranges = _median_ranges(values, len(cols), window, sample)
+        return _per_column(values, cols, lambda v: F.percentile_approx(v, 0.5, accuracy))
+    counts = values.agg(*[F.count(f"v{i}") for i in range(len(cols))]).first()
+    if max(counts) <= direct:
+        return _per_column(values, cols, F.median)
+    ranges = _median_ranges(values, list(counts), window, sample)
     return _finish_medians(values, cols, ranges)
 
 
+def _per_column(values: DataFrame, cols: list[str], measure) -> DataFrame:
+    rows = [
+        F.struct(F.lit(c).alias("column"), measure(f"v{i}").alias("median"))
+        for i, c in enumerate(cols)
+    ]
+    return values.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+
+
 def _number(name: str):
     value = F.col(quoted(name)).cast("double")
     return F.when(~F.isnan(value), value)
 
 
-def _median_ranges(values: DataFrame, d: int, window: int, sample: int) -> list[dict]:
+def _median_ranges(
+    values: DataFrame, counts: list[int], window: int, sample: int
+) -> list[dict]:
     """Per column a closed value range that surely holds the middle values.
 
     A seeded sample proposes a narrow range, an exact count checks it. Every round is
-    two scans without a shuffle and brings two numbers per column to the driver. The
-    range shrinks to a fraction of a percent of the rows per round, whatever the
-    distribution; repeated values do not matter, since the size that counts is the
-    number of distinct values.
+    two scans without a shuffle and brings a few numbers per column to the driver. The
+    range shrinks to under a percent of its rows per round, whatever the distribution.
+    Repeated values do not matter, since the size that counts is the number of distinct
+    values: often the range is a single value, which then is the median.
     """
-    whole = values.agg(
-        *[F.count(f"v{i}").alias(f"n{i}") for i in range(d)],
-        *[F.approx_count_distinct(f"v{i}").alias(f"u{i}") for i in range(d)],
-    ).first()
+    reach = min(0.25, 4.0 / math.sqrt(sample))
     ranges = [
         {
             "lo": -math.inf,
             "hi": math.inf,
             "below": 0,
-            "inside": whole[f"n{i}"],
-            "distinct": whole[f"u{i}"],
-            "first": (whole[f"n{i}"] - 1) // 2,
-            "second": whole[f"n{i}"] // 2,
-            "reach": 4.0 / math.sqrt(sample),
+            "inside": n,
+            "distinct": n,
+            "first": (n - 1) // 2,
+            "second": n // 2,
+            "reach": reach,
         }
-        for i in range(d)
+        for n in counts
     ]
-    attempt = 0
-    while wide := [i for i in range(d) if ranges[i]["distinct"] > window]:
-        attempt += 1
-        proposals = _propose(values, ranges, wide, sample, attempt)
-        counts = values.agg(
-            *[
-                F.count_if(F.col(f"v{i}") < F.lit(lo)).alias(f"b{i}")
-                for i, (lo, _) in proposals.items()
-            ],
-            *[
-                F.count_if(F.col(f"v{i}").between(F.lit(lo), F.lit(hi))).alias(f"n{i}")
-                for i, (lo, hi) in proposals.items()
-            ],
-            *[
-                F.approx_count_distinct(
-                    F.when(F.col(f"v{i}").between(F.lit(lo), F.lit(hi)), F.col(f"v{i}"))
-                ).alias(f"u{i}")
-                for i, (lo, hi) in proposals.items()
-            ],
-        ).first()
+    seed = 0
+    while wide := [i for i, r in enumerate(ranges) if r["distinct"] > window]:
+        seed += 1
+        proposals = _propose(values, ranges, wide, sample, seed)
+        measures = []
+        for i, (lo, hi) in proposals.items():
+            v = F.col(f"v{i}")
+            inside = v.between(F.lit(lo), F.lit(hi))
+            measures += [
+                F.count_if(v < F.lit(lo)).alias(f"b{i}"),
+                F.count_if(inside).alias(f"n{i}"),
+                F.count_if(v == F.lit(lo)).alias(f"l{i}"),
+                F.count_if(v == F.lit(hi)).alias(f"h{i}"),
+                F.approx_count_distinct(F.when(inside, v)).alias(f"u{i}"),
+            ]
+        found = values.agg(*measures).first()
         for i, (lo, hi) in proposals.items():
-            r, below, inside = ranges[i], counts[f"b{i}"], counts[f"n{i}"]
-            if below <= r["first"] and r["second"] < below + inside:
-                distinct = counts[f"u{i}"] if lo < hi else 1
-                r.update(lo=lo, hi=hi, below=below, inside=inside, distinct=distinct)
-            else:
+            r, below, inside = ranges[i], found[f"b{i}"], found[f"n{i}"]
+            if not below <= r["first"] <= r["second"] < below + inside:
                 r["reach"] *= 2
+                continue
+            at_lo, at_hi, distinct = found[f"l{i}"], found[f"h{i}"], found[f"u{i}"]
+            if r["second"] < below + at_lo:
+                hi, inside = lo, at_lo
+            elif r["first"] >= below + inside - at_hi:
+                lo, below, inside = hi, below + inside - at_hi, at_hi
+            distinct = 1 if lo == hi else distinct
+            r.update(lo=lo, hi=hi, below=below, inside=inside, distinct=distinct, reach=reach)
     return ranges
 
 
-def _propose(values, ranges, wide, sample, attempt) -> dict[int, tuple[float, float]]:
+def _propose(values, ranges, wide, sample, seed) -> dict[int, tuple[float, float]]:
+    """Sample quantiles just below and above the middle of each too wide range."""
+    share = {i: min(1.0, sample / ranges[i]["inside"]) for i in wide}
+    most = max(share.values())
+    drawn = values.sample(False, most, seed).withColumn("draw", F.rand(seed) * most)
     quantiles = []
     for i in wide:
         r, v = ranges[i], F.col(f"v{i}")
         middle = [(r[end] - r["below"]) / max(1, r["inside"] - 1) for end in ("first", "second")]
         ends = [max(0.0, middle[0] - r["reach"]), min(1.0, middle[1] + r["reach"])]
-        share = min(1.0, sample / r["inside"])
-        drawn = v.between(F.lit(r["lo"]), F.lit(r["hi"])) & (F.col("draw") < F.lit(share))
-        quantiles.append(F.percentile_approx(F.when(drawn, v), ends, 10_000).alias(f"q{i}"))
-    row = values.withColumn("draw", F.rand(attempt)).agg(*quantiles).first()
-    found = {}
-    for i in wide:
-        pair = row[f"q{i}"]
-        # An empty draw proposes nothing narrower.
-        found[i] = (pair[0], pair[1]) if pair else (ranges[i]["lo"], ranges[i]["hi"])
-    return found
+        taken = v.between(F.lit(r["lo"]), F.lit(r["hi"])) & (F.col("draw") < F.lit(share[i]))
+        quantiles.append(F.percentile_approx(F.when(taken, v), ends, 10_000).alias(f"q{i}"))
+    row = drawn.agg(*quantiles).first()
+    # An empty draw proposes nothing narrower.
+    return {i: tuple(row[f"q{i}"] or (ranges[i]["lo"], ranges[i]["hi"])) for i in wide}
 
 
 def _finish_medians(values: DataFrame, cols: list[str], ranges: list[dict]) -> DataFrame:
     """Count each candidate value, then read the middle ranks off the running counts."""
+    spark = values.sparkSession
+    known = {i: r["lo"] for i, r in enumerate(ranges) if r["lo"] == r["hi"]}
+    names = spark.createDataFrame(
+        [(i, c, known.get(i)) for i, c in enumerate(cols)], "i int, column string, known double"
+    )
+    open_ranges = {i: r for i, r in enumerate(ranges) if i not in known and r["inside"] > 0}
+    if not open_ranges:
+        return names.select("column", F.col("known").alias("median"))
+
+    inside = {
+        i: F.col(f"v{i}").between(F.lit(r["lo"]), F.lit(r["hi"])) for i, r in open_ranges.items()
+    }
     candidates = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.when(
-                    F.col(f"v{i}").between(F.lit(r["lo"]), F.lit(r["hi"])), F.col(f"v{i}")
-                ).alias("value"),
-            )
-            for i, r in enumerate(ranges)
+            F.struct(F.lit(i).alias("i"), F.when(holds, F.col(f"v{i}")).alias("value"))
+            for i, holds in inside.items()
         ]
     )
     counted = (
-        values.select(F.inline(candidates))
+        values.where(reduce(or_, inside.values()))
+        .select(F.inline(candidates))
         .where(F.col("value").isNotNull())
         .groupBy("i", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    order = Window.partitionBy("i").orderBy("value")
-    upto = F.sum("n").over(order)
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("value"))
     place = counted.select("i", "value", (upto - F.col("n")).alias("start"), upto.alias("end"))
 
-    def pick(rank):
-        at = F.lit(None).cast("double")
-        for i, r in enumerate(ranges):
-            target = F.lit(r[rank] - r["below"])
-            holds = (F.col("start") <= target) & (target < F.col("end"))
-            at = F.when((F.col("i") == i) & holds, F.col("value")).otherwise(at)
-        return F.max(at)
-
-    found = place.groupBy("i").agg(((pick("first") + pick("second")) / 2).alias("median"))
-    # One row per column name, also for columns without any value.
-    names = values.sparkSession.createDataFrame(list(enumerate(cols)), "i int, column string")
-    return names.join(found, "i", "left").select("column", "median")
+    def at(end):
+        rank = F.coalesce(
+            *[F.when(F.col("i") == i, F.lit(r[end] - r["below"])) for i, r in open_ranges.items()]
+        )
+        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("value")))
+
+    found = place.groupBy("i").agg(((at("first") + at("second")) / 2).alias("median"))
+    # One row per column, also for a column without any value.
+    return names.join(found, "i", "left").select(
+        "column", F.coalesce("known", "median").alias("median")
+    )
 
 
 def impute(

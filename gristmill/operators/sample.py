@@ -89,6 +89,8 @@ def lowest_ranks(df: DataFrame, ranks: Sequence[str], n: int, tied: int = TIED)
     high, left, _ = cut
     low, left, ties = _bucket_of(df.where(coarse == F.lit(high)), fine, left)
     border = (high << half) + low
+    if left == ties:
+        return df.where(F.col(rank) <= F.lit(border))
     below = df.where(F.col(rank) < F.lit(border))
     at = df.where(F.col(rank) == F.lit(border))
     if rest and ties > tied:

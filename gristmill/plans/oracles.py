@@ -203,6 +203,10 @@ SQL: dict[str, str] = {
         f"SELECT '{name}' AS \"column\", round(median({name}), 4) AS median FROM ({_GAPPY})"
         for name in fx.GAPS
     ),
+    "medians_narrowed": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", round(quantile_cont({name}, 0.5), 4) AS median FROM ({_GAPPY})"
+        for name in fx.GAPS
+    ),
     "impute_median": f"""
         SELECT {_KEY}, {", ".join(
             f"round(coalesce({n}, (SELECT median({n}) FROM ({_GAPPY}))), 4) AS {n}"

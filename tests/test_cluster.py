@@ -129,17 +129,22 @@ def test_sweep_finds_the_three_groups(trained):
     assert all(-1 <= r["silhouette"] <= 1 for r in rows.values())
 
 
-def test_sweep_sampled_and_serial_agree_on_k(vectors):
-    fast = cluster.sweep(vectors, [2, 3, 4], max_iter=20, tol=1e-3, score_fraction=0.5)
+def test_sweep_sampled_and_serial_agree_on_k(blobs):
+    fast = cluster.sweep(blobs, ["x", "y"], [2, 3, 4], max_iter=20, tol=1e-3, score_fraction=0.5)
     assert fast.best == 3
 
 
+def test_sweep_scores_equal_the_evaluator(blobs, vectors):
+    found = cluster.sweep(blobs, ["x", "y"], [2, 4], max_iter=20)
+    for k, model in found.models.items():
+        want = cluster.evaluate(model.transform(vectors))
+        assert found.silhouettes[k] == pytest.approx(want, abs=1e-9)
+
+
 def test_sweep_without_two_clusters(spark):
-    same = VectorAssembler(inputCols=["x"], outputCol="features").transform(
-        spark.createDataFrame([(1.0,)] * 5, "x double")
-    )
+    same = spark.createDataFrame([(1.0,)] * 5, "x double")
     with pytest.raises(ValueError):
-        cluster.sweep(same, [2], max_iter=2)
+        cluster.sweep(same, ["x"], [2], max_iter=2)
 
 
 def test_labels_are_nearest_centres(spark, blobs, trained):

@@ -91,6 +91,7 @@ def test_standardize_joins_nothing(spark, data):
 def test_exact_median_small(spark, values):
     real = [v for v in values if v is not None and v == v]
     assert median_of(spark, values) == statistics.median(real)
+    assert median_of(spark, values, direct=0) == statistics.median(real)
 
 
 def test_exact_median_of_nothing(spark):
@@ -109,7 +110,7 @@ def test_exact_median_narrowed(spark, shape):
         "two_values": lambda: float(rng.random() < 0.5),
     }[shape]
     values = [draw() for _ in range(n)]
-    got = median_of(spark, values, window=40, sample=400)
+    got = median_of(spark, values, direct=0, window=40, sample=400)
     assert got == statistics.median(values)
 
 
@@ -121,7 +122,7 @@ def test_medians_of_several_columns(spark):
         c: statistics.median([r[i] for r in rows if r[i] is not None])
         for i, c in enumerate("abc")
     }
-    got = features.medians(df, list("abc"), exact=True, window=50, sample=100)
+    got = features.medians(df, list("abc"), exact=True, direct=0, window=50, sample=100)
     assert {r["column"]: r["median"] for r in got.collect()} == want
     approx = {r["column"]: r["median"] for r in features.medians(df, list("abc")).collect()}
     for c in "abc":
