@@ -51,6 +51,11 @@ def _labelled(source: str, cols, centers) -> str:
     )
 
 
+def _unsigned_zero(column: str) -> str:
+    """Rounded; adding zero turns the -0.0 of a small negative number into 0.0."""
+    return f"round({column}, 4) + CAST(0 AS DOUBLE)"
+
+
 _LINE_COLS = ["l_quantity", "l_extendedprice"]
 _LINE_SCALED = _scaled("SELECT * FROM lineitem", _LINE_COLS)
 _LINE = _labelled(_LINE_SCALED, fx.LINE_Z, fx.LINE_CENTERS)
@@ -218,10 +223,10 @@ SQL: dict[str, str] = {
         for name in fx.GAPS
     ),
     "standardize": f"""
-        SELECT {_KEY}, {", ".join(f"round(z_{n}, 4) AS {n}" for n in fx.GAPS)}
+        SELECT {_KEY}, {", ".join(f"{_unsigned_zero(f'z_{n}')} AS {n}" for n in fx.GAPS)}
         FROM ({_scaled(_GAPPY, list(fx.GAPS))})""",
     "vector_standardize": f"""
-        SELECT {_KEY}, {", ".join(f"round(z_{n}, 4) AS z_{n}" for n in fx.GAPS)}
+        SELECT {_KEY}, {", ".join(f"{_unsigned_zero(f'z_{n}')} AS z_{n}" for n in fx.GAPS)}
         FROM ({_scaled(
             f"SELECT * FROM ({_GAPPY}) WHERE quantity + price + tax IS NOT NULL",
             list(fx.GAPS))})""",
