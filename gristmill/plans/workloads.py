@@ -175,8 +175,8 @@ def inspect_clusters(
 ) -> Inspection:
     """Label every row with a saved model and report on the clusters.
 
-    The labelled rows are written once; the reports read them. The profile takes its
-    means from the input columns, so they are the unscaled values.
+    The labelled rows are written once; the reports read them. The profile's means are
+    those of the unscaled columns, gaps filled the way the model fills them.
     """
     spark = df.sparkSession
     model = cluster.load_model(spark, model_path)
