@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
-_unnamed: dict[str, str] = {}
 
 
 def base(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is named."""
+    """The shared folder the cluster names, else the home folder of a shared default file system.
+
+    A folder of one machine is never chosen: other executors would not see its files.
+    """
     named = spark.conf.get(CONF, None)
-    if not named:
-        app = spark.sparkContext.applicationId
-        if app not in _unnamed:
-            _unnamed[app] = tempfile.mkdtemp(prefix="gristmill-")
-        named = _unnamed[app]
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    if hadoop.get("fs.defaultFS", "file:///").startswith("file:"):
+        raise ValueError(f"set {CONF} to a folder that the driver and all executors share")
+    home = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.get(hadoop).getHomeDirectory()
+    return home.toString().rstrip("/")
 
 
 def folder(spark: SparkSession, label: str) -> str:
