@@ -9,6 +9,8 @@ input. No text is cut: a longer document is a block of its own.
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 from gristmill.functions.names import quoted
 
 BLOCK_BYTES = 2 << 20
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ALNUM = bytes(
     LOWER[i] if 0x30 <= i <= 0x39 or 0x41 <= i <= 0x5A or 0x61 <= i <= 0x7A or i >= 0x80 else 0x20
@@ -64,18 +67,19 @@ def texts_of(batch: pa.RecordBatch, column: int = -1) -> tuple[pa.Array, np.ndar
     return raw, pc.binary_length(raw).to_numpy(zero_copy_only=False)
 
 
-def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[str, ...] = ("doc_id",), gaps: bool = False) -> DataFrame:
     """One row per block: ``block``, an array for each column in ``keep``, and packed tokens.
 
     ``lens`` has the int64 token count of each document, ``ids`` the uint32 token numbers,
     ``vocab`` the words in byte order joined by line feeds. Null text counts as empty. Column
     names in ``docs`` cannot clash, as only the named ones are read. ``block`` is unique within
-    a run; write the result before it is used twice.
+    a run; write the result before it is used twice. With ``gaps``, the white space around the
+    words is kept too (see ``gaps_of``), so that whole texts can be put together again.
     """
     fields = [T.StructField(f"k_{c}", T.ArrayType(docs.schema[c].dataType)) for c in keep]
     schema = T.StructType(
         [T.StructField("block", T.LongType()), *fields, T.StructField("n_tokens", T.LongType())]
-        + [T.StructField(c, T.BinaryType()) for c in ("lens", "ids", "vocab")]
+        + [T.StructField(c, T.BinaryType()) for c in ("lens", "ids", "vocab", *["gaps"] * gaps)]
     )
 
     def build(batches):
@@ -83,7 +87,8 @@ def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[
         for batch in batches:
             raw, sizes = texts_of(batch)
             for low, high in spans(sizes, BLOCK_BYTES):
-                cut = [words(t) for t in raw.slice(low, high - low).to_pylist()]
+                texts = raw.slice(low, high - low).to_pylist()
+                cut = [words(t) for t in texts]
                 flat = list(chain.from_iterable(cut))
                 vocab = sorted(set(flat))
                 number = dict(zip(vocab, range(len(vocab)), strict=True))
@@ -93,7 +98,10 @@ def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[
                     pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), batch.column(i).slice(low, high - low))
                     for i in range(len(keep))
                 ]
-                packed = [pa.array([x], pa.binary()) for x in (lens.tobytes(), ids.tobytes(), b"\n".join(vocab))]
+                parts = [lens.tobytes(), ids.tobytes(), b"\n".join(vocab)]
+                if gaps:
+                    parts.append(zlib.compress(b"\0".join(b"\1".join(_WORD.split(t)) for t in texts), 1))
+                packed = [pa.array([x], pa.binary()) for x in parts]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), *kept, pa.array([len(flat)], pa.int64()), *packed],
                     names=schema.names,
@@ -104,6 +112,11 @@ def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[
     return source.mapInArrow(build, schema)
 
 
+def gaps_of(packed: bytes) -> list[list[bytes]]:
+    """For each document the white space before, between and after its words."""
+    return [g.split(b"\1") for g in zlib.decompress(packed).split(b"\0")]
+
+
 def unpack(lens: bytes, ids: bytes, vocab: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Token counts, token numbers and vocabulary of a block."""
     words = vocab.split(b"\n") if vocab else []

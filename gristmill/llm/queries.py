@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, decontaminate, toxicity
+from gristmill.llm import bpe, decontaminate, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,3 +92,33 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substrings.remove_repeats(docs)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_SPACED = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
+
+SQL["op10_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_SPACED.format("coalesce(text, '')")} AS w FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s : s + 12], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d)
+),
+late AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY win) AS least FROM win) WHERE least < doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM late),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS body
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
