@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, decontaminate, substrings, toxicity
+from gristmill.llm import bpe, decontaminate, neardup, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -122,3 +122,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
        sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op7_near_duplicates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+SQL["op7_near_duplicates"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+sh AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[s : s + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS s FROM d)
+),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS met FROM sh x JOIN sh y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2
+  ) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * met >= 75 * (na.n + nb.n - met)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS r FROM d
+  UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.r
+),
+part AS (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN part USING (doc_id)
+"""
