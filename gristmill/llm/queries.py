@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, decontaminate, neardup, substrings, toxicity
+from gristmill import scratch
+from gristmill.llm import bpe, decontaminate, neardup, packing, quality, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -151,3 +152,21 @@ part AS (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN part USING (doc_id)
 """
+
+
+@query
+def op3_url_filters(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query
+def op6_quality_rules(spark, sf_dir):
+    judged = quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op9_best_fit_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    sized = docs.select("doc_id", "source", packing.word_count(F.col("text")).alias("n_words"), F.xxhash64("text").alias("cluster"))
+    return packing.pack(scratch.materialize(sized, "sizes"), "n_words")
