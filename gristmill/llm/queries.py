@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill import scratch
-from gristmill.llm import bpe, decontaminate, neardup, packing, quality, substrings, toxicity, urls
+from gristmill.llm import bpe, decontaminate, neardup, packing, quality, substrings, suffix_tree, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -170,3 +170,10 @@ def op9_best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized = docs.select("doc_id", "source", packing.word_count(F.col("text")).alias("n_words"), F.xxhash64("text").alias("cluster"))
     return packing.pack(scratch.materialize(sized, "sizes"), "n_words")
+
+
+@query
+def op8_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = suffix_tree.scores(docs, remainder("doc_id", 10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

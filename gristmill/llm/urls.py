@@ -90,7 +90,8 @@ def grams(host: Column, path: Column) -> Column:
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """``LABELLED_URLS`` as a table with columns ``url`` and ``verdict``."""
-    return spark.createDataFrame(list(LABELLED_URLS), "url string, verdict string")
+    rows = ", ".join(f"('{url}', '{verdict}')" for url, verdict in LABELLED_URLS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(url, verdict)")
 
 
 def fit(labelled: DataFrame, url: str = "url", verdict: str = "verdict"):
