@@ -1,26 +1,66 @@
-"""The corpus pipeline: toxicity, near-duplicates, repeated passages, benchmark leaks, packing."""
+"""The corpus pipeline: toxicity, near-duplicates, repeated passages, benchmark leaks, packing.
+
+Each stage takes what the one before kept and returns the columns of the documents, the last one
+the packed pieces. Null texts are empty documents; they pass until they are packed with size 0.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gristmill import scratch
-from gristmill.llm import toxicity
+from gristmill.llm import decontaminate, neardup, packing, substrings, toxicity
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below one half; the rest goes."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.fit(docs, labels)
+    """Documents with a toxicity score below one half; the model learns from all labels."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model, out="toxicity_score").where("toxicity_score < 0.5").select(*docs.columns)
 
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates, that with the smallest id."""
+    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that a document with a smaller id has; emptied documents go."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    cut = substrings.remove_repeats(docs, keep=rest, gaps=True)
+    left = cut.where("n_removed = 0 or n_removed < n_words").withColumnRenamed("kept", "text")
+    if "n_chars" in rest:
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    gone = decontaminate.contamination(docs, items).where("contaminated").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their bins: no bin has two documents of a source or with equal texts."""
+    sized = docs.select("doc_id", "source", packing.word_count(F.col("text")).alias("n_words"), F.xxhash64("text").alias("cluster"))
+    return packing.pack(scratch.materialize(sized, "sizes"), "n_words")
+
 
-STAGES: list[tuple[str, Stage]] = [("toxicity", drop_toxic)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("substring_dedup", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
 
+# Scores of a trained model and a greedy order of bins are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 

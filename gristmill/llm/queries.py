@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill import scratch
-from gristmill.llm import bpe, decontaminate, neardup, packing, quality, substrings, suffix_tree, toxicity, urls
+from gristmill.llm import bpe, decontaminate, neardup, packing, quality, substrings, suffix_tree, toxicity, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -177,3 +177,38 @@ def op8_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = suffix_tree.scores(docs, remainder("doc_id", 10) != 0)
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op1_warc_transactions(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    records = warc.read(spark, warc.write(pages, scratch.folder(spark, "warc")))
+    # Digests are taken from what was read; payloads of captures need not be shuffled for them.
+    body = F.when(~F.col("type").isin("response", "revisit"), F.col("payload"))
+    full = F.col("type") == "response"
+    sized = records.withColumns(
+        {
+            "payload_bytes": F.when(full, F.octet_length("payload")).otherwise(F.regexp_extract("http_header", "(?i)content-length: ([0-9]+)", 1).try_cast("bigint")).cast("bigint"),
+            "payload_digest": F.when(full, F.sha1("payload")).otherwise(F.col("payload_digest")),
+            "payload": body,
+        }
+    )
+    captures = warc.assemble(sized)
+    return captures.select(
+        warc.field(F.col("metadata"), "key").cast("bigint").alias("page_id"),
+        F.col("main.payload_bytes").alias("payload_bytes"),
+        F.col("main.payload_digest").alias("payload_digest"),
+        F.col("main.type").alias("record_type"),
+        warc.field(F.col("metadata"), "refers-to").cast("bigint").alias("refers_to"),
+    )
+
+
+SQL["op1_warc_transactions"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM m
+"""

@@ -132,17 +132,22 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     ratio[feature] = np.log(p / (totals[1]["n"] + 2)) - np.log(q / (totals[0]["n"] + 2))
     ratio[np.abs(ratio) < MIN_RATIO] = 0
 
+    # Only scaled columns are left in the vectors, numbered anew.
+    column = np.flatnonzero(ratio)
+    number = np.full(DIMS, -1, np.int32)
+    number[column] = np.arange(len(column))
+
     @F.udf(VectorUDT())
     def scaled(f):
         at = np.asarray(f, np.int64)
-        at = at[ratio[at] != 0]
-        return Vectors.sparse(DIMS, at, ratio[at])
+        at = at[number[at] >= 0]
+        return Vectors.sparse(max(1, len(column)), number[at], ratio[at])
 
     lr = LogisticRegression(labelCol="y", weightCol="weight", standardization=False, elasticNetParam=1.0, regParam=PENALTY, maxIter=60)
     fitted = lr.fit(data.select(F.col("y").cast("double"), "weight", scaled("f").alias("features")))
-    total = fitted.coefficients.toArray() * ratio
-    at = np.flatnonzero(total)
-    return Model(at, total[at], float(fitted.intercept))
+    weights = fitted.coefficients.toArray()[: len(column)] * ratio[column]
+    at = np.flatnonzero(weights)
+    return Model(column[at], weights[at], float(fitted.intercept))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
