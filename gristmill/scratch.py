@@ -36,5 +36,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     after a lost executor, and they get column pruning and filter push-down.
     """
     path = folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
