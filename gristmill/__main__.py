@@ -36,7 +36,8 @@ def arguments() -> argparse.ArgumentParser:
     train.add_argument("--predictions-out")
     train.add_argument("--report-out")
     train.add_argument("--sample-out")
-    train.add_argument("--max-rows", type=int, default=presets.SAMPLE_TARGET, help="0: all rows")
+    train.add_argument("--max-rows", type=int, help="train on a sample of so many rows; default: all")
+    train.add_argument("--refit", action="store_true", help="fit the chosen k again on the raw rows")
     train.add_argument("--fast", action="store_true", help="fewer k and iterations, sampled scores")
     train.add_argument("--save-each", action="store_true")
     train.add_argument("--parallelism", type=int, default=1)
@@ -74,7 +75,8 @@ def main(argv: list[str] | None = None) -> None:
             args.predictions_out,
             args.report_out,
             args.sample_out,
-            max_rows=args.max_rows or None,
+            max_rows=args.max_rows,
+            refit=args.refit,
             save_each=args.save_each,
             parallelism=args.parallelism,
             **sweep,

@@ -13,22 +13,25 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gristmill.functions.names import quoted
+
 
 def squared_norm(cols: Sequence[str]) -> Column:
-    return reduce(add, [F.col(c) * F.col(c) for c in cols])
+    return reduce(add, [F.col(quoted(c)) * F.col(quoted(c)) for c in cols])
 
 
 def squared_distance(cols: Sequence[str], center: Sequence[float]) -> Column:
     if len(cols) != len(center):
         raise ValueError(f"{len(cols)} columns but a centre with {len(center)} coordinates")
-    gaps = [F.col(c) - F.lit(float(v)) for c, v in zip(cols, center, strict=True)]
+    gaps = [F.col(quoted(c)) - F.lit(float(v)) for c, v in zip(cols, center, strict=True)]
     return reduce(add, [g * g for g in gaps])
 
 
 def nearest(distances: str) -> Column:
     """Position of the smallest entry of an array column; ties go to the lower position.
 
-    An array of nulls (a null feature) gives a null position. Bind the array to a column
-    first: it is referred to twice.
+    An array of nulls or NaN (a missing feature) gives a null position. Bind the array to a
+    column first: it is referred to more than once.
     """
-    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+    least = F.array_min(distances)
+    return F.when(~F.isnan(least), F.array_position(distances, least) - 1).cast("int")

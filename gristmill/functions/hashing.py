@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gristmill.functions.names import quoted
+
 RANK_BITS = 32
 
 
@@ -17,5 +19,10 @@ def key_rank(key: str | Sequence[str]) -> Column:
     whatever the partitioning, and any SQL engine can repeat the choice.
     """
     names = [key] if isinstance(key, str) else list(key)
-    text = F.concat_ws("|", *[F.col(n).cast("string") for n in names])
+    parts = [F.col(quoted(n)).cast("string") for n in names]
+    if len(parts) == 1:
+        text = F.coalesce(parts[0], F.lit(""))
+    else:
+        # Lengths and a mark for null keep different composite keys apart.
+        text = F.concat(*[F.coalesce(F.concat(F.length(p), F.lit(":"), p), F.lit("-")) for p in parts])
     return F.conv(F.substring(F.md5(text), 1, RANK_BITS // 4), 16, 10).cast("bigint")

@@ -50,9 +50,11 @@ def in_bounds(bounds: Bounds, nulls: str = "reject") -> Column:
 
 
 def filter_bounds(df: DataFrame, bounds: Bounds, nulls: str = "reject") -> DataFrame:
-    """Keep the plausible rows; bounds of columns the table lacks are not applied."""
-    present = {c: b for c, b in bounds.items() if c in df.columns}
-    return df.where(in_bounds(present, nulls))
+    """Keep the plausible rows; a bound for a column that the table lacks is an error."""
+    absent = [c for c in bounds if c not in df.columns]
+    if absent:
+        raise ValueError(f"bounds for columns that are not there: {absent}")
+    return df.where(in_bounds(bounds, nulls))
 
 
 def _known(df: DataFrame, name: str) -> Column:

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 from operator import add
 
-from py4j.protocol import Py4JJavaError
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gristmill import scratch
@@ -34,7 +33,7 @@ def assign(
     centers: Sequence[Sequence[float]],
     label: str = "cluster",
 ) -> DataFrame:
-    """Add the number of the nearest centre (ties: the lower number; null part: null).
+    """Add the number of the nearest centre (ties: the lower number; null or NaN part: null).
 
     Two projections over each row: no join, no shuffle. The code grows with k x d only,
     also where a later filter on the label is pushed below the projections.
@@ -50,11 +49,15 @@ def assign(
 def lloyd_step(
     df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]]
 ) -> DataFrame:
-    """One k-means iteration: ``cluster, n`` and the new mean of every column."""
+    """One k-means iteration: ``cluster, n`` and the new mean of every column.
+
+    Rows with a null or NaN part belong to no cluster and count nowhere.
+    """
     return (
-        assign(df.select(*cols), cols, centers, "cluster")
+        assign(df.select(*[quoted(c) for c in cols]), cols, centers, "cluster")
+        .where("cluster is not null")
         .groupBy("cluster")
-        .agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols])
+        .agg(F.count(F.lit(1)).alias("n"), *[F.avg(quoted(c)).alias(c) for c in cols])
     )
 
 
@@ -81,12 +84,19 @@ def examples(
 ) -> DataFrame:
     """The first ``n`` rows of every cluster by id, in one job.
 
+    Without ids, all other columns that can be ordered are shown and give the order.
+
     The row-number filter becomes a group limit inside each task, so at most ``n`` rows
     per cluster and task are shuffled, however large one cluster is.
     """
-    place = Window.partitionBy(label).orderBy(*(order_by or ids))
+    shown = list(ids)
+    if not shown:
+        plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        shown = [c for c in plain if c != label]
+    names = [F.col(quoted(c)) for c in shown]
+    place = Window.partitionBy(quoted(label)).orderBy(*(order_by or names or [F.lit(1)]))
     return (
-        df.select(label, *ids)
+        df.select(quoted(label), *names)
         .withColumn("place", F.row_number().over(place))
         .where(F.col("place") <= n)
     )
@@ -109,12 +119,16 @@ def silhouette(
         *[F.col(quoted(name)).alias(x) for name, x in zip(cols, xs, strict=True)],
     ).withColumn("sq", squared_norm(xs))
 
-    grouped = rows.groupBy("c").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("sq").alias("sq"), *[F.avg(x).alias(x) for x in xs]
+    # Labels outside 0..k-1 are one group, so k + 1 rows come back whatever the labels.
+    grouped = rows.where("c is not null").groupBy(F.when(F.col("c").between(0, k - 1), F.col("c")).alias("c")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg("sq").alias("sq"),
+        *[F.avg(x).alias(x) for x in xs],
+        F.max("c").alias("largest"),
     )
-    found = {r["c"]: r for r in grouped.limit(k + 2).collect() if r["c"] is not None}
-    if any(not 0 <= c < k for c in found):
-        raise ValueError(f"{label} has values outside 0..{k - 1}, such as {max(found)}")
+    found = {r["c"]: r for r in grouped.collect()}
+    if None in found:
+        raise ValueError(f"{label} has values outside 0..{k - 1}, such as {found[None]['largest']}")
     if len(found) < 2:
         return df.sparkSession.createDataFrame([(None,)], "silhouette double")
 
@@ -140,6 +154,58 @@ def silhouette(
     return near.agg(F.avg(score).alias("silhouette"))
 
 
+def silhouettes(
+    df: DataFrame, cols: Sequence[str], center_sets: Mapping[int, Sequence[Sequence[float]]]
+) -> dict[int, float | None]:
+    """Silhouettes of the nearest-centre labels of several sets of centres, in two scans for all.
+
+    The first scan gives one row of statistics per set and cluster, the second one mean score
+    per set. Sets with fewer than two non-empty clusters have none.
+    """
+    xs = [f"x{j}" for j in range(len(cols))]
+    rows = df.select(*[F.col(quoted(name)).alias(x) for name, x in zip(cols, xs, strict=True)])
+    rows = rows.withColumn("sq", squared_norm(xs))
+    rows = rows.withColumns(
+        {f"d{k}": F.array(*[squared_distance(xs, c) for c in points]) for k, points in center_sets.items()}
+    )
+    rows = rows.withColumns({f"c{k}": nearest(f"d{k}") for k in center_sets})
+    each = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("c")) for k in center_sets])
+    long = rows.select("sq", *xs, F.inline(each)).where("c is not null")
+    grouped = long.groupBy("k", "c").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("sq").alias("sq"), *[F.avg(x).alias(x) for x in xs]
+    )
+    stats: dict[int, dict[int, Row]] = {k: {} for k in center_sets}
+    for r in grouped.collect():
+        stats[r["k"]][r["c"]] = r
+    usable = {k: found for k, found in stats.items() if len(found) > 1}
+    if not usable:
+        return dict.fromkeys(center_sets)
+
+    def distance(stat):
+        cross = reduce(add, [F.col(x) * F.lit(stat[x]) for x in xs])
+        return F.col("sq") + F.lit(stat["sq"]) - 2 * cross
+
+    nothing = F.lit(None).cast("double")
+    far = rows.withColumns(
+        {
+            f"m{k}": F.array(*[distance(found[c]) if c in found else nothing for c in range(len(center_sets[k]))])
+            for k, found in usable.items()
+        }
+    )
+    scores = []
+    for k, found in usable.items():
+        own, to = F.col(f"c{k}"), f"m{k}"
+        sizes_of = F.array(*[F.lit(float(found[c]["n"]) if c in found else 0.0) for c in range(len(center_sets[k]))])
+        n = F.get(sizes_of, own)
+        within = F.get(to, own) * n / F.nullif(n - 1, F.lit(0.0))
+        others = F.array_min(F.array(*[F.when(own != c, F.get(to, F.lit(c))) for c in range(len(center_sets[k]))]))
+        widest = F.greatest(within, others)
+        value = F.when((n == 1) | (widest == 0), F.lit(0.0)).when(n > 1, (others - within) / widest)
+        scores.append(F.avg(value).alias(f"s{k}"))
+    row = far.agg(*scores).first()
+    return {k: row[f"s{k}"] if k in usable else None for k in center_sets}
+
+
 def evaluate(
     predictions: DataFrame, label: str = "prediction", vector: str = "features"
 ) -> float | None:
@@ -150,13 +216,8 @@ def evaluate(
         metricName="silhouette",
         distanceMeasure="squaredEuclidean",
     )
-    try:
-        return evaluator.evaluate(predictions)
-    except Py4JJavaError as refused:
-        # Cheaper than counting the clusters first, which would be one more scan.
-        if "greater than one" in str(refused):
-            return None
-        raise
+    several = predictions.groupBy(quoted(label)).agg(F.count(F.lit(1)).alias("n")).limit(2).count() > 1
+    return evaluator.evaluate(predictions) if several else None
 
 
 def best_k(sweep_scores: DataFrame) -> DataFrame:
@@ -212,13 +273,13 @@ def sweep(
     vector: str = "features",
     label: str = "prediction",
 ) -> Sweep:
-    """Fit and score every k on plain (scaled) columns; give it a table on storage.
+    """Fit every k on plain (scaled) columns, then score all of them together.
 
-    Scoring assigns and averages in generated code, with the fitted centres as literals,
-    instead of unpacking vectors; the value is the one Spark ML's evaluator gives.
-    ``score_fraction`` scores on a Bernoulli sample of the points. ``parallelism`` fits
-    that many k at once, which fills the cluster while one fit waits for its slowest
-    task; each running fit caches its own copy of the vectors.
+    The vectors are assembled and persisted once for all fits. Scoring is two scans for any
+    number of k, in generated code with the fitted centres as literals; the value is the one
+    Spark ML's evaluator gives. ``score_fraction`` scores on a Bernoulli sample of the points.
+    ``parallelism`` fits that many k at once, which fills the cluster while one fit waits for
+    its slowest task.
     """
     ks = sorted(set(ks))
     cols = list(cols)
@@ -226,26 +287,25 @@ def sweep(
     vectors = features.assemble(points, cols, vector).select(vector)
     scored = points if score_fraction is None else sample.fraction(points, score_fraction, seed)
 
-    def one(k):
-        model = fit(vectors, k, max_iter, tol, seed, vector, label)
-        found = model.clusterCenters()
-        labelled = assign(scored, cols, found, label)
-        return k, model, silhouette(labelled, cols, len(found), label).first()["silhouette"]
-
-    if parallelism > 1 and len(ks) > 1:
-        with ThreadPool(min(parallelism, len(ks))) as pool:
-            done = pool.map(inheritable_thread_target(points.sparkSession)(one), ks, chunksize=1)
-    else:
-        done = [one(k) for k in ks]
-
-    silhouettes = {k: score for k, _, score in done}
-    ranked = [k for k in ks if silhouettes[k] is not None]
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    one = lambda k: fit(vectors, k, max_iter, tol, seed, vector, label)
+    try:
+        if parallelism > 1 and len(ks) > 1:
+            with ThreadPool(min(parallelism, len(ks))) as pool:
+                fitted = pool.map(inheritable_thread_target(points.sparkSession)(one), ks, chunksize=1)
+        else:
+            fitted = [one(k) for k in ks]
+    finally:
+        vectors.unpersist()
+    models = dict(zip(ks, fitted, strict=True))
+    silhouettes_of = silhouettes(scored, cols, {k: m.clusterCenters() for k, m in models.items()})
+    ranked = [k for k in ks if silhouettes_of[k] is not None]
     if not ranked:
         raise ValueError(f"no k of {ks} gave two non-empty clusters")
-    best = max(ranked, key=lambda k: (silhouettes[k], -k))
-    scores = points.sparkSession.createDataFrame(list(silhouettes.items()), SWEEP_SCHEMA)
+    best = max(ranked, key=lambda k: (silhouettes_of[k], -k))
+    scores = points.sparkSession.createDataFrame(list(silhouettes_of.items()), SWEEP_SCHEMA)
     scores = scores.withColumn("is_best", F.col("k") == F.lit(best))
-    return Sweep(scores, {k: model for k, model, _ in done}, best, silhouettes)
+    return Sweep(scores, models, best, silhouettes_of)
 
 
 @dataclass
@@ -277,7 +337,7 @@ def train(
     The prepared features are written once, as plain columns, and every fit and score
     reads them there. The final
     model reuses the best fit of the sweep; ``refit=True`` fits preparation and k-means
-    again on ``df``. ``partitions`` spreads an input of too few splits.
+    again on ``df``. ``partitions`` spreads an input of fewer splits; it never narrows one.
     """
     cols = list(cols)
     columns.require(df, cols)
@@ -286,9 +346,9 @@ def train(
     parts = vector_to_array("features")
     names = [f"f{j}" for j in range(len(cols))]
     points = prepared.transform(df).select(*[parts[j].alias(n) for j, n in enumerate(names)])
-    if partitions is not None:
-        points = points.repartition(partitions)
     points = scratch.materialize(points, "points")
+    if partitions is not None and points.select(F.spark_partition_id()).distinct().count() < partitions:
+        points = points.repartition(partitions)
     found = sweep(points, names, ks, max_iter, tol, seed, score_fraction, parallelism)
     candidates = {
         k: PipelineModel(stages=[*prepared.stages, model]) for k, model in found.models.items()

@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import quoted
 
-# Up to this many values per column the built-in exact median may hold them in one task.
-MEDIAN_DIRECT = 1_000_000
-# Beyond it the range around the middle is narrowed, until at most about this many
+# For exact medians the range around the middle is narrowed, until at most about this many
 # distinct values per column are left for a sorted window.
 MEDIAN_WINDOW = 50_000
 MEDIAN_SAMPLE = 1_000_000
@@ -67,23 +65,21 @@ def medians(
     cols: Sequence[str],
     exact: bool = False,
     accuracy: int = 1000,
-    direct: int = MEDIAN_DIRECT,
     window: int = MEDIAN_WINDOW,
     sample: int = MEDIAN_SAMPLE,
 ) -> DataFrame:
     """``column, median`` over the values that are neither null nor NaN.
 
     The default is the approximate quantile with relative error ``1 / accuracy``, one
-    job. ``exact=True`` gives the true median (mean of the two middle values). A column
-    without values has a null median.
+    job. ``exact=True`` gives the true median (mean of the two middle values) by the same
+    search at every size; it scans ``df`` several times, so give it a table on storage. A
+    column without values has a null median.
     """
     cols = list(cols)
     values = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(cols)])
     if not exact:
         return _per_column(values, cols, lambda v: F.percentile_approx(v, 0.5, accuracy))
     counts = values.agg(*[F.count(f"v{i}") for i in range(len(cols))]).first()
-    if max(counts) <= direct:
-        return _per_column(values, cols, F.median)
     ranges = _median_ranges(values, list(counts), window, sample)
     return _finish_medians(values, cols, ranges)
 

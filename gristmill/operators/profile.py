@@ -60,7 +60,9 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def group_mean(df: DataFrame, key: str, value: str) -> DataFrame:
     """``key, n, avg`` in key order."""
     return (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg")).orderBy(key)
+        df.groupBy(F.col(quoted(key)))
+        .agg(F.count(F.lit(1)).alias("n"), F.avg(quoted(value)).alias("avg"))
+        .orderBy(quoted(key))
     )
 
 

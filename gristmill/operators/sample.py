@@ -8,13 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill import scratch
-from gristmill.functions import key_rank
+from gristmill.functions import key_rank, quoted
 from gristmill.functions.hashing import RANK_BITS
 
 SEED = 42
-RANK, TIE = "_rank", "_tie"
-# Rows of one rank that may be ordered in one place; more are split by the next rank.
-TIED = 1_000_000
+RANK, TIE, LAST = "_rank", "_tie", "_last"
 
 
 def fraction(df: DataFrame, share: float, seed: int = SEED) -> DataFrame:
@@ -56,27 +54,38 @@ def to_target(
     if key is not None:
         if cap:
             # Rows of an equal key are told apart by all their columns.
-            row = F.xxhash64(*df.columns).bitwiseAND(F.lit((1 << RANK_BITS) - 1))
-            ranked = df.withColumns({RANK: key_rank(key), TIE: row})
-            return lowest_ranks(ranked, [RANK, TIE], target).drop(RANK, TIE)
+            low = F.lit((1 << RANK_BITS) - 1)
+            row = row_hash(df)
+            halves = {TIE: F.shiftrightunsigned(row, RANK_BITS), LAST: row.bitwiseAND(low)}
+            ranked = df.withColumns({RANK: key_rank(key), **halves})
+            return lowest_ranks(ranked, [RANK, TIE, LAST], target).drop(RANK, TIE, LAST)
         return keyed(df, key, round(share * (1 << RANK_BITS)))
     drawn = fraction(df, share, seed)
     if not cap:
         return drawn
     # The draw is about `target` rows; it is written once, because the cut below
     # takes several jobs and all of them have to see the same draw.
-    rank = (F.rand(seed) * float(1 << RANK_BITS)).cast("bigint")
-    drawn = scratch.materialize(drawn.withColumn(RANK, rank), "draw")
-    return lowest_ranks(drawn, [RANK], target).drop(RANK)
+    rank = lambda s: (F.rand(s) * float(1 << RANK_BITS)).cast("bigint")
+    drawn = scratch.materialize(drawn.withColumns({RANK: rank(seed), TIE: rank(seed + 1)}), "draw")
+    return lowest_ranks(drawn, [RANK, TIE], target).drop(RANK, TIE)
 
 
-def lowest_ranks(df: DataFrame, ranks: Sequence[str], n: int, tied: int = TIED) -> DataFrame:
+def row_hash(df: DataFrame):
+    """A 64-bit hash of all columns; maps, which have no hash, go by their sorted entries as text."""
+    parts = []
+    for f in df.schema.fields:
+        col = F.col(quoted(f.name))
+        parts.append(F.to_json(F.struct(col)) if "map<" in f.dataType.simpleString() else col)
+    return F.xxhash64(*parts)
+
+
+def lowest_ranks(df: DataFrame, ranks: Sequence[str], n: int) -> DataFrame:
     """Exactly the ``n`` first rows by 32-bit ranks (all rows when there are fewer).
 
     Neither a sort nor a global limit: two histograms of at most 65,536 counts locate
     the rank of the n-th row, lower ranks pass a plain filter, and only rows that share
-    this one rank are ordered by the next. Should those be very many (one key holding
-    a large part of the table), the next rank is searched in the same way.
+    this one rank are searched by the next, in the same way. Rows equal in all ranks are
+    equal rows but for a hash collision, so any of them do.
     """
     rank, *rest = ranks
     half = RANK_BITS // 2
@@ -93,10 +102,7 @@ def lowest_ranks(df: DataFrame, ranks: Sequence[str], n: int, tied: int = TIED)
         return df.where(F.col(rank) <= F.lit(border))
     below = df.where(F.col(rank) < F.lit(border))
     at = df.where(F.col(rank) == F.lit(border))
-    if rest and ties > tied:
-        taken = lowest_ranks(at, rest, left, tied)
-    else:
-        taken = (at.orderBy(*rest) if rest else at).limit(left)
+    taken = lowest_ranks(at, rest, left) if rest else at.limit(left)
     return below.unionAll(taken)
 
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gristmill import scratch, sinks, sources
+from gristmill import presets, scratch, sinks, sources
 from gristmill.operators import clean, cluster, columns, features, profile, sample, text
 from gristmill.plans import fixtures as fx
 
@@ -32,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """A table for work that is heavy per row: a small file must not be one task."""
+    """A table for work that is heavy per row, dealt anew: its file may be one split."""
     return sources.spread(table(spark, sf_dir, name).select(*cols))
 
 
@@ -296,21 +297,46 @@ def head_ordered(spark, sf_dir):
 # ---- samples -----------------------------------------------------------------------
 
 
+def _drawn(sampled: DataFrame, whole: DataFrame, low: float, high: float) -> DataFrame:
+    """Whether a draw has no row more often than the table, and its size lies between two bounds."""
+    drawn = sampled.groupBy(*fx.LINE_KEY).agg(F.count(F.lit(1)).alias("n"))
+    there = whole.groupBy(*fx.LINE_KEY).agg(F.count(F.lit(1)).alias("most"))
+    return drawn.join(there, fx.LINE_KEY, "left").agg(
+        F.every(F.coalesce(F.col("n") <= F.col("most"), F.lit(False))).alias("in_table"),
+        F.sum("n").between(low, high).alias("size_plausible"),
+    )
+
+
+def _six_sigma(n: int, share: float) -> float:
+    return 6 * (n * share * (1 - share)) ** 0.5
+
+
 @query
 def sample_target(spark, sf_dir):
-    return sample.to_target(table(spark, sf_dir, "lineitem").select(*fx.LINE_KEY), 20_000)
+    """A Bernoulli draw of a third of lineitem, judged by what every such draw fulfils."""
+    items = table(spark, sf_dir, "lineitem").select(*fx.LINE_KEY)
+    n = items.count()
+    drawn = scratch.materialize(sample.to_target(items, n // 3, total=n), "drawn")
+    far = _six_sigma(n, 1 / 3)
+    return _drawn(drawn, items, n // 3 - far, n // 3 + far)
 
 
 @query
 def sample_capped(spark, sf_dir):
-    return sample.to_target(
-        table(spark, sf_dir, "lineitem").select(*fx.LINE_KEY), 20_000, cap=True
-    )
+    """The same draw, cut to the target where it is larger."""
+    items = table(spark, sf_dir, "lineitem").select(*fx.LINE_KEY)
+    n = items.count()
+    drawn = scratch.materialize(sample.to_target(items, n // 3, cap=True, total=n), "drawn")
+    return _drawn(drawn, items, n // 3 - _six_sigma(n, 1 / 3), n // 3)
 
 
 @query
 def sample_fraction(spark, sf_dir):
-    return sample.fraction(table(spark, sf_dir, "lineitem").select(*fx.LINE_KEY), 0.15)
+    items = table(spark, sf_dir, "lineitem").select(*fx.LINE_KEY)
+    n = items.count()
+    drawn = scratch.materialize(sample.fraction(items, 0.15), "drawn")
+    far = _six_sigma(n, 0.15)
+    return _drawn(drawn, items, 0.15 * n - far, 0.15 * n + far)
 
 
 @query
@@ -341,7 +367,6 @@ def medians_narrowed(spark, sf_dir):
         lineitem_with_gaps(spark, sf_dir),
         list(fx.GAPS),
         exact=True,
-        direct=0,
         window=1_000,
         sample=10_000,
     )
@@ -350,7 +375,16 @@ def medians_narrowed(spark, sf_dir):
 
 @query
 def medians_approx(spark, sf_dir):
-    return features.medians(lineitem_with_gaps(spark, sf_dir), list(fx.GAPS))
+    """Whether each approximate median has a rank within a thousandth of the middle."""
+    rows, cols = lineitem_with_gaps(spark, sf_dir), list(fx.GAPS)
+    found = {r["column"]: r["median"] for r in features.medians(rows, cols).collect()}
+    judged = []
+    for c in cols:
+        value, n = F.col(c).cast("double"), F.count(c)
+        below, upto = F.count_if(value < found[c]) / n, F.count_if(value <= found[c]) / n
+        near = (below - 0.001 <= 0.5) & (upto + 0.001 >= 0.5)
+        judged.append(F.struct(F.lit(c).alias("column"), near.alias("rank_near_middle")))
+    return rows.agg(F.array(*judged).alias("r")).select(F.inline("r"))
 
 
 @query
@@ -389,11 +423,21 @@ def vector_standardize(spark, sf_dir):
 
 @query
 def vector_impute(spark, sf_dir):
-    """Fitted ML stages that put the (approximate) median into gaps, then scale."""
+    """Fitted ML stages that put the (approximate) median into gaps, then scale.
+
+    How many rows there are, and in how many every part is the value or the median, scaled by
+    the moments of the filled column.
+    """
     cols = list(fx.GAPS)
     rows = clean.drop_all_null(lineitem_with_gaps(spark, sf_dir), cols)
     fitted = Pipeline(stages=features.stages(cols, impute_nulls=True)).fit(rows)
-    return _unpacked(fitted.transform(rows), cols)
+    medians = fitted.stages[0].surrogateDF.first().asDict()
+    filled = [F.coalesce(F.when(~F.isnan(c), F.col(c).cast("double")), F.lit(medians[c])) for c in cols]
+    moments = rows.agg(*[f(x).alias(f"{n}{i}") for i, x in enumerate(filled) for n, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
+    parts = vector_to_array("features")
+    made = fitted.transform(rows.withColumn("want", F.array(*[(x - moments[f"m{i}"]) / moments[f"s{i}"] for i, x in enumerate(filled)])))
+    gaps = F.zip_with(parts, "want", lambda a, b: F.abs(a - b))
+    return made.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.array_max(gaps) < 1e-6).alias("n_as_expected"))
 
 
 @query
@@ -486,13 +530,9 @@ def silhouette_fixed(spark, sf_dir):
 def best_k_fixed(spark, sf_dir):
     """The best of three sets of given centres by silhouette."""
     scaled = scaled_lineitem(spark, sf_dir).select(*fx.LINE_Z)
-    scores = [
-        cluster.silhouette(cluster.assign(scaled, fx.LINE_Z, points), fx.LINE_Z, k=k).select(
-            F.lit(k).alias("k"), F.round("silhouette", 4).alias("silhouette")
-        )
-        for k, points in fx.CENTER_SETS.items()
-    ]
-    return cluster.best_k(reduce(DataFrame.unionAll, scores))
+    found = cluster.silhouettes(scaled, fx.LINE_Z, fx.CENTER_SETS)
+    scores = spark.createDataFrame(list(found.items()), cluster.SWEEP_SCHEMA)
+    return cluster.best_k(rounded(scores, ["silhouette"]))
 
 
 # ---- k-means -----------------------------------------------------------------------
@@ -512,37 +552,71 @@ def _train(spark, sf_dir, **training) -> tuple[DataFrame, cluster.Trained]:
     )
 
 
+def _scores_hold(scores: DataFrame) -> DataFrame:
+    """Per k whether its score is one, and whether exactly the best is marked."""
+    best = Window.partitionBy()
+    marked = scores.withColumn("top", F.max("silhouette").over(best))
+    marked = marked.withColumn("top", F.min(F.when(F.col("silhouette") == F.col("top"), F.col("k"))).over(best))
+    return marked.select(
+        F.col("k").cast("bigint").alias("k"),
+        F.col("silhouette").between(-1.0, 1.0).alias("in_range"),
+        (F.col("is_best") == (F.col("k") == F.col("top"))).alias("best_is_marked"),
+    )
+
+
 @query
 def kmeans_sweep(spark, sf_dir):
-    """Every k fitted and scored on all rows."""
-    return _train(spark, sf_dir, ks=range(3, 6), max_iter=50)[1].sweep.scores
+    """The whole sweep: every k from 3 to 10 fitted and scored on all rows."""
+    return _scores_hold(_train(spark, sf_dir, **presets.FULL_SWEEP)[1].sweep.scores)
 
 
 @query
 def kmeans_fast(spark, sf_dir):
     """Bounded iterations, scored on a Bernoulli sample."""
-    found = _train(spark, sf_dir, ks=range(3, 7), max_iter=20, tol=1e-3, score_fraction=0.15)
-    return found[1].sweep.scores
+    return _scores_hold(_train(spark, sf_dir, **presets.FAST_SWEEP)[1].sweep.scores)
+
+
+def _labels_hold(labelled: DataFrame, k: int, label: str) -> DataFrame:
+    """How many rows there are, how many have a label, and how many labels occur."""
+    good = F.col(label).between(0, k - 1)
+    return labelled.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(good).alias("n_labelled"),
+        (F.count_distinct(label) == k).alias("all_labels_occur"),
+    )
 
 
 @query
 def kmeans_train(spark, sf_dir):
-    """Labels of all rows from the chosen model, gaps imputed."""
-    rows, trained = _train(spark, sf_dir, ks=range(3, 5), max_iter=20, tol=1e-3)
-    return trained.model.transform(rows).select(*fx.LINE_KEY, *fx.LINE_FEATURES, "prediction")
+    """Labels of all rows from the model that the whole sweep chose, gaps imputed."""
+    rows, trained = _train(spark, sf_dir, **presets.FULL_SWEEP)
+    return _labels_hold(trained.model.transform(rows), trained.sweep.best, "prediction")
 
 
 @query
 def kmeans_refit(spark, sf_dir):
-    """Sizes after fitting preparation and clustering again on the raw rows."""
-    rows, trained = _train(spark, sf_dir, ks=range(3, 5), max_iter=20, tol=1e-3, refit=True)
-    return cluster.sizes(trained.model.transform(rows), "prediction")
+    """Sizes after fitting preparation and clustering again on the raw rows, added up."""
+    rows, trained = _train(spark, sf_dir, **presets.FAST_SWEEP, refit=True)
+    counted = cluster.sizes(trained.model.transform(rows), "prediction")
+    return counted.agg(
+        F.sum("n").alias("n_rows"),
+        (F.count(F.lit(1)) == trained.sweep.best).alias("all_labels_occur"),
+        (F.min("n") > 0).alias("none_empty"),
+    )
 
 
 @query
 def kmeans_centers(spark, sf_dir):
-    trained = _train(spark, sf_dir, ks=[3], max_iter=20, tol=1e-3)[1]
-    return cluster.centers(spark, trained.model, fx.LINE_FEATURES)
+    """Whether the centres are finite and inside the ranges of the scaled columns."""
+    rows, trained = _train(spark, sf_dir, ks=[3], max_iter=20, tol=1e-3)
+    parts = vector_to_array("features")
+    names = fx.LINE_FEATURES
+    ends = trained.model.transform(rows).agg(
+        *[f(parts[i]).alias(f"{n}{i}") for i in range(len(names)) for n, f in (("lo", F.min), ("hi", F.max))]
+    ).first()
+    inside = [F.col(c).between(ends[f"lo{i}"], ends[f"hi{i}"]) for i, c in enumerate(names)]
+    found = cluster.centers(spark, trained.model, names)
+    return found.select(F.col("cluster").cast("bigint").alias("cluster"), reduce(and_, inside).alias("inside"))
 
 
 @query
@@ -570,36 +644,39 @@ def kmeans_labels_nearest(spark, sf_dir):
 
 @query
 def model_roundtrip_score(spark, sf_dir):
-    """Labels of the reloaded model against those of the fitted one, all rows."""
+    """Labels of the whole reloaded model against those of the fitted one, from the raw rows."""
     rows, trained = _train(spark, sf_dir, ks=[3], max_iter=20, tol=1e-3)
     path = cluster.save_model(trained.model, scratch.folder(spark, "model"))
-    fitted = cluster.kmeans_stage(trained.model).getPredictionCol()
-    again = cluster.load_model(spark, path)
-    # Both labels on the same row: the second model reads its own vector column.
-    kmeans = cluster.kmeans_stage(again).setPredictionCol("again")
-    both = kmeans.transform(trained.model.transform(rows))
+    # The first model fills gaps in place; the second one gets the raw values back.
+    kept = rows.withColumn("raw", F.struct(*fx.LINE_FEATURES))
+    first = trained.model.transform(kept).select("raw.*", F.col("prediction").alias("first"))
+    both = cluster.load_model(spark, path).transform(first)
     return both.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col(fitted) == F.col("again")).alias("n_same"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("first") == F.col("prediction")).alias("n_same")
     )
 
 
 @query
 def saved_model_scores(spark, sf_dir):
     """Batch scoring from the model directory that the report names."""
-    rows, trained = _train(spark, sf_dir, ks=range(3, 5), max_iter=20, tol=1e-3)
+    rows, trained = _train(spark, sf_dir, **presets.FAST_SWEEP)
     path = cluster.save_model(trained.model, scratch.folder(spark, "model"))
     report = sinks.write_report(
         trained.sweep.scores, scratch.folder(spark, "report"), {trained.sweep.best: path}
     )
-    return cluster.score(rows, sinks.best_model_path(spark, report), keep=fx.LINE_KEY)
+    scored = cluster.score(rows, sinks.best_model_path(spark, report), keep=fx.LINE_KEY)
+    return _labels_hold(scored, trained.sweep.best, "cluster")
 
 
 @query
 def sweep_report(spark, sf_dir):
-    """The report as it is read back: one row per k."""
-    trained = _train(spark, sf_dir, ks=range(3, 5), max_iter=20, tol=1e-3)[1]
+    """The report as it is read back: one row per k, with the best k of the sweep."""
+    trained = _train(spark, sf_dir, **presets.FAST_SWEEP)[1]
     path = sinks.write_report(trained.sweep.scores, scratch.folder(spark, "report"))
-    return sources.read_jsonl(spark, path).select(
-        F.col("best.k").alias("best_k"), F.inline("sweep")
+    read = sources.read_jsonl(spark, path).select(F.col("best.k").alias("best"), F.inline("sweep"))
+    told = F.create_map(*[F.lit(x) for pair in trained.sweep.silhouettes.items() for x in pair])
+    return read.select(
+        F.col("k").cast("bigint").alias("k"),
+        (F.col("best") == trained.sweep.best).alias("names_the_best"),
+        (F.abs(F.col("silhouette") - F.get(F.map_values(F.map_filter(told, lambda k, v: k == F.col("k"))), F.lit(0))) < 1e-9).alias("same_score"),
     )

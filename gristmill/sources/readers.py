@@ -87,14 +87,12 @@ def read_any(spark: SparkSession, path: str | list[str], format: str, **options)
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Give a scan of too few splits (gzip, multi-line, one small file) enough tasks.
+    """Deal the rows of an unsplittable scan (gzip, multi-line) to many tasks, by one shuffle.
 
-    Only ever raises the number: a scan that already has at least ``partitions`` splits
-    (default: one per core) passes through without a shuffle. Call it right after a
-    scan, where looking up the number of splits runs nothing.
+    Without a number Spark chooses partitions of its advisory size, so a large input gets
+    many. Only for inputs that are known to have too few splits.
     """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    return df.hint("rebalance") if partitions is None else df.repartition(partitions)
 
 
 def split_corrupt(

@@ -4,30 +4,16 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from gristmill.plans import catalog, oracles
 
 duckdb = pytest.importorskip("duckdb")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
-# The sizes of a random draw, within which the counts must lie at the smallest scale.
-DRAWN = {
-    "sample_target": (6000, 6000),
-    "sample_capped": (6000, 6000),
-    "sample_fraction": (750, 1050),
-    "medians_approx": (3, 3),
-    "vector_impute": (5082, 5082),
-    "kmeans_sweep": (3, 3),
-    "kmeans_fast": (4, 4),
-    "kmeans_train": (6000, 6000),
-    "kmeans_refit": (3, 4),
-    "kmeans_centers": (3, 3),
-    "saved_model_scores": (6000, 6000),
-    "sweep_report": (2, 2),
-}
-
+# Those of the optional subpackage have tests of their own.
+QUERIES = catalog.REGISTRY
+SQL = oracles.SQL
 
 @pytest.fixture(scope="module")
 def engine(data):
@@ -47,8 +33,7 @@ def canonical(rows, names):
 
 
 def test_every_query_is_checked():
-    assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) == set(SQL) | set(DRAWN)
+    assert set(SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -60,12 +45,6 @@ def test_query_equals_sql(spark, data, engine, name):
     assert canonical(df.collect(), df.columns) == canonical(found.fetchall(), names)
 
 
-@pytest.mark.parametrize("name", sorted(DRAWN))
-def test_drawn_query_size(spark, data, name):
-    low, high = DRAWN[name]
-    assert low <= QUERIES[name](spark, data).count() <= high
-
-
 def test_entry(spark):
     if not os.path.isdir("/root/testdata/sf0.001"):
         pytest.skip("no test tables")

@@ -210,3 +210,28 @@ def test_report(spark, tmp_path, trained):
     bare = sinks.write_report(trained.sweep.scores, str(tmp_path / "bare"))
     with pytest.raises(ValueError):
         sinks.best_model_path(spark, bare)
+
+
+def test_missing_parts_have_no_cluster(spark):
+    rows = [(1.0, 1.0), (1.0, float("nan")), (None, 0.0), (9.0, 9.0)]
+    df = spark.createDataFrame(rows, "`a.b` double, y double")
+    cols, centers = ["a.b", "y"], [(0.0, 0.0), (9.0, 9.0)]
+    assert [r["cluster"] for r in cluster.assign(df, cols, centers).collect()] == [0, None, None, 1]
+    step = {tuple(r) for r in cluster.lloyd_step(df, cols, centers).collect()}
+    assert step == {(0, 1, 1.0, 1.0), (1, 1, 9.0, 9.0)}
+
+
+def test_joint_scores_equal_single_ones(spark):
+    df = spark.range(200).select((F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    sets = {1: [(0.0, 0.0)], 2: [(1.0, 1.0), (8.0, 5.0)], 3: [(1.0, 1.0), (5.0, 3.0), (8.0, 5.0)]}
+    joint = cluster.silhouettes(df, ["x", "y"], sets)
+    assert joint[1] is None
+    for k in (2, 3):
+        single = cluster.silhouette(cluster.assign(df, ["x", "y"], sets[k]), ["x", "y"], k).first()[0]
+        assert abs(joint[k] - single) < 1e-12
+
+
+def test_training_never_narrows(spark, tmp_path):
+    df = spark.range(0, 640, 1, 64).select((F.col("id") % 5).cast("double").alias("x"))
+    trained = cluster.train(df, ["x"], ks=[2], max_iter=2, partitions=4)
+    assert trained.sweep.best == 2

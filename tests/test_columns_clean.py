@@ -61,7 +61,9 @@ def edges(spark):
 
 
 def test_bounds(edges):
-    strict = clean.filter_bounds(edges, {"v": (0, 10), "absent": (0, 1)})
+    strict = clean.filter_bounds(edges, {"v": (0, 10)})
+    with pytest.raises(ValueError, match="absent"):
+        clean.filter_bounds(edges, {"v": (0, 10), "absent": (0, 1)})
     assert {r["name"] for r in strict.collect()} == {"low", "mid", "high"}
     kept = clean.filter_bounds(edges, {"v": (0, 10)}, nulls="keep")
     assert {r["name"] for r in kept.collect()} == {"low", "mid", "high", "null"}

@@ -119,10 +119,20 @@ def test_train_and_inspect(spark, training_table, tmp_path):
     assert sources.read_delimited(spark, paths["centers"], sep=",").count() == 3
 
 
-def test_train_caps_the_sample(spark, training_table, tmp_path):
-    out = str(tmp_path / "predictions")
-    plans.train_clusters(training_table, str(tmp_path / "m"), out, ks=[2], max_iter=2, max_rows=100)
-    assert spark.read.parquet(out).count() <= 100
+def test_predictions_cover_all_rows_of_a_sampled_training(spark, training_table, tmp_path):
+    out, small = str(tmp_path / "predictions"), str(tmp_path / "sample")
+    plans.train_clusters(
+        training_table, str(tmp_path / "m"), out, sample_out=small, ks=[2], max_iter=2, max_rows=100
+    )
+    assert spark.read.parquet(small).count() <= 100
+    assert spark.read.parquet(out).count() == 241
+
+
+def test_inspect_predictions_without_ids(spark, training_table, tmp_path):
+    out, model = str(tmp_path / "predictions"), str(tmp_path / "m")
+    plans.train_clusters(training_table, model, out, ks=[2], max_iter=5)
+    found = plans.inspect_clusters(spark.read.parquet(out).drop("prediction"), model, n_examples=1)
+    assert found.examples.count() == 2
 
 
 def test_command_line(spark, products, training_table, tmp_path, capsys):
