@@ -67,49 +67,61 @@ def texts_of(batch: pa.RecordBatch, column: int = -1) -> tuple[pa.Array, np.ndar
     return raw, pc.binary_length(raw).to_numpy(zero_copy_only=False)
 
 
+def block_schema(docs: DataFrame, keep: tuple[str, ...], gaps: bool = False) -> T.StructType:
+    """The columns of a block row: ``block``, ``k_`` arrays of kept columns, ``n_tokens``, packed tokens."""
+    fields = [T.StructField(f"k_{c}", T.ArrayType(docs.schema[c].dataType)) for c in keep]
+    packed = [T.StructField(c, T.BinaryType()) for c in ("lens", "ids", "vocab", *["gaps"] * gaps)]
+    return T.StructType([T.StructField("block", T.LongType()), *fields, T.StructField("n_tokens", T.LongType()), *packed])
+
+
+def pack_blocks(batches: Iterator[pa.RecordBatch], words, names: list[str], gaps: bool = False) -> Iterator[pa.RecordBatch]:
+    """Batches of kept columns and a text, packed to block rows, inside a task."""
+    block = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        raw, sizes = texts_of(batch)
+        for low, high in spans(sizes, BLOCK_BYTES):
+            texts = raw.slice(low, high - low).to_pylist()
+            cut = [words(t) for t in texts]
+            flat = list(chain.from_iterable(cut))
+            vocab = sorted(set(flat))
+            number = dict(zip(vocab, range(len(vocab)), strict=True))
+            ids = np.fromiter(map(number.__getitem__, flat), _id_type(len(vocab)), len(flat))
+            lens = np.fromiter(map(len, cut), np.int64, len(cut))
+            kept = [
+                pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), column.slice(low, high - low))
+                for column in batch.columns[:-1]
+            ]
+            parts = [lens.tobytes(), ids.tobytes(), b"\n".join(vocab)]
+            if gaps:
+                parts.append(zlib.compress(b"\0".join(b"\1".join(_WORD.split(t)) for t in texts), 1))
+            packed = [pa.array([x], pa.binary()) for x in parts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), *kept, pa.array([len(flat)], pa.int64()), *packed], names=names
+            )
+            block += 1
+
+
+def block_source(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
+    """What ``pack_blocks`` reads: the kept columns and the text, whatever their names."""
+    return docs.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)], F.col(quoted(text)).alias("text"))
+
+
 def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[str, ...] = ("doc_id",), gaps: bool = False) -> DataFrame:
     """One row per block: ``block``, an array for each column in ``keep``, and packed tokens.
 
-    ``lens`` has the int64 token count of each document, ``ids`` the uint32 token numbers,
-    ``vocab`` the words in byte order joined by line feeds. Null text counts as empty. Column
-    names in ``docs`` cannot clash, as only the named ones are read. ``block`` is unique within
-    a run; write the result before it is used twice. With ``gaps``, the white space around the
-    words is kept too (see ``gaps_of``), so that whole texts can be put together again.
+    ``lens`` has the int64 token count of each document, ``ids`` the token numbers (two bytes each
+    where the vocabulary has 65,536 words at most, else four), ``vocab`` the words in byte order
+    joined by line feeds. Null text counts as empty. Column names in ``docs`` cannot clash, as only
+    the named ones are read. ``block`` is unique within a run; write the result before it is used
+    twice. With ``gaps``, the white space around the words is kept too (see ``gaps_of``), so that
+    whole texts can be put together again.
     """
-    fields = [T.StructField(f"k_{c}", T.ArrayType(docs.schema[c].dataType)) for c in keep]
-    schema = T.StructType(
-        [T.StructField("block", T.LongType()), *fields, T.StructField("n_tokens", T.LongType())]
-        + [T.StructField(c, T.BinaryType()) for c in ("lens", "ids", "vocab", *["gaps"] * gaps)]
-    )
-
-    def build(batches):
-        block = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            raw, sizes = texts_of(batch)
-            for low, high in spans(sizes, BLOCK_BYTES):
-                texts = raw.slice(low, high - low).to_pylist()
-                cut = [words(t) for t in texts]
-                flat = list(chain.from_iterable(cut))
-                vocab = sorted(set(flat))
-                number = dict(zip(vocab, range(len(vocab)), strict=True))
-                ids = np.fromiter(map(number.__getitem__, flat), np.uint32, len(flat))
-                lens = np.fromiter(map(len, cut), np.int64, len(cut))
-                kept = [
-                    pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), batch.column(i).slice(low, high - low))
-                    for i in range(len(keep))
-                ]
-                parts = [lens.tobytes(), ids.tobytes(), b"\n".join(vocab)]
-                if gaps:
-                    parts.append(zlib.compress(b"\0".join(b"\1".join(_WORD.split(t)) for t in texts), 1))
-                packed = [pa.array([x], pa.binary()) for x in parts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), *kept, pa.array([len(flat)], pa.int64()), *packed],
-                    names=schema.names,
-                )
-                block += 1
-
-    source = docs.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)], F.col(quoted(text)).alias("text"))
-    return source.mapInArrow(build, schema)
+    schema = block_schema(docs, keep, gaps)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from pack_blocks(batches, words, schema.names, gaps)
+
+    return block_source(docs, text, keep).mapInArrow(build, schema)
 
 
 def gaps_of(packed: bytes) -> list[list[bytes]]:
@@ -117,10 +129,14 @@ def gaps_of(packed: bytes) -> list[list[bytes]]:
     return [g.split(b"\1") for g in zlib.decompress(packed).split(b"\0")]
 
 
+def _id_type(words: int):
+    return np.uint16 if words <= 1 << 16 else np.uint32
+
+
 def unpack(lens: bytes, ids: bytes, vocab: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Token counts, token numbers and vocabulary of a block."""
     words = vocab.split(b"\n") if vocab else []
-    return np.frombuffer(lens, np.int64), np.frombuffer(ids, np.uint32), words
+    return np.frombuffer(lens, np.int64), np.frombuffer(ids, _id_type(len(words))), words
 
 
 def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:

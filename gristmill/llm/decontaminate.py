@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from gristmill import scratch
 from gristmill.functions.names import quoted
-from gristmill.llm.blocks import alnum_lower, starts_of, token_blocks, unpack
+from gristmill.llm.blocks import alnum_lower, block_schema, block_source, pack_blocks, starts_of, unpack
 
 WINDOW = 10
 #: Free positions between the documents of a block, so that no phrase crosses from one to the next.
@@ -37,24 +37,21 @@ def build_index(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     postings of each word) and ``positions`` (ascending for each word). Null text has no words;
     repeated keys stay separate documents.
     """
-    blocks = token_blocks(docs, alnum_lower, text, (key,))
+    whole = block_schema(docs, (key,))
     names = ["block", f"k_{key}", "lens", "vocab", "counts", "positions"]
-    schema = T.StructType(
-        [blocks.schema[c] for c in names[:4]] + [T.StructField(c, T.BinaryType()) for c in names[4:]]
-    )
+    schema = T.StructType([whole[c] for c in names[:4]] + [T.StructField(c, T.BinaryType()) for c in names[4:]])
 
     def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                lens, ids, words = unpack(*(row.column(c)[0].as_py() for c in ("lens", "ids", "vocab")))
-                order = np.argsort(ids, kind="stable")
-                place = np.arange(len(ids)) + GAP * (1 + np.repeat(np.arange(len(lens)), lens))
-                counts = np.bincount(ids, minlength=len(words)).astype(np.uint32)
-                packed = [pa.array([x.tobytes()], pa.binary()) for x in (counts, place[order].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([*(row.column(c) for c in names[:4]), *packed], names=names)
+        for row in pack_blocks(batches, alnum_lower, whole.names):
+            lens, ids, words = unpack(*(row.column(c)[0].as_py() for c in ("lens", "ids", "vocab")))
+            order = np.argsort(ids, kind="stable")
+            place = np.arange(len(ids)) + GAP * (1 + np.repeat(np.arange(len(lens)), lens))
+            kind = np.uint32 if not len(place) or place[-1] < 1 << 32 else np.int64
+            counts = np.bincount(ids, minlength=len(words)).astype(np.uint32)
+            packed = [pa.array([x.tobytes()], pa.binary()) for x in (counts, place[order].astype(kind))]
+            yield pa.RecordBatch.from_arrays([*(row.column(c) for c in names[:4]), *packed], names=names)
 
-    return scratch.materialize(blocks.mapInArrow(invert, schema), "postings")
+    return scratch.materialize(block_source(docs, text, (key,)).mapInArrow(invert, schema), "postings")
 
 
 class Phrases:
@@ -143,7 +140,9 @@ def search(index: DataFrame, items: DataFrame, item: str = "item_id", text: str
                     row = {c: batch.column(c)[i] for c in batch.schema.names}
                     words = row["vocab"].as_py().split(b"\n")
                     counts = np.frombuffer(row["counts"].as_py(), np.uint32)
-                    positions = np.frombuffer(row["positions"].as_py(), np.int64)
+                    packed = row["positions"].as_py()
+                    wide = len(packed) > 4 * counts.sum(dtype=np.int64)
+                    positions = np.frombuffer(packed, np.int64 if wide else np.uint32).astype(np.int64)
                     if not len(positions) or not len(wanted.lens):
                         continue
                     window_nr, start = wanted.find(words, counts, positions, slop)
