@@ -10,7 +10,6 @@ input. No text is cut: a longer document is a block of its own.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -18,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from gristmill.functions.names import quoted
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ALNUM = bytes(
@@ -74,12 +74,13 @@ def block_schema(docs: DataFrame, keep: tuple[str, ...], gaps: bool = False) ->
     return T.StructType([T.StructField("block", T.LongType()), *fields, T.StructField("n_tokens", T.LongType()), *packed])
 
 
-def pack_blocks(batches: Iterator[pa.RecordBatch], words, names: list[str], gaps: bool = False) -> Iterator[pa.RecordBatch]:
+def pack_blocks(batches: Iterator[pa.RecordBatch], words, names: list[str], gaps: bool = False, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches of kept columns and a text, packed to block rows, inside a task."""
     block = TaskContext.get().partitionId() << 33
+    squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         raw, sizes = texts_of(batch)
-        for low, high in spans(sizes, BLOCK_BYTES):
+        for low, high in spans(sizes, block_bytes):
             texts = raw.slice(low, high - low).to_pylist()
             cut = [words(t) for t in texts]
             flat = list(chain.from_iterable(cut))
@@ -93,7 +94,8 @@ def pack_blocks(batches: Iterator[pa.RecordBatch], words, names: list[str], gaps
             ]
             parts = [lens.tobytes(), ids.tobytes(), b"\n".join(vocab)]
             if gaps:
-                parts.append(zlib.compress(b"\0".join(b"\1".join(_WORD.split(t)) for t in texts), 1))
+                parts.append(b"\0".join(b"\1".join(_WORD.split(t)) for t in texts))
+            parts[1:] = [squeeze.compress(x) for x in parts[1:]]
             packed = [pa.array([x], pa.binary()) for x in parts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), *kept, pa.array([len(flat)], pa.int64()), *packed], names=names
@@ -106,12 +108,12 @@ def block_source(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame
     return docs.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)], F.col(quoted(text)).alias("text"))
 
 
-def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[str, ...] = ("doc_id",), gaps: bool = False) -> DataFrame:
+def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[str, ...] = ("doc_id",), gaps: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per block: ``block``, an array for each column in ``keep``, and packed tokens.
 
     ``lens`` has the int64 token count of each document, ``ids`` the token numbers (two bytes each
     where the vocabulary has 65,536 words at most, else four), ``vocab`` the words in byte order
-    joined by line feeds. Null text counts as empty. Column names in ``docs`` cannot clash, as only
+    joined by line feeds; all but the counts are compressed, as blocks are shuffled whole. Null text counts as empty. Column names in ``docs`` cannot clash, as only
     the named ones are read. ``block`` is unique within a run; write the result before it is used
     twice. With ``gaps``, the white space around the words is kept too (see ``gaps_of``), so that
     whole texts can be put together again.
@@ -119,14 +121,24 @@ def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[
     schema = block_schema(docs, keep, gaps)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from pack_blocks(batches, words, schema.names, gaps)
+        yield from pack_blocks(batches, words, schema.names, gaps, block_bytes)
 
     return block_source(docs, text, keep).mapInArrow(build, schema)
 
 
+def expand(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed) if packed else b""
+
+
+def vocabulary(packed: bytes) -> list[bytes]:
+    """The words of a block."""
+    joined = expand(packed)
+    return joined.split(b"\n") if joined else []
+
+
 def gaps_of(packed: bytes) -> list[list[bytes]]:
     """For each document the white space before, between and after its words."""
-    return [g.split(b"\1") for g in zlib.decompress(packed).split(b"\0")]
+    return [g.split(b"\1") for g in expand(packed).split(b"\0")]
 
 
 def _id_type(words: int):
@@ -135,8 +147,8 @@ def _id_type(words: int):
 
 def unpack(lens: bytes, ids: bytes, vocab: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Token counts, token numbers and vocabulary of a block."""
-    words = vocab.split(b"\n") if vocab else []
-    return np.frombuffer(lens, np.int64), np.frombuffer(ids, _id_type(len(words))), words
+    words = vocabulary(vocab)
+    return np.frombuffer(lens, np.int64), np.frombuffer(expand(ids), _id_type(len(words))), words
 
 
 def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from gristmill import scratch
 from gristmill.functions.names import quoted
-from gristmill.llm.blocks import alnum_lower, block_schema, block_source, pack_blocks, starts_of, unpack
+from gristmill.llm.blocks import alnum_lower, block_schema, block_source, pack_blocks, starts_of, unpack, vocabulary
 
 WINDOW = 10
 #: Free positions between the documents of a block, so that no phrase crosses from one to the next.
@@ -74,8 +74,8 @@ class Phrases:
         for row, phrase in enumerate(owners):
             self.matrix[row, : len(phrase)] = [number[w] for w in phrase]
 
-    def find(self, words: list[bytes], counts: np.ndarray, positions: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
-        """Window numbers and start positions of all matches in a block."""
+    def find(self, words: list[bytes], counts: np.ndarray, positions: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Window numbers, start positions and places of the rarest term of all matches in a block."""
         at = {w: i for i, w in enumerate(words)}
         local = np.fromiter((at.get(w, -1) for w in self.terms), np.int64, len(self.terms))
         size = np.where(local >= 0, counts[local], 0) if len(words) else np.zeros(len(local), np.int64)
@@ -89,7 +89,8 @@ class Phrases:
         rarest = local[self.matrix[alive, order[:, 0]]] if len(alive) else alive
         n = counts[rarest].astype(np.int64)
         row = np.repeat(np.arange(len(alive)), n)
-        start = positions[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[rarest], n)] - order[row, 0]
+        seat = positions[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[rarest], n)]
+        start = seat - order[row, 0]
         for k in range(1, self.matrix.shape[1]):
             offset = order[row, k]
             term = self.matrix[alive[row], offset]
@@ -97,8 +98,8 @@ class Phrases:
             near = np.minimum(np.searchsorted(keys, key - slop), max(0, len(keys) - 1))
             ok = (term < 0) | (keys[near] <= key + slop) if len(keys) else term < 0
             ok &= (term < 0) | (keys[near] >= key - slop)
-            row, start = row[ok], start[ok]
-        return alive[row], start
+            row, start, seat = row[ok], start[ok], seat[ok]
+        return alive[row], start, seat
 
 
 def search(index: DataFrame, items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW, slop: int = 0) -> DataFrame:
@@ -122,7 +123,7 @@ def search(index: DataFrame, items: DataFrame, item: str = "item_id", text: str
             T.StructField("block", T.LongType()),
             T.StructField("nr", T.IntegerType()),
             T.StructField(key[2:], index.schema[key].dataType.elementType),
-            T.StructField("item", kind),
+            T.StructField("item", T.StringType()),
             T.StructField("starts", T.ArrayType(T.LongType())),
             T.StructField("lengths", T.ArrayType(T.IntegerType())),
         ]
@@ -138,17 +139,17 @@ def search(index: DataFrame, items: DataFrame, item: str = "item_id", text: str
             for batch in batches:
                 for i in range(batch.num_rows):
                     row = {c: batch.column(c)[i] for c in batch.schema.names}
-                    words = row["vocab"].as_py().split(b"\n")
+                    words = vocabulary(row["vocab"].as_py())
                     counts = np.frombuffer(row["counts"].as_py(), np.uint32)
                     packed = row["positions"].as_py()
                     wide = len(packed) > 4 * counts.sum(dtype=np.int64)
                     positions = np.frombuffer(packed, np.int64 if wide else np.uint32).astype(np.int64)
                     if not len(positions) or not len(wanted.lens):
                         continue
-                    window_nr, start = wanted.find(words, counts, positions, slop)
+                    window_nr, start, seat = wanted.find(words, counts, positions, slop)
                     lens = np.frombuffer(row["lens"].as_py(), np.int64)
                     base = starts_of(lens)[:-1] + GAP * (1 + np.arange(len(lens)))
-                    nr = np.maximum(np.searchsorted(base, start, side="right") - 1, 0)
+                    nr = np.searchsorted(base, seat, side="right") - 1
                     found: dict[tuple[int, object], tuple[list[int], list[int]]] = {}
                     for w, n, s in zip(window_nr.tolist(), nr.tolist(), (start - base[nr]).tolist(), strict=True):
                         for owner in wanted.owners[w]:
@@ -161,16 +162,16 @@ def search(index: DataFrame, items: DataFrame, item: str = "item_id", text: str
                             [row["block"].as_py()] * len(found),
                             [n for n, _ in found],
                             [keys[n] for n, _ in found],
-                            [owner for _, owner in found],
+                            [str(owner) for _, owner in found],
                             [s for s, _ in found.values()],
                             [x for _, x in found.values()],
                         ]
-                        types = [pa.int64(), pa.int32(), batch.schema.field(key).type.value_type, None, pa.list_(pa.int64()), pa.list_(pa.int32())]
+                        types = [pa.int64(), pa.int32(), batch.schema.field(key).type.value_type, pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names
                         )
 
-        return index.mapInArrow(scan, schema)
+        return index.mapInArrow(scan, schema).withColumn("item", F.col("item").cast(kind))
 
     return reduce(DataFrame.unionByName, [part(c) for c in range(chunks)])
 

@@ -121,8 +121,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     original text without the removed words and the white space after each.
 
     Null text has no words. A null key counts as larger than all others. Rows with the same key
-    are not repeats of each other. Documents shorter than ``length`` lose nothing.
+    are not repeats of each other. Documents shorter than ``length`` lose nothing. Columns in
+    ``keep`` must not have the name of a result.
     """
+    if {*keep} & {key, "n_words", "n_removed", "kept"}:
+        raise ValueError("a kept column has the name of a result")
     blocks = scratch.materialize(token_blocks(docs, spaced, text, (key, *keep), gaps), "tokens")
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = tokens // 4 // BUCKET + 1

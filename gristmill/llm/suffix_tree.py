@@ -175,7 +175,7 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     total, distinct = known + ends, distinct + (ends > 0)
     # The end is a token: a symbol after the boundary, which starts as many times as there are tokens.
     spark = docs.sparkSession
-    end = grams.where("gram is null").select(F.explode(F.array(F.lit(END), F.lit(EDGE + END))).alias("gram"), F.lit(ends).alias("n"))
+    end = grams.where("gram is null").select(F.explode(F.array(F.lit(END), F.lit(EDGE + END))).alias("gram"), F.lit(ends).alias("n")).where("n > 0")
     tree = spark.sparkContext.broadcast(grow(grams.where("gram is not null").select("gram", "n").unionByName(end)))
 
     def smoothed(token: str, count: int) -> float:
