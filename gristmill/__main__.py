@@ -21,6 +21,7 @@ def arguments() -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=summary)
         sub.add_argument("--input", required=True, help="path of the table")
         sub.add_argument("--format", default="tsv", choices=formats)
+        sub.add_argument("--quarantine", help="where damaged rows of delimited text are written")
         sub.add_argument("--multiline", action="store_true", help="line breaks in quoted fields")
         return sub
 
@@ -33,6 +34,7 @@ def arguments() -> argparse.ArgumentParser:
 
     train = command("train", "choose k by silhouette, save the model and its predictions")
     train.add_argument("--model-out", required=True)
+    train.add_argument("--columns", help="comma-separated columns to train on; default: the preset and its bounds")
     train.add_argument("--predictions-out")
     train.add_argument("--report-out")
     train.add_argument("--sample-out")
@@ -44,6 +46,7 @@ def arguments() -> argparse.ArgumentParser:
 
     inspect = command("inspect", "label rows with a saved model and describe the clusters")
     inspect.add_argument("--model", required=True)
+    inspect.add_argument("--parse", choices=["strict", "lenient"], help="read numbers from text")
     inspect.add_argument("--predictions-out")
     inspect.add_argument("--centers-out")
 
@@ -58,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"gristmill-{args.command}").getOrCreate()
     options = {"multiline": True} if args.multiline else {}
-    df = plans.load_export(spark, args.input, args.format, **options)
+    df = plans.load_export(spark, args.input, args.format, quarantine=args.quarantine, **options)
 
     if args.command == "profile":
         found = plans.profile_table(df)
@@ -79,11 +82,16 @@ def main(argv: list[str] | None = None) -> None:
             refit=args.refit,
             save_each=args.save_each,
             parallelism=args.parallelism,
+            **({"cols": args.columns.split(","), "bounds": {}} if args.columns else {}),
             **sweep,
         )
         trained.sweep.scores.show()
+        print("silhouette of the saved model:", trained.final_silhouette)
+        trained.final_sizes.show()
     elif args.command == "inspect":
-        found = plans.inspect_clusters(df, args.model, args.predictions_out, args.centers_out)
+        found = plans.inspect_clusters(
+            df, args.model, args.predictions_out, args.centers_out, parse=args.parse
+        )
         print("silhouette:", found.silhouette)
         for part in (found.sizes, found.examples, found.centers):
             part.show(100, truncate=80)

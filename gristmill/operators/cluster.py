@@ -316,6 +316,8 @@ class Trained:
     sweep: Sweep
     cols: list[str]
     candidates: dict[int, PipelineModel]
+    final_silhouette: float | None = None
+    final_sizes: DataFrame | None = None
 
 
 def train(
@@ -368,6 +370,16 @@ def train(
     return Trained(model, found, cols, candidates)
 
 
+def final_report(
+    model: PipelineModel, df: DataFrame, share: float = 0.15, seed: int = 123
+) -> tuple[float | None, DataFrame]:
+    """How the model that is kept does: the silhouette on a Bernoulli sample of ``df``, and
+    the cluster sizes over all of it."""
+    made, vector = kmeans_stage(model).getPredictionCol(), kmeans_stage(model).getFeaturesCol()
+    drawn = model.transform(sample.fraction(df, share, seed)).select(made, vector)
+    return evaluate(drawn, made, vector), sizes(model.transform(df), made)
+
+
 # ---- models: centres, storage, scoring ---------------------------------------------
 
 

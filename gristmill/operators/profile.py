@@ -57,6 +57,29 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def overview(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Row count, nulls and summary of every column in one scan: one row per column, held locally.
+
+    ``position, column, type, n_rows, nulls, count, mean, stddev, min, max``; the driver reads as
+    many rows as there are columns.
+    """
+
+    def measures(col):
+        value = col.cast("double")
+        return [
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(col.isNull()).alias("nulls"),
+            F.count(value).alias("count"),
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("stddev"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+        ]
+
+    found = _long(df, cols or df.columns, measures)
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
 def group_mean(df: DataFrame, key: str, value: str) -> DataFrame:
     """``key, n, avg`` in key order."""
     return (

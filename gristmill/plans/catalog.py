@@ -153,17 +153,12 @@ def corrupt_split(spark, sf_dir):
     lines = table(spark, sf_dir, "part").select(F.expr(fx.DAMAGED_PART).alias("value"))
     path = scratch.folder(spark, "damaged")
     lines.write.text(path)
-    good, bad = sources.split_corrupt(
+    rows = sources.mark_corrupt(
         spark, path, schema="p_partkey string, p_brand string, p_size string", header=False
     )
-    sides = [
-        side.select(F.lit(name).alias("side"), F.col("p_partkey").cast("bigint").alias("key"))
-        for name, side in (("good", good), ("bad", bad))
-    ]
-    return (
-        reduce(DataFrame.unionAll, sides)
-        .groupBy("side")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("key").alias("sum_key"))
+    side = F.when(F.col(sources.CORRUPT).isNull(), "good").otherwise("bad").alias("side")
+    return rows.groupBy(side).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("p_partkey").cast("bigint")).alias("sum_key")
     )
 
 

@@ -23,9 +23,20 @@ def load_export(
     format: str,
     struct: str = "nutriments",
     synonyms: Mapping[str, Sequence[str]] = presets.PROFILE_SYNONYMS,
+    quarantine: str | None = None,
     **options,
 ) -> DataFrame:
-    """Read a dump; of a JSON dump also lift the nutrient struct to top-level columns."""
+    """Read a dump; of a JSON dump also lift the nutrient struct to top-level columns.
+
+    With ``quarantine``, rows of delimited text with too many or too few fields are written
+    there and do not come back.
+    """
+    if quarantine is not None:
+        if format not in ("tsv", "csv"):
+            raise ValueError("only delimited text has a quarantine")
+        good, bad = sources.split_corrupt(spark, path, sep="\t" if format == "tsv" else ",", **options)
+        sinks.write_parquet(bad, quarantine)
+        return good
     df = sources.read_any(spark, path, format, **options)
     if format != "jsonl":
         return df
@@ -53,11 +64,12 @@ def profile_table(
     """First look at a dump: which features exist, their summary, their gaps."""
     mapping = columns.resolve(df, synonyms, required=True)
     numbers = clean.parse_columns(columns.select_resolved(df, mapping), list(mapping))
+    seen = profile.overview(numbers)
     return Profile(
         mapping=mapping,
-        summary=profile.describe(numbers),
-        nulls=profile.null_counts(numbers),
-        rows=profile.row_count(df),
+        summary=seen.drop("n_rows", "nulls"),
+        nulls=seen.select("position", "column", "type", "nulls"),
+        rows=seen.select("n_rows").limit(1),
         head=profile.head(df, head),
         ids=profile.head(columns.select_present(df, ids), id_rows),
     )
@@ -143,6 +155,7 @@ def train_clusters(
     if sample_out is not None:
         chosen = df.sparkSession.read.parquet(sinks.write_parquet(chosen, sample_out))
     trained = cluster.train(chosen, names, seed=seed, **training)
+    trained.final_silhouette, trained.final_sizes = cluster.final_report(trained.model, rows)
     cluster.save_model(trained.model, model_out)
     paths = {trained.sweep.best: model_out}
     if save_each:
@@ -175,22 +188,34 @@ def inspect_clusters(
     profile_cols: Iterable[str] = (),
     n_examples: int = 5,
     label: str = "cluster",
+    synonyms: Mapping[str, Sequence[str]] | None = None,
+    parse: str | None = None,
 ) -> Inspection:
     """Label every row with a saved model and report on the clusters.
 
+    ``synonyms`` finds the model's columns under other spellings, ``parse`` ("strict" or
+    "lenient") reads them from text, so a raw export can be given as it is.
+
     The labelled rows are written once; the reports read them. The profile's means are
     those of the unscaled columns, gaps filled the way the model fills them.
     """
     spark = df.sparkSession
+    profile_cols = list(profile_cols)
     model = cluster.load_model(spark, model_path)
-    columns.require(df, cluster.input_columns(model))
+    inputs = cluster.input_columns(model)
+    if synonyms is not None:
+        found = columns.resolve(df, {c: synonyms.get(c, [c]) for c in inputs}, required=True)
+        df = columns.select_resolved(df, found, keep=[c for c in [*ids, *profile_cols] if c in df.columns and c not in found])
+    columns.require(df, inputs)
+    if parse is not None:
+        df = clean.parse_columns(df, inputs, parse)
+    made, vector = cluster.kmeans_stage(model).getPredictionCol(), cluster.kmeans_stage(model).getFeaturesCol()
+    # A table that was prepared or labelled before has columns that the model makes anew.
+    df = df.drop(*[c for c in (vector, f"{vector}_raw", made) if c not in inputs])
     labelled = model.transform(df)
-    made = cluster.kmeans_stage(model).getPredictionCol()
     if made != label:
         labelled = labelled.withColumnRenamed(made, label)
     have = [c for c in ids if c in df.columns]
-    profile_cols = list(profile_cols)
-    vector = cluster.kmeans_stage(model).getFeaturesCol()
     # Only what the reports read is written.
     needed = [*have, label, vector, *profile_cols]
     if not have:

@@ -8,6 +8,7 @@ from gristmill.sources.readers import (
     read_jsonl,
     read_parquet,
     split_corrupt,
+    mark_corrupt,
     spread,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "read_jsonl",
     "read_parquet",
     "split_corrupt",
+    "mark_corrupt",
     "spread",
 ]

@@ -95,16 +95,16 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.hint("rebalance") if partitions is None else df.repartition(partitions)
 
 
-def split_corrupt(
+def mark_corrupt(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str | None = None,
     corrupt: str = CORRUPT,
     **options,
-) -> tuple[DataFrame, DataFrame]:
-    """``(good, bad)`` rows of delimited text; ``bad`` also has the raw row.
+) -> DataFrame:
+    """Rows of delimited text with the raw row in column ``corrupt`` where it is damaged, else null.
 
-    Rows with more or fewer fields than the header are bad. The parser sees every field
+    Rows with more or fewer fields than the header are damaged. The parser sees every field
     whatever is selected later, because column pruning is off for this scan, so nothing
     has to be cached for the damage to be noticed. Without a schema all columns are
     strings named by the header.
@@ -113,7 +113,6 @@ def split_corrupt(
         schema = read_delimited(spark, path, **options).schema
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    names = schema.names
     marked = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     rows = read_delimited(
         spark,
@@ -122,8 +121,22 @@ def split_corrupt(
         **{**options, "columnNameOfCorruptRecord": corrupt, "columnPruning": False},
     )
     # Spark refuses a scan that needs nothing but the corrupt-record column; this
-    # always-true test makes a bare count of either side name a data column as well.
-    anchored = F.length(F.concat_ws("", F.col(quoted(names[0])).cast("string"))) >= 0
+    # always-true test makes a bare count name a data column as well.
+    return rows.where(F.length(F.concat_ws("", F.col(quoted(schema.names[0])).cast("string"))) >= 0)
+
+
+def split_corrupt(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str | None = None,
+    corrupt: str = CORRUPT,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` rows of delimited text; ``bad`` also has the raw row.
+
+    Each side is a scan of its own; to look at both in one, use ``mark_corrupt``.
+    """
+    rows = mark_corrupt(spark, path, schema, corrupt, **options)
     is_bad = F.col(quoted(corrupt)).isNotNull()
-    good = rows.where(~is_bad & anchored).select(*[F.col(quoted(n)) for n in names])
-    return good, rows.where(is_bad & anchored)
+    good = rows.where(~is_bad).select(*[F.col(quoted(n)) for n in rows.columns if n != corrupt])
+    return good, rows.where(is_bad)

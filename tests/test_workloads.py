@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from conftest import as_set
+from conftest import as_set, plan_of
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -160,3 +160,29 @@ def test_command_line(spark, products, training_table, tmp_path, capsys):
     main(["words", "--input", products, "--column", "product_name", "--out", words])
     counts = {r["word"]: r["n"] for r in spark.read.parquet(words).collect()}
     assert counts["name"] == 240
+
+
+def test_prepare_train_inspect_chain(spark, products, tmp_path):
+    """The stored features of one workload are the next one's input; a raw export can be inspected."""
+    paths = {n: str(tmp_path / n) for n in ("features", "model", "report", "model2", "bad")}
+    raw = plans.load_export(spark, products, "tsv", quarantine=paths["bad"])
+    stored = plans.prepare_features(raw, out=paths["features"])
+    names = ["energy", "fat", "carbs", "salt"]
+    trained = plans.train_clusters(
+        stored, paths["model"], report_out=paths["report"], cols=names, bounds={}, parse=None,
+        ks=range(2, 4), max_iter=5, refit=True,
+    )
+    assert trained.final_silhouette is None or -1 <= trained.final_silhouette <= 1
+    assert sum(r["n"] for r in trained.final_sizes.collect()) == stored.count()
+    best = sinks.best_model_path(spark, paths["report"])
+    found = plans.inspect_clusters(stored, best, n_examples=1)
+    assert sum(r["n"] for r in found.sizes.collect()) == stored.count()
+    again = plans.inspect_clusters(raw, best, synonyms=presets.NUTRIENT_SYNONYMS, parse="strict")
+    assert sum(r["n"] for r in again.sizes.collect()) == raw.count()
+
+
+def test_profile_reads_its_input_once(spark, products):
+    seen = plans.profile_table(sources.read_delimited(spark, products))
+    for part in (seen.summary, seen.nulls, seen.rows):
+        assert "FileScan" not in plan_of(part)
+    assert seen.rows.first()["n_rows"] == sources.read_delimited(spark, products).count()
