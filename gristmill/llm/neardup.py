@@ -175,7 +175,8 @@ def links(blocks: DataFrame, nodes: DataFrame) -> DataFrame:
         "shingles",
         "sig",
     )
-    return dealt.groupBy("family", "lo", "hi").applyInArrow(_confirm, "a long, b long")
+    # Dealt anew, as else all pairs of blocks of a family would stay in the task of the family.
+    return dealt.repartition("family", "lo", "hi").groupBy("family", "lo", "hi").applyInArrow(_confirm, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

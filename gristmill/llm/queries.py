@@ -212,3 +212,41 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
 FROM m
 """
+
+# The patterns of the line rules, as text.
+_TERMINAL = quality.TERMINAL.replace("'", "''")
+_BARE = "regexp_replace(y, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')"
+_LINE_PASSES = f"""
+  (regexp_matches(b, '{_TERMINAL}')
+   OR (regexp_matches(b, '[.,;:!?]') AND len({_SPACED.format("b")}) >= {quality.LONG_LINE}))
+  AND length(b) - length(regexp_replace(b, '{quality.NAVIGATION}', '', 'g')) < {quality.MAX_NAVIGATION}
+  AND NOT regexp_matches(b, '{quality.BOILERPLATE}')"""
+
+SQL["op6_quality_rules"] = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, {_SPACED.format("coalesce(text, '')")} AS w,
+         [y FOR y IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(y, '[^\\x20\\x09-\\x0D]')] AS x
+  FROM documents
+),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s : s + 4], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS s FROM d)
+),
+often AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, win) AS n FROM win) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + 5)) AS p FROM often) GROUP BY doc_id),
+good AS (
+  SELECT doc_id, sum(length(y)) AS n FROM (SELECT doc_id, y, {_BARE} AS b FROM (SELECT doc_id, unnest(x) AS y FROM d))
+  WHERE {_LINE_PASSES} GROUP BY doc_id
+),
+m AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(x) - len(list_distinct(x)) AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words, coalesce(good.n, 0) AS good, length(array_to_string(x, '')) AS chars
+  FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN good USING (doc_id)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+         AND 100 * good >= {quality.MIN_KEPT_PERCENT} * chars AS kept
+FROM m
+"""
