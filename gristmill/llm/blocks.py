@@ -4,7 +4,8 @@ A block is one row that holds some whole documents: their ids, their token count
 numbers of all of them in a row, and the block's own sorted vocabulary. Words are strings only
 inside the vocabulary, so everything downstream is arithmetic on integer arrays. A block grows
 to ``BLOCK_BYTES`` of text or one document, whichever is more; its size does not depend on the
-input. No text is cut: a longer document is a block of its own.
+input. No text is cut: a longer document is a block of its own. Blocks are small enough for most
+token numbers to fit two bytes, and compressed, since some operators shuffle them twice.
 """
 
 from __future__ import annotations
