@@ -126,6 +126,7 @@ def _range_profile() -> str:
 
 
 _DIRTY = f"SELECT {_KEY}, {fx.DIRTY_PRICE} AS price FROM lineitem"
+# Fixed value: the number that lenient parsing looks for.
 _NUMBER = r"(-?\d+(?:\.\d+)?)"
 _RANK = "CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
 

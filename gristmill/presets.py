@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The columns that name a product.
 ID_COLUMNS = ["code", "product_name", "brands", "countries"]
 
 # Accepted spellings per nutrient, first present one wins.
@@ -17,7 +18,7 @@ NUTRIENT_SYNONYMS = {
     "sodium": ["sodium_100g"],
 }
 
-# The first look at a dump prefers kilocalories over kilojoules.
+# The same, but a first look at a dump prefers kilocalories over kilojoules.
 PROFILE_SYNONYMS = NUTRIENT_SYNONYMS | {
     "energy": ["energy-kcal_100g", "energy-kj_100g", "energy_100g"],
 }
@@ -47,6 +48,7 @@ TRAINING_BOUNDS = {
 }
 TRAINING_COLUMNS = list(TRAINING_BOUNDS)
 
+# Sample size, seed, and the sizes of the two sweeps.
 SAMPLE_TARGET = 200_000
 SEED = 42
 FULL_SWEEP = {"ks": range(3, 11), "max_iter": 50}

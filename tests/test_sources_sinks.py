@@ -1,7 +1,6 @@
 import glob
 import gzip
 import json
-import os
 
 import pytest
 from conftest import as_set, plan_of
