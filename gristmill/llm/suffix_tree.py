@@ -34,8 +34,6 @@ DEPTH = 5
 MIN_SHARE = 2e-5
 #: Tokens of the corpus for each bucket of the vocabulary.
 BUCKET = 4_000_000
-#: Larger blocks than elsewhere, as what is shuffled is one entry per block and distinct token.
-BLOCK_BYTES = 4 << 20
 EDGE, END = " ", "\n"  # no token has them
 UNIFORM = 1 / 0x110000
 MEMO = 500_000
