@@ -183,7 +183,8 @@ def op8_lm_scoring(spark, sf_dir):
 def op1_warc_transactions(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     records = warc.read(spark, warc.write(pages, scratch.folder(spark, "warc")))
-    # Digests are taken from what was read; payloads of captures need not be shuffled for them.
+    # Digests are taken from what was read, in one pass over the archives; payloads of captures
+    # need not be shuffled for them.
     body = F.when(~F.col("type").isin("response", "revisit"), F.col("payload"))
     full = F.col("type") == "response"
     sized = records.withColumns(
@@ -193,7 +194,7 @@ def op1_warc_transactions(spark, sf_dir):
             "payload": body,
         }
     )
-    captures = warc.assemble(sized)
+    captures = warc.assemble(scratch.materialize(sized, "records"))
     return captures.select(
         warc.field(F.col("metadata"), "key").cast("bigint").alias("page_id"),
         F.col("main.payload_bytes").alias("payload_bytes"),
