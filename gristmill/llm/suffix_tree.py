@@ -1,18 +1,19 @@
-"""Language-model scores by a probabilistic suffix tree over the characters of tokens.
-
-A token is the string of its characters between boundary marks. A context is a run of up to
-``DEPTH`` characters before a symbol and reaches back to the token's start. A context is a
-candidate if it makes up ``MIN_SHARE`` of all training symbols at least, and is retained if its
-next-symbol distribution diverges from that of its suffix by more than a penalty for its size.
-Distributions are smoothed with those of the longest retained suffix. The state of a symbol is the
-longest retained suffix of what precedes it. The whole token is the longest context of all: its
-own count is smoothed with its probability under the tree, which stands for as many tokens as
-there are distinct ones.
-
-Texts are read once, into blocks. As the probability of a token follows from its spelling, it is
-worked out once for each distinct token of a bucket and sent back to the blocks, together with the
-token's exact count; so no pair of token and document is ever shuffled. The tree itself is bounded
-by ``MIN_SHARE``; what is counted for it grows with the corpus.
+"""Language-model scores by a probabilistic suffix tree over tokens, with spellings at its root.
+
+A context is a run of up to ``WORDS`` tokens of the same document before a token (see ``ladder``
+for which are retained). The state of a token is the longest retained suffix of what precedes it;
+its distribution is smoothed with those of the shorter ones, down to the root, which has no
+context. There a token's count is smoothed with its probability by a tree over its characters,
+which stands for as many tokens as there are distinct ones.
+
+Characters: a token stands between boundary marks, a context is a run of up to ``DEPTH`` characters
+that reaches back to the token's start, is a candidate if it makes up ``MIN_SHARE`` of all training
+symbols, and is retained if its next-symbol distribution diverges from that of its suffix by more
+than a penalty for its size.
+
+Texts are read once, into blocks. The root's probability of a token is worked out once for each
+distinct token of a bucket and sent back to the blocks, together with the token's exact count;
+grams of several tokens are added up in the blocks before they are sent. No text is shuffled.
 """
 
 from __future__ import annotations
@@ -24,10 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gristmill import scratch
 from gristmill.functions.names import quoted
-from gristmill.llm.blocks import spaced_lower, starts_of, token_blocks, unpack, word_hashes
+from gristmill.llm.blocks import mix, spaced_lower, starts_of, token_blocks, unpack, word_hashes
+from gristmill.llm.blocks import vocabulary as block_words
+from gristmill.llm.ladder import HOT, LEAST, climb, loose, squeezed
 
 DEPTH = 5
 #: At most ``DEPTH / MIN_SHARE`` contexts can be candidates, whatever the corpus.
@@ -37,6 +42,10 @@ BUCKET = 4_000_000
 EDGE, END = " ", "\n"  # no token has them
 UNIFORM = 1 / 0x110000
 MEMO = 500_000
+#: Tokens of a context.
+WORDS = 3
+END_SYMBOL = mix(word_hashes([b"\n"]))[0]
+TINY = 1e-200
 
 
 class Tree:
@@ -128,13 +137,14 @@ def grow(grams: DataFrame) -> Tree:
     return Tree([tuple(r) for r in chosen.toLocalIterator()])
 
 
-def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id") -> DataFrame:
+def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id", least: int = LEAST, hot: int = HOT) -> DataFrame:
     """Per document row: key, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Tokens are the lower-cased words and one end. ``train`` says which rows are learned from (null:
     not). ``n_known`` counts tokens seen in training, ``base_score`` is the log10 probability under
-    single-token counts with 0.1 added, ``score`` that under the tree. Null and empty texts have
-    only the end. Without training rows all scores are those of a uniform model.
+    single-token counts with 0.1 added, ``score`` that of each token after its longest retained
+    context of up to ``WORDS`` tokens of the same document. A context was seen ``least`` times in
+    training at least; ``hot`` is where its counts are split. Null and empty texts have only the end. Without training rows all scores are those of a uniform model.
     """
     marked = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(train, F.lit(False)).alias("train"), F.col(quoted(text)).alias("text"))
     blocks = scratch.materialize(token_blocks(marked, spaced_lower, "text", ("key", "train")), "tokens")
@@ -179,8 +189,10 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     tree = spark.sparkContext.broadcast(grow(grams.where("gram is not null").select("gram", "n").unionByName(end)))
 
     def smoothed(token: str, count: int) -> float:
-        weight = max(1, distinct)
-        return math.log10((count + weight * 10 ** tree.value.log10(token)) / (total + weight))
+        weight, spelled = max(1, distinct), tree.value.log10(token)
+        if not count:
+            return math.log10(weight / (total + weight)) + spelled
+        return math.log10((count + weight * 10**spelled) / (total + weight))
 
     def judge(group: pa.Table) -> pa.Table:
         rows, counts = _merged(group)
@@ -196,41 +208,58 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
 
     judged = entries.groupBy("bucket").applyInArrow(judge, "block long, bucket long, counts binary, values binary")
     back = judged.groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "values")).alias("back"))
-    kind = docs.schema[key].dataType.simpleString()
-    names = ["key", "train", "n_tokens", "n_known", "base_score", "score"]
+    end_score = smoothed(END, ends)
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = math.log10(total + 0.1 * (distinct + 1))
-        base = lambda c: np.log10(c + 0.1) - least
-        end_score = smoothed(END, ends)
+    def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("lens", "ids", "vocab", "back")}
-                lens, ids, words = unpack(row["lens"], row["ids"], row["vocab"])
+                row = {c: batch.column(c)[i].as_py() for c in ("vocab", "back")}
+                words = block_words(row["vocab"])
                 c, v = np.zeros(len(words), np.int64), np.zeros(len(words))
                 of = bucket_of(words)
                 for b in row["back"] or []:
                     at = np.flatnonzero(of == b["bucket"])
                     c[at] = np.frombuffer(b["counts"], np.int64)
                     v[at] = np.frombuffer(b["values"], np.float64)
-                held, heads = np.flatnonzero(lens), starts_of(lens)[:-1]
-
-                def sums(per_word: np.ndarray, end: float, ids=ids, lens=lens, held=held, heads=heads) -> np.ndarray:
-                    out = np.full(len(lens), end, per_word.dtype)
-                    if len(held):
-                        out[held] += np.add.reduceat(per_word[ids], heads[held])
-                    return out
-
-                columns = [
-                    batch.column("k_key")[i].values,
-                    batch.column("k_train")[i].values,
-                    pa.array(lens + 1),
-                    pa.array(sums((c > 0).astype(np.int64), int(ends > 0))),
-                    pa.array(sums(base(c), float(base(ends)))),
-                    pa.array(sums(v, end_score)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    whole = blocks.select("block", "k_key", "k_train", "lens", "ids", "vocab").join(back.hint("shuffle_hash"), "block", "left")
-    out = whole.mapInArrow(add_up, f"key {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+                held = [batch.column(n).slice(i, 1) for n in names[:-2]]
+                yield pa.RecordBatch.from_arrays([*held, pa.array([squeezed(c)], pa.binary()), pa.array([squeezed(v)], pa.binary())], names=names)
+
+    names = ["unit", "k_key", "k_train", "lens", "ids", "vocab", "counts", "values"]
+    whole = blocks.join(back.hint("shuffle_hash"), "block", "left").select(F.col("block").alias("unit"), *names[1:-2], "back")
+    kept = T.StructType([whole.schema[c] for c in names[:-2]] + [T.StructField(c, T.BinaryType()) for c in names[-2:]])
+    units = scratch.materialize(whole.mapInArrow(attach, kept), "words")
+
+    def spread(row: dict) -> tuple:
+        """Where documents start, their lengths, and per position the symbol, count and root's log10; an end after each document."""
+        lens, ids, words = unpack(row["lens"], row["ids"], row["vocab"])
+        lens = lens + 1
+        starts = starts_of(lens)
+        at = np.ones(starts[-1], bool)
+        at[starts[1:] - 1] = False
+        out = []
+        for per_word, end in ((mix(word_hashes(words)), END_SYMBOL), (loose(row["counts"], np.int64), ends), (loose(row["values"], np.float64), end_score)):
+            x = np.full(len(at), end, per_word.dtype)
+            x[at] = per_word[ids]
+            out.append(x)
+        return starts[:-1], lens, *out
+
+    def read(row: dict) -> tuple:
+        starts, lens, symbols, n, root = spread(row)
+        room = np.arange(len(n)) - np.repeat(starts, lens)
+        weight = np.repeat(np.array(row["k_train"], bool), lens).astype(np.int64)
+        return symbols, room, weight, n, np.maximum(10**root, TINY)
+
+    def finish(row: dict, p: np.ndarray) -> pa.RecordBatch:
+        starts, lens, _, n, root = spread(row)
+        # What was never seen has only weights of contexts, which multiply, so tiny ones are scaled.
+        logs = np.log10(p) + np.minimum(root - math.log10(TINY), 0)
+        base = np.log10(n + 0.1) - math.log10(total + 0.1 * (distinct + 1))
+        sums = [np.add.reduceat(x, starts) if len(starts) else x for x in ((n > 0).astype(np.int64), base, logs)]
+        keys = pa.array(row["k_key"], pa_kind)
+        return pa.RecordBatch.from_arrays([keys, pa.array(row["k_train"], pa.bool_()), pa.array(lens), *map(pa.array, sums)], names=out_names)
+
+    kind, pa_kind = docs.schema[key].dataType.simpleString(), to_arrow_type(docs.schema[key].dataType)
+    out_names = ["key", "train", "n_tokens", "n_known", "base_score", "score"]
+    schema = f"key {kind}, train boolean, n_tokens long, n_known long, base_score double, score double"
+    out = climb(units, read, WORDS, total, tokens, finish, schema, least, hot)
     return out.withColumn("train_tokens", F.lit(total).cast("bigint")).withColumnRenamed("key", key)

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; small brute force."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -349,3 +350,55 @@ def test_warc_of_others(spark, tmp_path):
     assert set(got) == {"<r>", "<s>", "<cut>"}
     assert got["<r>"]["request"]["record_id"] == "<q>" and [m["record_id"] for m in got["<r>"]["metadata"]] == ["<m>"]
     assert got["<s>"]["request"] is None and got["<s>"]["metadata"] == []
+
+
+def by_hand(docs, train, words, least):
+    """Log10 of each token after its longest retained context over that without context, by one dictionary."""
+    counts, sequences = {}, {i: [*t.split(), "\n"] for i, t in docs}
+    for i in train:
+        for at, symbol in enumerate(sequences[i]):
+            for low in range(max(0, at - words), at + 1):
+                own = counts.setdefault(tuple(sequences[i][low:at]), {})
+                own[symbol] = own.get(symbol, 0) + 1
+    sizes = {c: sum(s.values()) for c, s in counts.items()}
+
+    def retained(c):
+        less = c[1:]
+        gain = sum(n * math.log(n * sizes[less] / (sizes[c] * counts[less][s])) for s, n in counts[c].items())
+        return sizes[c] >= least and gain > len(counts[c]) * math.log(sizes[()]) / 2
+
+    tree = {c for c in counts if c and retained(c)}
+
+    def probability(context, symbol, root):
+        while context and context not in tree:
+            context = context[1:]
+        if not context:
+            return root
+        k = len(counts[context])
+        return (counts[context].get(symbol, 0) + k * probability(context[1:], symbol, root)) / (sizes[context] + k)
+
+    return tree, lambda i, roots: sum(math.log10(probability(tuple(s[max(0, at - words) : at]), x, roots[x])) for s in [sequences[i]] for at, x in enumerate(s))
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 40])
+def test_language_model_contexts_of_words(spark, hot):
+    rnd = random.Random(5)
+    phrase = "to be or not to be that is the question whether it is nobler in the mind"
+    docs = []
+    for i in range(300):
+        words = rnd.choices("abcdefghij", k=12)
+        if i % 2:
+            words[5:5] = phrase.split()
+        docs.append((i, " ".join(words)))
+    # One word each: the score of a token without context less that of the end after it.
+    order, vocabulary = phrase.split(), sorted({w for _, t in docs for w in t.split()})
+    docs += [(1000 + k, w) for k, w in enumerate(vocabulary)] + [(1900, ""), (2000, phrase), (2001, " ".join(order[::2] + order[1::2]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {w: {r["doc_id"]: r["score"] for r in suffix_tree.scores(frame, F.col("doc_id") < 300, least=least, hot=hot).collect()} for w, least in (("all", 2), ("none", 10**9))}
+    end = 10 ** got["none"][1900]
+    roots = {"\n": end} | {w: 10 ** (got["none"][1000 + k]) / end for k, w in enumerate(vocabulary)}
+    tree, score = by_hand(docs, range(300), suffix_tree.WORDS, 2)
+    assert {len(c) for c in tree} == {1, 2, 3}
+    assert all(got["all"][i] == pytest.approx(score(i, roots), rel=1e-6) for i, _ in docs)
+    # The same words in another order; a phrase seen often.
+    assert got["none"][2000] == pytest.approx(got["none"][2001]) and got["all"][2000] > got["all"][2001] + 10
