@@ -6,10 +6,10 @@ its distribution is smoothed with those of the shorter ones, down to the root, w
 context. There a token's count is smoothed with its probability by a tree over its characters,
 which stands for as many tokens as there are distinct ones.
 
-Characters: a token stands between boundary marks, a context is a run of up to ``DEPTH`` characters
-that reaches back to the token's start, is a candidate if it makes up ``MIN_SHARE`` of all training
-symbols, and is retained if its next-symbol distribution diverges from that of its suffix by more
-than a penalty for its size.
+Characters: a token stands between boundary marks, and a context is a run of up to ``DEPTH``
+characters that reaches back to the token's start. Their contexts are found and kept like those of
+tokens, over the distinct tokens weighted by their counts. Whether a token is the end is decided
+first, by its share of all tokens.
 
 Texts are read once, into blocks. The root's probability of a token is worked out once for each
 distinct token of a bucket and sent back to the blocks, together with the token's exact count;
@@ -19,7 +19,8 @@ grams of several tokens are added up in the blocks before they are sent. No text
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -34,29 +35,29 @@ from gristmill.llm.blocks import mix, spaced_lower, starts_of, token_blocks, unp
 from gristmill.llm.blocks import vocabulary as block_words
 from gristmill.llm.ladder import HOT, LEAST, climb, loose, squeezed
 
+#: Characters of a context.
 DEPTH = 5
-#: At most ``DEPTH / MIN_SHARE`` contexts can be candidates, whatever the corpus.
-MIN_SHARE = 2e-5
 #: Tokens of the corpus for each bucket of the vocabulary.
 BUCKET = 4_000_000
-EDGE, END = " ", "\n"  # no token has them
+#: Distinct tokens that are spelled at a time.
+SPELLED = 50_000
+EDGE = " "  # no token has it
 UNIFORM = 1 / 0x110000
-MEMO = 500_000
 #: Tokens of a context.
 WORDS = 3
 END_SYMBOL = mix(word_hashes([b"\n"]))[0]
 TINY = 1e-200
+NEVER = 1 << 62
 
 
 class Tree:
-    """Retained contexts with their next-symbol counts."""
+    """Retained contexts with their next-symbol counts, on one machine: what the tables are tested against."""
 
     def __init__(self, grams: list[tuple[str, int]]):
         self.counts: dict[str, dict[str, int]] = {}
         for gram, n in grams:
             self.counts.setdefault(gram[:-1], {})[gram[-1]] = n
         self.totals = {c: sum(s.values()) for c, s in self.counts.items()}
-        self.memo: dict[str, float] = {}
 
     def state(self, context: str) -> str:
         """The longest retained suffix."""
@@ -72,79 +73,87 @@ class Tree:
         rest = self.probability(context[1:], symbol) if context else UNIFORM
         return (own.get(symbol, 0) + weight * rest) / (self.totals.get(context, 0) + weight)
 
-    def log10(self, token: str) -> float:
-        """Log probability of a token's characters and its end."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        spelled = EDGE + token + EDGE if token != END else EDGE + END
-        total = 0.0
-        for i in range(1, len(spelled)):
-            gram = spelled[max(0, i - DEPTH) : i + 1]
-            value = self.memo.get(gram)
-            if value is None:
-                value = self.memo[gram] = math.log10(self.probability(gram[:-1], gram[-1]))
-            total += value
-        return total
-
-
-def _merged(group: pa.Table) -> tuple[list[list[bytes]], dict[bytes, int]]:
-    """The words of each block's row of a bucket, and the training counts of all of them."""
-    rows, counts = [], {}
+
+def _distinct(group: pa.Table) -> pa.Table:
+    """The distinct words of a bucket with their training counts, ``SPELLED`` to a row."""
+    counts: dict[bytes, int] = {}
     for words, own in zip(group.column("words"), group.column("counts"), strict=True):
-        words = words.as_py().split(b"\n")
-        rows.append(words)
-        for w, n in zip(words, np.frombuffer(own.as_py(), np.int64).tolist(), strict=True):
+        for w, n in zip(words.as_py().split(b"\n"), np.frombuffer(own.as_py(), np.int64).tolist(), strict=True):
             counts[w] = counts.get(w, 0) + n
-    return rows, counts
-
-
-def _spelling(group: pa.Table) -> pa.Table:
-    """Counts of all contexts with their next symbols in a bucket; a null gram has its totals."""
-    _, counts = _merged(group)
-    found: dict[str, int] = {}
-    for word, n in counts.items():
-        if n:
-            spelled = f"{EDGE}{word.decode('utf-8', 'replace')}{EDGE}"
-            for i in range(1, len(spelled)):
-                for low in range(max(0, i - DEPTH), i + 1):
-                    gram = spelled[low : i + 1]
-                    found[gram] = found.get(gram, 0) + n
-    held = [n for n in counts.values() if n]
+    words, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+    bucket = group.column("bucket")[0].as_py() if group.num_rows else 0
+    starts = range(0, len(words), SPELLED)
+    cut = [n[i : i + SPELLED] for i in starts]
     return pa.table(
         {
-            "gram": pa.array([None, *found], pa.string()),
-            "n": pa.array([sum(held), *found.values()], pa.int64()),
-            "words": pa.array([len(held), *[0] * len(found)], pa.int64()),
+            "unit": pa.array([bucket << 20 | i for i in range(len(cut))], pa.int64()),
+            "bucket": pa.array([bucket] * len(cut), pa.int64()),
+            "words": pa.array([b"\n".join(words[i : i + SPELLED]) for i in starts], pa.binary()),
+            "counts": pa.array([x.tobytes() for x in cut], pa.binary()),
+            "known": pa.array([int(x.sum()) for x in cut], pa.int64()),
+            "held": pa.array([int((x > 0).sum()) for x in cut], pa.int64()),
         }
     )
 
 
-def grow(grams: DataFrame) -> Tree:
-    """The tree from counts of grams (a context and one symbol). The driver gets the retained part."""
-    total = grams.where("length(gram) = 1").agg(F.sum("n")).first()[0] or 0
-    least = MIN_SHARE * total
-    parts = grams.select(F.expr("left(gram, length(gram) - 1)").alias("context"), F.expr("right(gram, 1)").alias("symbol"), "n")
-    sizes = parts.groupBy("context").agg(F.sum("n").alias("size")).where(F.col("size") >= least)
-    known = scratch.materialize(parts.join(sizes, "context"), "contexts")
-    suffix = known.select(F.col("context").alias("suffix"), "symbol", F.col("n").alias("m"), F.col("size").alias("whole"))
-    pairs = known.where("context <> ''").withColumn("suffix", F.expr("substring(context, 2)")).join(suffix, ["suffix", "symbol"])
-    gain = F.sum(F.col("n") * F.log(F.col("n") * F.col("whole") / (F.col("size") * F.col("m"))))
-    tested = pairs.groupBy("context").agg(gain.alias("gain"), F.count(F.lit(1)).alias("k"))
-    kept = tested.where(F.col("gain") > F.col("k") * math.log(max(2, total)) / 2).select("context")
-    root = known.where("context = ''")
-    chosen = known.join(kept, "context", "left_semi").unionByName(root).select(F.concat("context", "symbol"), "n")
-    # At most DEPTH / MIN_SHARE contexts.
-    return Tree([tuple(r) for r in chosen.toLocalIterator()])
-
-
-def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id", least: int = LEAST, hot: int = HOT) -> DataFrame:
+def _spelled(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The characters of all words between boundary marks, where words start, their lengths and counts."""
+    text = EDGE + row["words"].decode("utf-8", "replace").replace("\n", EDGE + EDGE) + EDGE
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    marks = np.flatnonzero(codes == ord(EDGE))
+    return codes, marks[::2], marks[1::2] - marks[::2] + 1, np.frombuffer(row["counts"], np.int64)
+
+
+def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training counts of characters; the mark before a word does not count."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            codes, starts, lens, counts = _spelled({c: batch.column(c)[i].as_py() for c in ("words", "counts")})
+            weight = np.repeat(counts, lens)
+            weight[starts] = 0
+            found, at = np.unique(codes, return_inverse=True)
+            n = np.bincount(at, weight, len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(n)], names=["code", "n"])
+
+
+def spellings(words: DataFrame, least: int, whole: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """``bucket``, ``words``, ``counts``, ``values`` for rows of ``_distinct``; ``whole`` makes the value
+    of a word from its count and the log10 of its spelling."""
+    # Bounded by Unicode.
+    alphabet = words.select("words", "counts").mapInArrow(_characters, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where("n > 0")
+    rows = sorted(tuple(r) for r in alphabet.toLocalIterator())
+    code, seen = np.array([r[0] for r in rows] or [0], np.int64), np.array([r[1] for r in rows] or [0], np.int64)
+    total, kinds = int(seen.sum()), max(1, len(rows))
+    size = words.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+
+    def read(row: dict) -> tuple:
+        codes, starts, lens, counts = _spelled(row)
+        at = np.minimum(np.searchsorted(code, codes), len(code) - 1)
+        n = np.where(code[at] == codes, seen[at], 0)
+        room = np.arange(len(codes)) - np.repeat(starts, lens)
+        return mix(codes.astype(np.uint64) + np.uint64(1)), room, np.repeat(counts, lens), n, (n + kinds * UNIFORM) / (total + kinds)
+
+    def finish(row: dict, p: np.ndarray) -> pa.RecordBatch:
+        _, starts, _, counts = _spelled(row)
+        logs = np.log10(p)
+        logs[starts] = 0
+        values = whole(counts, np.add.reduceat(logs, starts))
+        columns = [pa.array([row["bucket"]], pa.int64()), *(pa.array([x], pa.binary()) for x in (row["words"], row["counts"], values.tobytes()))]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "words", "counts", "values"])
+
+    units = words.select("unit", "bucket", "words", "counts")
+    # A context has one entry at most for each row and next character, so none needs to be split.
+    return climb(units, read, DEPTH, total, size, finish, "bucket long, words binary, counts binary, values binary", least, NEVER)
+
+
+def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id", least: int = LEAST, hot: int = HOT, depth: int = WORDS) -> DataFrame:
     """Per document row: key, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Tokens are the lower-cased words and one end. ``train`` says which rows are learned from (null:
     not). ``n_known`` counts tokens seen in training, ``base_score`` is the log10 probability under
     single-token counts with 0.1 added, ``score`` that of each token after its longest retained
-    context of up to ``WORDS`` tokens of the same document. A context was seen ``least`` times in
-    training at least; ``hot`` is where its counts are split. Null and empty texts have only the end. Without training rows all scores are those of a uniform model.
+    context of up to ``depth`` tokens of the same document. A context was seen ``least`` times in
+    training at least; ``hot`` is where its counts are split. Null and empty texts have only the end. Without training rows spellings are uniform, and every second token is the end.
     """
     marked = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(train, F.lit(False)).alias("train"), F.col(quoted(text)).alias("text"))
     blocks = scratch.materialize(token_blocks(marked, spaced_lower, "text", ("key", "train")), "tokens")
@@ -179,36 +188,41 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
 
     packed = blocks.select("block", "k_train", "lens", "ids", "vocab")
     entries = scratch.materialize(packed.mapInArrow(vocabulary, "bucket long, block long, words binary, counts binary"), "vocabulary")
-    spelled = entries.groupBy("bucket").applyInArrow(_spelling, "gram string, n long, words long")
-    grams = scratch.materialize(spelled.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "grams")
-    known, distinct = grams.where("gram is null").select("n", "words").first() or (0, 0)
+    words = scratch.materialize(
+        entries.groupBy("bucket").applyInArrow(_distinct, "unit long, bucket long, words binary, counts binary, known long, held long"), "distinct"
+    )
+    known, distinct = words.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0))).first()
     total, distinct = known + ends, distinct + (ends > 0)
-    # The end is a token: a symbol after the boundary, which starts as many times as there are tokens.
-    spark = docs.sparkSession
-    end = grams.where("gram is null").select(F.explode(F.array(F.lit(END), F.lit(EDGE + END))).alias("gram"), F.lit(ends).alias("n")).where("n > 0")
-    tree = spark.sparkContext.broadcast(grow(grams.where("gram is not null").select("gram", "n").unionByName(end)))
-
-    def smoothed(token: str, count: int) -> float:
-        weight, spelled = max(1, distinct), tree.value.log10(token)
-        if not count:
-            return math.log10(weight / (total + weight)) + spelled
-        return math.log10((count + weight * 10**spelled) / (total + weight))
-
-    def judge(group: pa.Table) -> pa.Table:
-        rows, counts = _merged(group)
-        value = {w: smoothed(w.decode("utf-8", "replace"), n) for w, n in counts.items()}
+    weight, is_end = max(1, distinct), (ends + 0.5) / (total + 1)
+
+    def smoothed(counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
+        logs = logs + math.log10(1 - is_end)
+        with np.errstate(divide="ignore"):
+            seen = np.log10((counts + weight * 10**logs) / (total + weight))
+        return np.where(counts > 0, seen, math.log10(weight / (total + weight)) + logs)
+
+    valued = scratch.materialize(spellings(words, least, smoothed), "spellings")
+
+    def judge(asked: pa.Table, known: pa.Table) -> pa.Table:
+        number: dict[bytes, int] = {}
+        for words in known.column("words"):
+            number.update(zip(words.as_py().split(b"\n"), count(len(number)), strict=False))
+        n = np.frombuffer(b"".join(known.column("counts").to_pylist()), np.int64)
+        v = np.frombuffer(b"".join(known.column("values").to_pylist()), np.float64)
+        at = [np.fromiter(map(number.__getitem__, w.as_py().split(b"\n")), np.int64) for w in asked.column("words")]
         return pa.table(
             {
-                "block": group.column("block"),
-                "bucket": group.column("bucket"),
-                "counts": pa.array([np.fromiter(map(counts.__getitem__, r), np.int64, len(r)).tobytes() for r in rows], pa.binary()),
-                "values": pa.array([np.fromiter(map(value.__getitem__, r), np.float64, len(r)).tobytes() for r in rows], pa.binary()),
+                "block": asked.column("block"),
+                "bucket": asked.column("bucket"),
+                "counts": pa.array([n[x].tobytes() for x in at], pa.binary()),
+                "values": pa.array([v[x].tobytes() for x in at], pa.binary()),
             }
         )
 
-    judged = entries.groupBy("bucket").applyInArrow(judge, "block long, bucket long, counts binary, values binary")
+    both = entries.select("bucket", "block", "words").groupBy("bucket").cogroup(valued.groupBy("bucket"))
+    judged = both.applyInArrow(judge, "block long, bucket long, counts binary, values binary")
     back = judged.groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "values")).alias("back"))
-    end_score = smoothed(END, ends)
+    end_score = math.log10((ends + weight * is_end) / (total + weight))
 
     def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,5 +275,5 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     kind, pa_kind = docs.schema[key].dataType.simpleString(), to_arrow_type(docs.schema[key].dataType)
     out_names = ["key", "train", "n_tokens", "n_known", "base_score", "score"]
     schema = f"key {kind}, train boolean, n_tokens long, n_known long, base_score double, score double"
-    out = climb(units, read, WORDS, total, tokens, finish, schema, least, hot)
+    out = climb(units, read, depth, total, tokens, finish, schema, least, hot)
     return out.withColumn("train_tokens", F.lit(total).cast("bigint")).withColumnRenamed("key", key)

@@ -352,14 +352,14 @@ def test_warc_of_others(spark, tmp_path):
     assert got["<s>"]["request"] is None and got["<s>"]["metadata"] == []
 
 
-def by_hand(docs, train, words, least):
-    """Log10 of each token after its longest retained context over that without context, by one dictionary."""
-    counts, sequences = {}, {i: [*t.split(), "\n"] for i, t in docs}
-    for i in train:
-        for at, symbol in enumerate(sequences[i]):
-            for low in range(max(0, at - words), at + 1):
+def by_hand(sequences, train, depth, least, first=0):
+    """The tree, and the log10 of a sequence given symbols' probabilities without context, by one dictionary."""
+    counts = {}
+    for i, weight in train.items():
+        for at, symbol in list(enumerate(sequences[i]))[first:]:
+            for low in range(max(0, at - depth), at + 1):
                 own = counts.setdefault(tuple(sequences[i][low:at]), {})
-                own[symbol] = own.get(symbol, 0) + 1
+                own[symbol] = own.get(symbol, 0) + weight
     sizes = {c: sum(s.values()) for c, s in counts.items()}
 
     def retained(c):
@@ -377,7 +377,7 @@ def by_hand(docs, train, words, least):
         k = len(counts[context])
         return (counts[context].get(symbol, 0) + k * probability(context[1:], symbol, root)) / (sizes[context] + k)
 
-    return tree, lambda i, roots: sum(math.log10(probability(tuple(s[max(0, at - words) : at]), x, roots[x])) for s in [sequences[i]] for at, x in enumerate(s))
+    return tree, lambda i, roots: sum(math.log10(probability(tuple(s[max(0, at - depth) : at]), x, roots[x])) for s in [sequences[i]] for at, x in list(enumerate(s))[first:])
 
 
 @pytest.mark.parametrize("hot", [1_000_000, 40])
@@ -394,11 +394,32 @@ def test_language_model_contexts_of_words(spark, hot):
     order, vocabulary = phrase.split(), sorted({w for _, t in docs for w in t.split()})
     docs += [(1000 + k, w) for k, w in enumerate(vocabulary)] + [(1900, ""), (2000, phrase), (2001, " ".join(order[::2] + order[1::2]))]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = {w: {r["doc_id"]: r["score"] for r in suffix_tree.scores(frame, F.col("doc_id") < 300, least=least, hot=hot).collect()} for w, least in (("all", 2), ("none", 10**9))}
+    got = {w: {r["doc_id"]: r["score"] for r in suffix_tree.scores(frame, F.col("doc_id") < 300, least=2, hot=hot, depth=depth).collect()} for w, depth in (("all", suffix_tree.WORDS), ("none", 0))}
     end = 10 ** got["none"][1900]
     roots = {"\n": end} | {w: 10 ** (got["none"][1000 + k]) / end for k, w in enumerate(vocabulary)}
-    tree, score = by_hand(docs, range(300), suffix_tree.WORDS, 2)
+    tree, score = by_hand({i: [*t.split(), "\n"] for i, t in docs}, dict.fromkeys(range(300), 1), suffix_tree.WORDS, 2)
     assert {len(c) for c in tree} == {1, 2, 3}
     assert all(got["all"][i] == pytest.approx(score(i, roots), rel=1e-6) for i, _ in docs)
     # The same words in another order; a phrase seen often.
     assert got["none"][2000] == pytest.approx(got["none"][2001]) and got["all"][2000] > got["all"][2001] + 10
+
+
+def test_spellings_keep_contexts_of_rare_words(spark):
+    """Contexts seen often in a language that is a small part of the corpus are kept."""
+    rnd = random.Random(7)
+    counts = {"".join(rnd.choices("abcde", k=rnd.randrange(1, 9))): rnd.randrange(10**6, 10**7) for _ in range(60)}
+    counts |= {f"{x}zqx{y}wk\u00e9": 40 for x in "abcde" for y in "abcde"} | {"zqxaw\U0001f642": 0, "unseen": 0}
+    rows = [(k, k // 2, b"\n".join(w.encode() for w in held), np.array([counts[w] for w in held], np.int64).tobytes()) for k in range(4) if (held := list(counts)[k::4])]
+    frame = spark.createDataFrame(rows, "unit long, bucket long, words binary, counts binary")
+    out = suffix_tree.spellings(frame, 4, lambda n, logs: logs).collect()
+    got = {w.decode(): v for r in out for w, v in zip(bytes(r["words"]).split(b"\n"), np.frombuffer(r["values"]), strict=True)}
+    tree, score = by_hand({w: f" {w} " for w in counts}, {w: n for w, n in counts.items() if n}, suffix_tree.DEPTH, 4, first=1)
+    seen = {}
+    for w, n in counts.items():
+        for c in f"{w} ":
+            seen[c] = seen.get(c, 0) + n
+    held = {c for c in seen if seen[c]}
+    total = sum(seen.values())
+    roots = {c: (seen[c] + len(held) / 0x110000) / (total + len(held)) for c in seen}
+    assert {("z",), ("q",), ("w",)} <= tree and max(map(len, tree)) == suffix_tree.DEPTH
+    assert set(got) == set(counts) and all(got[w] == pytest.approx(score(w, roots), rel=1e-6) for w in counts)
