@@ -75,13 +75,13 @@ def block_schema(docs: DataFrame, keep: tuple[str, ...], gaps: bool = False) ->
     return T.StructType([T.StructField("block", T.LongType()), *fields, T.StructField("n_tokens", T.LongType()), *packed])
 
 
-def pack_blocks(batches: Iterator[pa.RecordBatch], words, names: list[str], gaps: bool = False) -> Iterator[pa.RecordBatch]:
+def pack_blocks(batches: Iterator[pa.RecordBatch], words, names: list[str], gaps: bool = False, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches of kept columns and a text, packed to block rows, inside a task."""
     block = TaskContext.get().partitionId() << 33
     squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         raw, sizes = texts_of(batch)
-        for low, high in spans(sizes, BLOCK_BYTES):
+        for low, high in spans(sizes, most):
             texts = raw.slice(low, high - low).to_pylist()
             cut = [words(t) for t in texts]
             flat = list(chain.from_iterable(cut))
@@ -109,7 +109,7 @@ def block_source(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame
     return docs.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)], F.col(quoted(text)).alias("text"))
 
 
-def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[str, ...] = ("doc_id",), gaps: bool = False) -> DataFrame:
+def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[str, ...] = ("doc_id",), gaps: bool = False, most: int = BLOCK_BYTES) -> DataFrame:
     """One row per block: ``block``, an array for each column in ``keep``, and packed tokens.
 
     ``lens`` has the int64 token count of each document, ``ids`` the token numbers (two bytes each
@@ -117,12 +117,12 @@ def token_blocks(docs: DataFrame, words=spaced, text: str = "text", keep: tuple[
     joined by line feeds; all but the counts are compressed, as blocks are shuffled whole. Null text counts as empty. Column names in ``docs`` cannot clash, as only
     the named ones are read. ``block`` is unique within a run; write the result before it is used
     twice. With ``gaps``, the white space around the words is kept too (see ``gaps_of``), so that
-    whole texts can be put together again.
+    whole texts can be put together again. ``most`` is the text of a block in bytes.
     """
     schema = block_schema(docs, keep, gaps)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from pack_blocks(batches, words, schema.names, gaps)
+        yield from pack_blocks(batches, words, schema.names, gaps, most)
 
     return block_source(docs, text, keep).mapInArrow(build, schema)
 

@@ -102,7 +102,7 @@ class Rung:
             x, y = cut[b], cut[b + 1]
             if x < y:
                 i, j = int(starts[x]), int(starts[y])
-                rows.append((b, unit, self.contexts[x:y].tobytes(), squeezed(grams[x:y]), low48[i:j].tobytes(), squeezed(weights[i:j]), logs[x:y].tobytes()))
+                rows.append((b, unit, self.contexts[x:y].tobytes(), squeezed(grams[x:y]), low48[i:j].tobytes(), squeezed(weights[i:j]), logs[x:y].astype(np.float32).tobytes()))
         kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 5)
         names = ["bucket", "unit", "contexts", "grams", "symbols", "weights", "logs"]
         return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], names=names)
@@ -120,7 +120,7 @@ def _answer(penalty: float) -> Callable[[pa.Table], pa.Table]:
         raw[:, :6] = np.frombuffer(b"".join(col["symbols"]), np.uint8).reshape(-1, 6)
         symbol = raw.view(np.uint64).ravel()
         weight = np.concatenate([loose(x, np.int64) for x in col["weights"]] or [np.zeros(0, np.int64)])
-        logs = np.frombuffer(b"".join(col["logs"]), np.float64)
+        logs = np.frombuffer(b"".join(col["logs"]), np.float32).astype(np.float64)
         known, which = np.unique(np.concatenate([*contexts, np.zeros(0, np.uint64)]), return_inverse=True)
         of = np.repeat(which, np.concatenate([*grams, np.zeros(0, np.int32)]))
         _, first, gram = np.unique(mix(known[of] * _M1 + symbol), return_index=True, return_inverse=True)

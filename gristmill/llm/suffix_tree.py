@@ -39,6 +39,8 @@ from gristmill.llm.ladder import HOT, LEAST, climb, loose, squeezed
 DEPTH = 5
 #: Tokens of the corpus for each bucket of the vocabulary.
 BUCKET = 4_000_000
+#: Bytes of text of a block: larger ones have fewer distinct grams a token.
+BLOCK = 4 << 20
 #: Distinct tokens that are spelled at a time.
 SPELLED = 50_000
 EDGE = " "  # no token has it
@@ -156,7 +158,7 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     training at least; ``hot`` is where its counts are split. Null and empty texts have only the end. Without training rows spellings are uniform, and every second token is the end.
     """
     marked = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(train, F.lit(False)).alias("train"), F.col(quoted(text)).alias("text"))
-    blocks = scratch.materialize(token_blocks(marked, spaced_lower, "text", ("key", "train")), "tokens")
+    blocks = scratch.materialize(token_blocks(marked, spaced_lower, "text", ("key", "train"), most=BLOCK), "tokens")
     tokens, ends = blocks.agg(F.sum("n_tokens"), F.sum(F.size(F.filter("k_train", lambda t: t)))).first()
     tokens, ends = tokens or 0, ends or 0
     buckets = tokens // BUCKET + 1
