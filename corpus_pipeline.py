@@ -48,8 +48,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their bins: no bin has two documents of a source or with equal texts."""
-    sized = docs.select("doc_id", "source", packing.word_count(F.col("text")).alias("n_words"), F.xxhash64("text").alias("cluster"))
-    return packing.pack(scratch.materialize(sized, "sizes"), "n_words")
+    sized = docs.select("doc_id", "source", packing.word_count(F.col("text")).alias("n_words"), F.xxhash64("text").alias("cluster"), F.monotonically_increasing_id().alias("row"))
+    return packing.pack(scratch.materialize(sized, "sizes"), "n_words", row="row")
 
 
 STAGES: list[tuple[str, Stage]] = [

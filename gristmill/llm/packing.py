@@ -85,27 +85,29 @@ def best_fit(sizes: list[int], sources: list[object], clusters: list[object], ca
     return out_bin, out_offset
 
 
-def pack(docs: DataFrame, size: str, key: str = "doc_id", source: str = "source", cluster: str = "cluster", capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, size: str, key: str = "doc_id", source: str = "source", cluster: str = "cluster", capacity: int = CAPACITY, row: str | None = None) -> DataFrame:
     """One row per document and piece: key, ``piece``, ``size``, ``bin_id``, ``bin_offset``.
 
     A document larger than the capacity is cut into full pieces, each a bin of its own, and a rest
     that is packed; nothing is dropped. Two items in a bin never share a source or a cluster; null
     sources and clusters conflict with nothing. Empty documents are items of size 0; null or
     negative sizes count as 0. Rows with the same key are separate items. Ties go by key. Bins are
-    numbered from the shard, so they are unique but not consecutive.
+    numbered from the shard, so they are unique but not consecutive. ``row`` names a column of stored
+    row numbers, by which rows that are alike are dealt to all shards.
     """
     plain = docs.select(
         F.col(quoted(key)).alias("key"),
         F.greatest(F.coalesce(F.col(quoted(size)), F.lit(0)), F.lit(0)).cast("bigint").alias("size"),
         F.col(quoted(source)).cast("string").alias("source"),
         F.col(quoted(cluster)).cast("string").alias("cluster"),
+        (F.lit(0) if row is None else F.col(quoted(row))).cast("bigint").alias("row"),
     )
     total = plain.agg(F.sum("size")).first()[0] or 0
     shards = total // SHARD + 1
     last = F.greatest(F.lit(1), F.ceil(F.col("size") / capacity)) - 1
     pieces = plain.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     pieces = pieces.withColumn("size", F.least(F.col("size") - F.col("piece") * capacity, F.lit(capacity)))
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("key", "piece", F.lit("shard")), F.lit(shards)))
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("key", "piece", "source", "cluster", "row", F.lit("shard")), F.lit(shards)))
     kind = plain.schema["key"].dataType.simpleString()
     schema = f"key {kind}, piece bigint, size bigint, bin_id bigint, bin_offset bigint"
 

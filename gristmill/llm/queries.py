@@ -168,8 +168,8 @@ def op6_quality_rules(spark, sf_dir):
 @query
 def op9_best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    sized = docs.select("doc_id", "source", packing.word_count(F.col("text")).alias("n_words"), F.xxhash64("text").alias("cluster"))
-    return packing.pack(scratch.materialize(sized, "sizes"), "n_words")
+    sized = docs.select("doc_id", "source", packing.word_count(F.col("text")).alias("n_words"), F.xxhash64("text").alias("cluster"), F.monotonically_increasing_id().alias("row"))
+    return packing.pack(scratch.materialize(sized, "sizes"), "n_words", row="row")
 
 
 @query

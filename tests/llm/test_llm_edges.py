@@ -423,3 +423,11 @@ def test_spellings_keep_contexts_of_rare_words(spark):
     roots = {c: (seen[c] + len(held) / 0x110000) / (total + len(held)) for c in seen}
     assert {("z",), ("q",), ("w",)} <= tree and max(map(len, tree)) == suffix_tree.DEPTH
     assert set(got) == set(counts) and all(got[w] == pytest.approx(score(w, roots), rel=1e-6) for w in counts)
+
+
+def test_packing_deals_rows_that_are_alike(spark):
+    """Rows without keys, and such as are alike in all, go to all shards."""
+    frame = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(4000).alias("n"), (F.col("id") % 3).alias("source"), F.lit(1).alias("cluster"), F.col("id").alias("row"))
+    rows = packing.pack(frame, "n", row="row").where("piece = 0").collect()
+    shards = [r["bin_id"] >> 32 for r in rows]
+    assert len(rows) == 4000 and set(shards) == set(range(5)) and max(map(shards.count, range(5))) < 1000
