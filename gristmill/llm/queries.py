@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill import scratch
-from gristmill.llm import bpe, decontaminate, neardup, packing, quality, substrings, suffix_tree, toxicity, urls, warc
+from gristmill.llm import bpe, decontaminate, neardup, packing, quality, runs, substrings, suffix_tree, toxicity, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -251,3 +251,87 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
          AND 100 * good >= {quality.MIN_KEPT_PERCENT} * chars AS kept
 FROM m
 """
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # One document of ten gets a tail that repeats its first p words.
+    n = F.size("w").cast("bigint")
+    bent = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string"))).withColumn("g", F.floor(F.col("h") / 10))
+    bent = bent.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))))
+    bent = bent.withColumn("a", F.when(n > 0, F.col("g") % n))
+    bent = bent.withColumn("p", F.expr("1 + (size(w) - a) div (3 + g % 8)"))
+    tail = F.expr("array_join(transform(sequence(0, size(w) - 1), i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')")
+    text = F.when(n > 0, tail).otherwise(F.col("text"))
+    found = runs.periodic_runs(bent.select("doc_id", text.alias("text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # Quotients of whole numbers below 2^26 are equal as doubles only if they are equal.
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"] / r["period"]).alias("e"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length")))
+    return found.withColumn("best", F.array_min(ranked)).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, bit by bit."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    codes = f"[CAST(ascii(z) AS BIGINT) FOR z IN string_split({text}, '')]"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _grams(top: int) -> str:
+    """Numbers of the grams of 1, 2, 4, ... words that a document has twice or more, and the periods they hint at.
+
+    Inside a run of four periods q, consecutive occurrences of a gram of q to 2q - 1 words are q apart.
+    """
+    parts = ["g0 AS MATERIALIZED (SELECT doc_id, i, id FROM (SELECT doc_id, i, word AS v, min(i) OVER p AS id, count(*) OVER p AS n FROM tok WINDOW p AS (PARTITION BY doc_id, word)) WHERE n > 1)"]
+    for k in range(1, top + 1):
+        parts.append(
+            f"g{k} AS MATERIALIZED (SELECT doc_id, i, id FROM (SELECT a.doc_id, a.i, min(a.i) OVER p AS id, count(*) OVER p AS n"
+            f" FROM g{k - 1} a JOIN g{k - 1} b ON b.doc_id = a.doc_id AND b.i = a.i + {1 << (k - 1)}"
+            " WINDOW p AS (PARTITION BY a.doc_id, a.id, b.id)) WHERE n > 1)"
+        )
+    hints = [
+        f"SELECT DISTINCT doc_id, q FROM (SELECT doc_id, i - lag(i) OVER (PARTITION BY doc_id, id ORDER BY i) AS q FROM g{k}) WHERE 2 * q > {1 << k} AND q <= {1 << k}"
+        for k in range(top + 1)
+    ]
+    return ",\n".join([*parts, f"hint AS MATERIALIZED ({' UNION ALL '.join(hints)})"])
+
+
+#: Grams of up to 2^17 words find the periods of texts of up to 2^19 words.
+SQL["op11_periodic_runs"] = f"""
+WITH o AS (SELECT doc_id, {_SPACED.format("coalesce(text, '')")} AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+b AS (SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g FROM o),
+c AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a FROM b),
+d AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM c),
+tok AS MATERIALIZED (
+  SELECT doc_id, n, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] AS word FROM (SELECT *, unnest(range(n)) AS i FROM d)
+),
+{_grams(17)},
+same AS (
+  SELECT h.doc_id, h.q, x.i, x.i - row_number() OVER (PARTITION BY h.doc_id, h.q ORDER BY x.i) AS island
+  FROM hint h JOIN tok x ON x.doc_id = h.doc_id AND 4 * h.q <= x.n JOIN tok y ON y.doc_id = h.doc_id AND y.i = x.i + h.q AND y.word = x.word
+),
+run AS MATERIALIZED (
+  SELECT doc_id, start, length, min(q) AS period
+  FROM (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM same GROUP BY doc_id, q, island)
+  WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length
+),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS place,
+         count(*) OVER (PARTITION BY doc_id) AS n_runs FROM run
+),
+told AS (SELECT doc_id, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS t FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM tok ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, CAST(length AS BIGINT) AS length, period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(told.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (doc_id) LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
