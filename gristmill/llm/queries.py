@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill import scratch
-from gristmill.llm import bpe, decontaminate, neardup, packing, quality, runs, substrings, suffix_tree, toxicity, urls, warc
+from gristmill.llm import bpe, decontaminate, hard_negatives, near_vectors, neardup, packing, quality, runs, substrings, suffix_tree, toxicity, urls, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -335,3 +335,61 @@ SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, CAST(length AS BIGINT) AS
        sha256(coalesce(told.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
 FROM d LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (doc_id) LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op13_near_vectors(spark, sf_dir):
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+
+
+SQL["op13_near_vectors"] = """
+WITH RECURSIVE d AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS MATERIALIZED (
+  SELECT vec_id, label, v, len(v) AS n FROM d
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+link AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.label = y.label AND x.n = y.n AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98
+),
+reach AS (
+  SELECT vec_id AS a, vec_id AS r FROM d
+  UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.r
+),
+part AS (SELECT a AS vec_id, min(r) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT d.vec_id, coalesce(n_links, 0) AS n_links, component_id, d.vec_id = component_id AS kept
+FROM d JOIN part USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    vector = F.when(vectors.usable(F.col("embedding")), whole)
+    rows = rows.select("vec_id", label.alias("label"), vector.alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+SQL["op12_hard_negatives"] = """
+WITH d AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM d a JOIN d b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS place FROM s WHERE same) WHERE place <= 5),
+m AS (
+  SELECT p.a, p.b AS p, p.score AS ps, s.b AS n, s.score AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT a AS anchor_id, p AS positive_id, CAST(rank AS INTEGER) AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score
+FROM m WHERE rank <= 5
+"""

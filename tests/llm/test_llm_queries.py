@@ -11,7 +11,7 @@ import corpus_pipeline
 from gristmill.llm import queries
 
 duckdb = pytest.importorskip("duckdb")
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 
