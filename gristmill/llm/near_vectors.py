@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,10 +115,8 @@ def _basis(classes: DataFrame) -> tuple[int, np.ndarray | None]:
     most = classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").first()
     if most is None or most["n"] < 2:
         return 0, None
-    unit = F.transform("v", lambda x: x.cast("double") / F.col("size"))
-    rows = classes.where(F.col("dim") == most["dim"]).withColumn("size", F.array_max(F.transform("v", F.abs)).cast("double"))
-    rows = rows.withColumn("u", unit).withColumn("size", F.sqrt(F.aggregate("u", F.lit(0.0), lambda s, x: s + x * x)))
-    rows = rows.select(array_to_vector(F.transform("u", lambda x: x / F.col("size"))).alias("u"))
+    rows = classes.where(F.col("dim") == most["dim"]).select(array_to_vector(F.col("v").cast("array<double>")).alias("v"))
+    rows = Normalizer(inputCol="v", outputCol="u").transform(rows)
     found = PCA(k=most["dim"], inputCol="u", outputCol="turned").fit(rows).pc.toArray()
     # Any orthonormal basis gives right results; the first components come first in this one.
     return most["dim"], np.linalg.qr(found)[0]
