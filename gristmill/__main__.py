@@ -42,7 +42,6 @@ def arguments() -> argparse.ArgumentParser:
     train.add_argument("--refit", action="store_true", help="fit the chosen k again on the raw rows")
     train.add_argument("--fast", action="store_true", help="fewer k and iterations, sampled scores")
     train.add_argument("--save-each", action="store_true")
-    train.add_argument("--parallelism", type=int, default=1)
 
     inspect = command("inspect", "label rows with a saved model and describe the clusters")
     inspect.add_argument("--model", required=True)
@@ -81,7 +80,6 @@ def main(argv: list[str] | None = None) -> None:
             max_rows=args.max_rows,
             refit=args.refit,
             save_each=args.save_each,
-            parallelism=args.parallelism,
             **({"cols": args.columns.split(","), "bounds": {}} if args.columns else {}),
             **sweep,
         )

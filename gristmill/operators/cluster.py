@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 from operator import add
 
-from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -19,10 +17,14 @@ from pyspark.sql import functions as F
 
 from gristmill import scratch
 from gristmill.functions import nearest, quoted, squared_distance, squared_norm
-from gristmill.operators import columns, features, sample
+from gristmill.operators import columns, features, lloyd, sample
+from gristmill.operators.lloyd import silhouettes
 
 SWEEP_SCHEMA = "k int, silhouette double"
 SEED = 42
+# Groups of tasks in which the first rows of a cluster are found before they meet.
+SALTS = 64
+SALT = "_salt"
 
 # ---- fixed centres -----------------------------------------------------------------
 
@@ -86,20 +88,21 @@ def examples(
 
     Without ids, all other columns that can be ordered are shown and give the order.
 
-    The row-number filter becomes a group limit inside each task, so at most ``n`` rows
-    per cluster and task are shuffled, however large one cluster is.
+    Two levels: a task passes on at most ``n`` rows of each cluster, the first rows of its salt
+    are found among those of one task in ``SALTS``, and the last task of a cluster sees ``n`` rows
+    of each salt, however many tasks there are and however large one cluster is.
     """
     shown = list(ids)
     if not shown:
         plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         shown = [c for c in plain if c != label]
     names = [F.col(quoted(c)) for c in shown]
-    place = Window.partitionBy(quoted(label)).orderBy(*(order_by or names or [F.lit(1)]))
-    return (
-        df.select(quoted(label), *names)
-        .withColumn("place", F.row_number().over(place))
-        .where(F.col("place") <= n)
-    )
+    order = order_by or names or [F.lit(1)]
+    rows = df.select(quoted(label), *names).withColumn(SALT, F.spark_partition_id() % SALTS)
+    for level in ([quoted(label), SALT], [quoted(label)]):
+        first = Window.partitionBy(*level).orderBy(*order)
+        rows = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= n)
+    return rows.drop(SALT)
 
 
 def silhouette(
@@ -154,58 +157,6 @@ def silhouette(
     return near.agg(F.avg(score).alias("silhouette"))
 
 
-def silhouettes(
-    df: DataFrame, cols: Sequence[str], center_sets: Mapping[int, Sequence[Sequence[float]]]
-) -> dict[int, float | None]:
-    """Silhouettes of the nearest-centre labels of several sets of centres, in two scans for all.
-
-    The first scan gives one row of statistics per set and cluster, the second one mean score
-    per set. Sets with fewer than two non-empty clusters have none.
-    """
-    xs = [f"x{j}" for j in range(len(cols))]
-    rows = df.select(*[F.col(quoted(name)).alias(x) for name, x in zip(cols, xs, strict=True)])
-    rows = rows.withColumn("sq", squared_norm(xs))
-    rows = rows.withColumns(
-        {f"d{k}": F.array(*[squared_distance(xs, c) for c in points]) for k, points in center_sets.items()}
-    )
-    rows = rows.withColumns({f"c{k}": nearest(f"d{k}") for k in center_sets})
-    each = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("c")) for k in center_sets])
-    long = rows.select("sq", *xs, F.inline(each)).where("c is not null")
-    grouped = long.groupBy("k", "c").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("sq").alias("sq"), *[F.avg(x).alias(x) for x in xs]
-    )
-    stats: dict[int, dict[int, Row]] = {k: {} for k in center_sets}
-    for r in grouped.collect():
-        stats[r["k"]][r["c"]] = r
-    usable = {k: found for k, found in stats.items() if len(found) > 1}
-    if not usable:
-        return dict.fromkeys(center_sets)
-
-    def distance(stat):
-        cross = reduce(add, [F.col(x) * F.lit(stat[x]) for x in xs])
-        return F.col("sq") + F.lit(stat["sq"]) - 2 * cross
-
-    nothing = F.lit(None).cast("double")
-    far = rows.withColumns(
-        {
-            f"m{k}": F.array(*[distance(found[c]) if c in found else nothing for c in range(len(center_sets[k]))])
-            for k, found in usable.items()
-        }
-    )
-    scores = []
-    for k, found in usable.items():
-        own, to = F.col(f"c{k}"), f"m{k}"
-        sizes_of = F.array(*[F.lit(float(found[c]["n"]) if c in found else 0.0) for c in range(len(center_sets[k]))])
-        n = F.get(sizes_of, own)
-        within = F.get(to, own) * n / F.nullif(n - 1, F.lit(0.0))
-        others = F.array_min(F.array(*[F.when(own != c, F.get(to, F.lit(c))) for c in range(len(center_sets[k]))]))
-        widest = F.greatest(within, others)
-        value = F.when((n == 1) | (widest == 0), F.lit(0.0)).when(n > 1, (others - within) / widest)
-        scores.append(F.avg(value).alias(f"s{k}"))
-    row = far.agg(*scores).first()
-    return {k: row[f"s{k}"] if k in usable else None for k in center_sets}
-
-
 def evaluate(
     predictions: DataFrame, label: str = "prediction", vector: str = "features"
 ) -> float | None:
@@ -241,7 +192,7 @@ def fit(
     vector: str = "features",
     label: str = "prediction",
 ) -> KMeansModel:
-    """K-means with the parallel k-means++ start. The result depends on the partitioning.
+    """K-means of Spark ML, for one k. The result depends on the partitioning, unlike that of ``sweep``.
 
     Give it a table on storage rather than a persisted one: the fit then caches the
     unpacked vectors itself instead of unpacking them in every iteration.
@@ -256,9 +207,10 @@ class Sweep:
     """Scores per k, the fitted models, and the chosen k."""
 
     scores: DataFrame
-    models: dict[int, KMeansModel]
+    models: Mapping[int, KMeansModel]
     best: int
-    silhouettes: dict[int, float | None] = field(default_factory=dict)
+    silhouettes: dict[int, float | None]
+    fits: lloyd.Fits
 
 
 def sweep(
@@ -269,43 +221,32 @@ def sweep(
     tol: float = 1e-4,
     seed: int = SEED,
     score_fraction: float | None = None,
-    parallelism: int = 1,
+    key: Sequence[str] = (),
     vector: str = "features",
     label: str = "prediction",
 ) -> Sweep:
     """Fit every k on plain (scaled) columns, then score all of them together.
 
-    The vectors are assembled and persisted once for all fits. Scoring is two scans for any
-    number of k, in generated code with the fitted centres as literals; the value is the one
-    Spark ML's evaluator gives. ``score_fraction`` scores on a Bernoulli sample of the points.
-    ``parallelism`` fits that many k at once, which fills the cluster while one fit waits for
-    its slowest task.
+    All k share each scan: the draws that seed them, every iteration, and the two that score them.
+    The value is the one Spark ML's evaluator gives. ``score_fraction`` scores on a Bernoulli
+    sample of the points. With ``key`` columns the draws go by these, else by the coordinates.
+    The points are read once an iteration: give a table on storage.
     """
     ks = sorted(set(ks))
-    cols = list(cols)
-    points = points.select(*[quoted(c) for c in cols])
-    vectors = features.assemble(points, cols, vector).select(vector)
+    cols, key = list(cols), list(key)
+    spark = points.sparkSession
     scored = points if score_fraction is None else sample.fraction(points, score_fraction, seed)
-
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    one = lambda k: fit(vectors, k, max_iter, tol, seed, vector, label)
-    try:
-        if parallelism > 1 and len(ks) > 1:
-            with ThreadPool(min(parallelism, len(ks))) as pool:
-                fitted = pool.map(inheritable_thread_target(points.sparkSession)(one), ks, chunksize=1)
-        else:
-            fitted = [one(k) for k in ks]
-    finally:
-        vectors.unpersist()
-    models = dict(zip(ks, fitted, strict=True))
-    silhouettes_of = silhouettes(scored, cols, {k: m.clusterCenters() for k, m in models.items()})
+    starts = lloyd.seeds(points, cols, ks, key, seed)
+    fits = lloyd.iterate(points, cols, starts, max_iter, tol)
+    models = lloyd.Models(ks, lambda k: lloyd.model_of(spark, fits.by_k[k].centers, vector, label))
+    silhouettes_of = lloyd.silhouettes(scored, cols, {k: fit.centers for k, fit in fits.by_k.items()})
     ranked = [k for k in ks if silhouettes_of[k] is not None]
     if not ranked:
         raise ValueError(f"no k of {ks} gave two non-empty clusters")
     best = max(ranked, key=lambda k: (silhouettes_of[k], -k))
-    scores = points.sparkSession.createDataFrame(list(silhouettes_of.items()), SWEEP_SCHEMA)
+    scores = spark.createDataFrame(list(silhouettes_of.items()), SWEEP_SCHEMA)
     scores = scores.withColumn("is_best", F.col("k") == F.lit(best))
-    return Sweep(scores, models, best, silhouettes_of)
+    return Sweep(scores, models, best, silhouettes_of, fits)
 
 
 @dataclass
@@ -315,7 +256,9 @@ class Trained:
     model: PipelineModel
     sweep: Sweep
     cols: list[str]
-    candidates: dict[int, PipelineModel]
+    candidates: Mapping[int, PipelineModel]
+    #: What was fitted: the prepared features as columns ``f0..``.
+    points: DataFrame
     final_silhouette: float | None = None
     final_sizes: DataFrame | None = None
 
@@ -328,7 +271,7 @@ def train(
     tol: float = 1e-4,
     seed: int = SEED,
     score_fraction: float | None = None,
-    parallelism: int = 1,
+    key: Sequence[str] = (),
     impute_nulls: bool = True,
     invalid: str = "error",
     refit: bool = False,
@@ -339,7 +282,8 @@ def train(
     The prepared features are written once, as plain columns, and every fit and score
     reads them there. The final
     model reuses the best fit of the sweep; ``refit=True`` fits preparation and k-means
-    again on ``df``. ``partitions`` spreads an input of fewer splits; it never narrows one.
+    again on ``df``. ``key`` names columns that the draws go by. With ``partitions`` the
+    points are dealt anew to that many tasks before they are written, for an input of few splits.
     """
     cols = list(cols)
     columns.require(df, cols)
@@ -347,14 +291,10 @@ def train(
     prepared = prepare.fit(df)
     parts = vector_to_array("features")
     names = [f"f{j}" for j in range(len(cols))]
-    points = prepared.transform(df).select(*[parts[j].alias(n) for j, n in enumerate(names)])
-    points = scratch.materialize(points, "points")
-    if partitions is not None and points.select(F.spark_partition_id()).distinct().count() < partitions:
-        points = points.repartition(partitions)
-    found = sweep(points, names, ks, max_iter, tol, seed, score_fraction, parallelism)
-    candidates = {
-        k: PipelineModel(stages=[*prepared.stages, model]) for k, model in found.models.items()
-    }
+    points = prepared.transform(df).select(*[F.col(quoted(c)) for c in key], *[parts[j].alias(n) for j, n in enumerate(names)])
+    points = scratch.materialize(points if partitions is None else points.repartition(partitions), "points")
+    found = sweep(points, names, ks, max_iter, tol, seed, score_fraction, key)
+    candidates = lloyd.Models(found.models, lambda k: PipelineModel(stages=[*prepared.stages, found.models[k]]))
     if refit:
         last = KMeans(
             k=found.best,
@@ -367,7 +307,7 @@ def train(
         model = Pipeline(stages=[*features.stages(cols, impute_nulls, invalid), last]).fit(df)
     else:
         model = candidates[found.best]
-    return Trained(model, found, cols, candidates)
+    return Trained(model, found, cols, candidates, points)
 
 
 def final_report(

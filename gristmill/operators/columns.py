@@ -86,3 +86,18 @@ def flatten_struct(
         elif missing == "null":
             lifted[name] = F.lit(None).cast("double")
     return df.withColumns(lifted) if lifted else df
+
+
+def variant_fields(df: DataFrame, variant: str, fields: Mapping[str, tuple[str, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """The kept columns and, per entry of ``fields``, the value at a path as a type: ``{name: (path, type)}``.
+
+    A value that cannot be read as the type, a path that is not there and a null variant give null.
+    Row by row and in one scan; rows may hold different types at the same path.
+    """
+    lifted = [F.try_variant_get(quoted(variant), path, kind).alias(name) for name, (path, kind) in fields.items()]
+    return df.select(*[F.col(quoted(c)) for c in keep], *lifted)
+
+
+def variant_schema(df: DataFrame, variant: str) -> DataFrame:
+    """One row ``schema``: the type that fits all values, VARIANT where they differ; partial types merge in tasks."""
+    return df.agg(F.schema_of_variant_agg(F.col(quoted(variant))).alias("schema"))

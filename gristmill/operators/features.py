@@ -18,6 +18,10 @@ from gristmill.functions import quoted
 # distinct values per column are left for a sorted window.
 MEDIAN_WINDOW = 50_000
 MEDIAN_SAMPLE = 1_000_000
+# Size parameter of the quantile sketches. By the published bound (2.296 / k^0.9021) the ranks of
+# 99 in 100 sketches are off by less than 0.00037; the promised bound is 2.7 times that.
+SKETCH_K = 16_384
+RANK_ERROR = 0.001
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -64,32 +68,61 @@ def medians(
     df: DataFrame,
     cols: Sequence[str],
     exact: bool = False,
-    accuracy: int = 1000,
     window: int = MEDIAN_WINDOW,
     sample: int = MEDIAN_SAMPLE,
 ) -> DataFrame:
     """``column, median`` over the values that are neither null nor NaN.
 
-    The default is the approximate quantile with relative error ``1 / accuracy``, one
-    job. ``exact=True`` gives the true median (mean of the two middle values) by the same
-    search at every size; it scans ``df`` several times, so give it a table on storage. A
-    column without values has a null median.
+    The default reads them off the sketches of ``quantile_sketches``, one job; the rank of a
+    median is then within ``RANK_ERROR`` of the middle. ``exact=True`` gives the true median
+    (mean of the two middle values) by the same search at every size; it scans ``df`` several
+    times, so give it a table on storage. A column without values has a null median.
     """
     cols = list(cols)
     values = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(cols)])
     if not exact:
-        return _per_column(values, cols, lambda v: F.percentile_approx(v, 0.5, accuracy))
+        return sketched_quantiles(quantile_sketches(df, cols), [0.5]).select("column", F.col("value").alias("median"))
     counts = values.agg(*[F.count(f"v{i}") for i in range(len(cols))]).first()
     ranges = _median_ranges(values, list(counts), window, sample)
     return _finish_medians(values, cols, ranges)
 
 
-def _per_column(values: DataFrame, cols: list[str], measure) -> DataFrame:
+def quantile_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by.., column, n, sketch``: a quantile sketch of every column, in one scan, per slice if ``by`` names any.
+
+    A sketch is a few hundred kilobytes at most, whatever the number of rows. Store the table: sketches of
+    slices merge to that of the union (``merge_sketches``) without a look at the rows, so a new
+    slice costs only itself. Null and NaN are left out.
+    """
+    groups = [F.col(quoted(c)) for c in by]
+    values = df.select(*groups, *[_number(c).alias(f"_v{i}") for i, c in enumerate(cols)])
     rows = [
-        F.struct(F.lit(c).alias("column"), measure(f"v{i}").alias("median"))
+        F.struct(F.lit(c).alias("column"), F.count(f"_v{i}").alias("n"), F.kll_sketch_agg_double(f"_v{i}", SKETCH_K).alias("sketch"))
         for i, c in enumerate(cols)
     ]
-    return values.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+    return values.groupBy(*groups).agg(F.array(*rows).alias("_rows")).select(*groups, F.inline("_rows"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by.., column, n, sketch`` of the union of all slices that have the same ``by``."""
+    groups = [F.col(quoted(c)) for c in by]
+    held = F.when(F.col("n") > 0, F.col("sketch"))
+    return sketches.groupBy(*groups, "column").agg(F.sum("n").alias("n"), F.kll_merge_agg_double(held).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """``.., column, share, value``: a value whose rank is within ``RANK_ERROR`` of each share.
+
+    Null where there are no values.
+    """
+    kept = [c for c in sketches.columns if c not in ("n", "sketch")]
+    each = F.array(
+        *[
+            F.struct(F.lit(float(s)).alias("share"), F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(float(s)))).alias("value"))
+            for s in shares
+        ]
+    )
+    return sketches.select(*[quoted(c) for c in kept], F.inline(each))
 
 
 def _number(name: str):

@@ -5,6 +5,7 @@ from gristmill.plans.workloads import (
     Profile,
     inspect_clusters,
     load_export,
+    load_exports,
     prepare_features,
     profile_table,
     train_clusters,
@@ -15,6 +16,7 @@ __all__ = [
     "Profile",
     "inspect_clusters",
     "load_export",
+    "load_exports",
     "prepare_features",
     "profile_table",
     "train_clusters",

@@ -9,16 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from operator import and_
 
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill import presets, scratch, sinks, sources
-from gristmill.operators import clean, cluster, columns, features, profile, sample, text
+from gristmill.operators import clean, cluster, columns, features, lloyd, profile, sample, state, text
 from gristmill.plans import fixtures as fx
+from gristmill.plans import workloads
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -162,6 +165,55 @@ def corrupt_split(spark, sf_dir):
     )
 
 
+@query
+def corrupt_stored(spark, sf_dir):
+    """The same damaged rows parsed once and stored; each side is read from its own folder."""
+    lines = table(spark, sf_dir, "part").select(F.expr(fx.DAMAGED_PART).alias("value"))
+    path = scratch.folder(spark, "damaged")
+    lines.write.text(path)
+    sides = sources.store_split(
+        spark, path, scratch.folder(spark, "split"), schema="p_partkey string, p_brand string, p_size string", header=False
+    )
+    told = [
+        side.agg(F.lit(name).alias("side"), F.count(F.lit(1)).alias("n"), F.sum(F.col("p_partkey").cast("bigint")).alias("sum_key"))
+        for name, side in zip(("good", "bad"), sides, strict=True)
+    ]
+    return reduce(DataFrame.unionAll, told)
+
+
+@query
+def jsonl_variants(spark, sf_dir):
+    """events as JSON lines whose field is a number, a text or nothing, read without a schema."""
+    events = table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    path = scratch.folder(spark, "variants")
+    events.select(F.expr(fx.MIXED_JSON).alias("value")).write.text(path)
+    read = sources.read_variants(spark, path)
+    return columns.variant_fields(
+        read, "value", {"event_id": ("$.event_id", "bigint"), "k": ("$.props['k-100']", "bigint"), "not_there": ("$.props.none", "string")}
+    )
+
+
+@query
+def exports_by_header(spark, sf_dir):
+    """Two exports of part, the second with its columns in another order and under other names."""
+    part = table(spark, sf_dir, "part")
+    half = F.col("p_partkey") % 2 == 0
+    one = part.where(half).select("p_partkey", F.col("p_size").alias("size"), F.col("p_retailprice").alias("price"))
+    two = part.where(~half).select(F.col("p_retailprice").alias("Retail-Price"), "p_brand", F.col("p_size").alias("SIZE_CM"), "p_partkey")
+    paths = [sinks.write_delimited(df, scratch.folder(spark, "export")) for df in (one, two)]
+    read = workloads.load_exports(spark, paths, fx.PART_SYNONYMS, required=["size", "price"], keep=["p_partkey"])
+    numbers = clean.parse_columns(read, ["size", "price"])
+    return numbers.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "size", "price", "brand")
+
+
+@query
+def clustered_range(spark, sf_dir):
+    """A range of quantity and price from a copy of lineitem that is clustered by both."""
+    items = table(spark, sf_dir, "lineitem").select(*fx.LINE_KEY, "l_quantity", "l_extendedprice")
+    path = sinks.write_clustered(items, scratch.folder(spark, "clustered"), fx.LINE_BOUNDS, files=16)
+    return clean.filter_bounds(sources.read_parquet(spark, path), fx.NARROW_BOUNDS)
+
+
 @query
 def small_csv_sink(spark, sf_dir):
     """A per-brand summary of part through the one-file CSV sink."""
@@ -271,6 +323,15 @@ def describe(spark, sf_dir):
     return rounded(summary, ["mean", "stddev", "min", "max"])
 
 
+@query
+def profile_merged(spark, sf_dir):
+    """The summary of all rows from the stored states of seven slices."""
+    rows = lineitem_with_gaps(spark, sf_dir)
+    slices = scratch.materialize(state.profile_state(rows, list(fx.GAPS), by=["l_linenumber"]), "states")
+    merged = state.summary(state.merge_states(slices))
+    return rounded(merged, ["mean", "stddev", "min", "max"])
+
+
 @query
 def null_counts(spark, sf_dir):
     return profile.null_counts(lineitem_with_gaps(spark, sf_dir), list(fx.GAPS))
@@ -372,7 +433,19 @@ def medians_narrowed(spark, sf_dir):
 def medians_approx(spark, sf_dir):
     """Whether each approximate median has a rank within a thousandth of the middle."""
     rows, cols = lineitem_with_gaps(spark, sf_dir), list(fx.GAPS)
-    found = {r["column"]: r["median"] for r in features.medians(rows, cols).collect()}
+    return _near_middle(rows, cols, {r["column"]: r["median"] for r in features.medians(rows, cols).collect()})
+
+
+@query
+def medians_merged(spark, sf_dir):
+    """The same for medians that are read off the merged sketches of stored slices."""
+    rows, cols = lineitem_with_gaps(spark, sf_dir), list(fx.GAPS)
+    slices = scratch.materialize(features.quantile_sketches(rows, cols, by=["l_linenumber"]), "sketches")
+    merged = features.sketched_quantiles(features.merge_sketches(slices), [0.5])
+    return _near_middle(rows, cols, {r["column"]: r["value"] for r in merged.collect()})
+
+
+def _near_middle(rows, cols, found) -> DataFrame:
     judged = []
     for c in cols:
         value, n = F.col(c).cast("double"), F.count(c)
@@ -543,41 +616,62 @@ def _train(spark, sf_dir, **training) -> tuple[DataFrame, cluster.Trained]:
     rows = training_rows(spark, sf_dir)
     wide = spark.sparkContext.defaultParallelism
     return rows, cluster.train(
-        rows, fx.LINE_FEATURES, parallelism=4, partitions=wide, **training
+        rows, fx.LINE_FEATURES, partitions=wide, **training
     )
 
 
-def _scores_hold(scores: DataFrame) -> DataFrame:
-    """Per k whether its score is one, and whether exactly the best is marked."""
-    best = Window.partitionBy()
-    marked = scores.withColumn("top", F.max("silhouette").over(best))
-    marked = marked.withColumn("top", F.min(F.when(F.col("silhouette") == F.col("top"), F.col("k"))).over(best))
-    return marked.select(
-        F.col("k").cast("bigint").alias("k"),
-        F.col("silhouette").between(-1.0, 1.0).alias("in_range"),
-        (F.col("is_best") == (F.col("k") == F.col("top"))).alias("best_is_marked"),
-    )
+def _sweep_holds(trained: cluster.Trained, within: float) -> DataFrame:
+    """What every right sweep over all rows fulfils, with labels, costs and scores worked out again.
+
+    Per k the rows in the last iteration's clusters and those labelled anew, whether the final
+    centres cost no more than those they come from, whether the score is ``within`` that of all
+    rows by the single-k silhouette, and whether exactly the best score is marked.
+    """
+    points, fits, told = trained.points, trained.sweep.fits.by_k, trained.sweep.silhouettes
+    names = [c for c in points.columns if c.startswith("f")]
+    best = max(fits, key=lambda k: (told[k], -k))
+
+    def judge(k: int) -> tuple:
+        fit = fits[k]
+        near = cluster.assign(points, names, fit.centers)
+        least = F.array_min(F.array(*[cluster.squared_distance(names, c) for c in fit.centers]))
+        found = near.agg(F.sum(least).alias("cost"), F.count("cluster").alias("n")).first()
+        again = cluster.silhouette(near, names, len(fit.centers)).first()["silhouette"]
+        falls = found["cost"] <= fit.cost * (1 + 1e-9)
+        return k, sum(fit.sizes), found["n"], falls, abs(told[k] - again) < within, (k == trained.sweep.best) == (k == best)
+
+    # A few short jobs for each k; side by side they fill the cluster.
+    with ThreadPool(len(fits)) as pool:
+        rows = pool.map(inheritable_thread_target(points.sparkSession)(judge), list(fits), chunksize=1)
+    schema = "k bigint, n_fitted bigint, n_rows bigint, cost_falls boolean, same_score boolean, best_is_marked boolean"
+    return points.sparkSession.createDataFrame(rows, schema)
 
 
 @query
 def kmeans_sweep(spark, sf_dir):
     """The whole sweep: every k from 3 to 10 fitted and scored on all rows."""
-    return _scores_hold(_train(spark, sf_dir, **presets.FULL_SWEEP)[1].sweep.scores)
+    return _sweep_holds(_train(spark, sf_dir, **presets.FULL_SWEEP)[1], 1e-9)
 
 
 @query
 def kmeans_fast(spark, sf_dir):
     """Bounded iterations, scored on a Bernoulli sample."""
-    return _scores_hold(_train(spark, sf_dir, **presets.FAST_SWEEP)[1].sweep.scores)
+    return _sweep_holds(_train(spark, sf_dir, **presets.FAST_SWEEP)[1], 0.05)
+
 
+def _labels_hold(labelled: DataFrame, points, label: str) -> DataFrame:
+    """How many rows there are, how many carry the label of a nearest centre, and how many labels occur.
 
-def _labels_hold(labelled: DataFrame, k: int, label: str) -> DataFrame:
-    """How many rows there are, how many have a label, and how many labels occur."""
-    good = F.col(label).between(0, k - 1)
-    return labelled.agg(
+    ``labelled`` has the vectors that were compared with the centres ``points``.
+    """
+    parts = vector_to_array("features")
+    names = [f"z{i}" for i in range(len(points[0]))]
+    made = labelled.select(F.col(label).alias("own"), *[parts[i].alias(n) for i, n in enumerate(names)])
+    made = made.withColumn("d", F.array(*[cluster.squared_distance(names, p) for p in points]))
+    return made.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(good).alias("n_labelled"),
-        (F.count_distinct(label) == k).alias("all_labels_occur"),
+        F.count_if(F.get("d", F.col("own")) <= F.array_min("d") + 1e-9).alias("n_nearest"),
+        (F.count_distinct("own") == len(points)).alias("all_labels_occur"),
     )
 
 
@@ -585,19 +679,36 @@ def _labels_hold(labelled: DataFrame, k: int, label: str) -> DataFrame:
 def kmeans_train(spark, sf_dir):
     """Labels of all rows from the model that the whole sweep chose, gaps imputed."""
     rows, trained = _train(spark, sf_dir, **presets.FULL_SWEEP)
-    return _labels_hold(trained.model.transform(rows), trained.sweep.best, "prediction")
+    points = cluster.kmeans_stage(trained.model).clusterCenters()
+    return _labels_hold(trained.model.transform(rows), points, "prediction")
 
 
 @query
 def kmeans_refit(spark, sf_dir):
-    """Sizes after fitting preparation and clustering again on the raw rows, added up."""
+    """Labels after fitting preparation and clustering again on the raw rows."""
     rows, trained = _train(spark, sf_dir, **presets.FAST_SWEEP, refit=True)
-    counted = cluster.sizes(trained.model.transform(rows), "prediction")
-    return counted.agg(
-        F.sum("n").alias("n_rows"),
-        (F.count(F.lit(1)) == trained.sweep.best).alias("all_labels_occur"),
-        (F.min("n") > 0).alias("none_empty"),
-    )
+    points = cluster.kmeans_stage(trained.model).clusterCenters()
+    return _labels_hold(trained.model.transform(rows), points, "prediction")
+
+
+@query
+def kmeans_seeds(spark, sf_dir):
+    """Starting centres of part for three and five clusters, drawn by the key."""
+    scaled = features.standardize(table(spark, sf_dir, "part"), ["p_size", "p_retailprice"], prefix="z_")
+    found = lloyd.seeds(scaled, ["z_p_size", "z_p_retailprice"], [3, 5], key=["p_partkey"])
+    rows = [(k, c, *map(float, at)) for k, points in found.items() for c, at in enumerate(points)]
+    return rounded(spark.createDataFrame(rows, "k int, c int, x double, y double"), ["x", "y"])
+
+
+@query
+def lloyd_joint(spark, sf_dir):
+    """Three sets of centres after three joint iterations, with the sizes and costs of the last one."""
+    scaled = scratch.materialize(scaled_lineitem(spark, sf_dir).select(*fx.LINE_Z), "scaled")
+    fits = lloyd.iterate(scaled, fx.LINE_Z, fx.CENTER_SETS, max_iter=fx.JOINT_ITERATIONS, tol=0.0)
+    rows = [
+        (k, c, fit.sizes[c], float(fit.cost), *map(float, at)) for k, fit in fits.by_k.items() for c, at in enumerate(fit.centers)
+    ]
+    return rounded(spark.createDataFrame(rows, "k int, c int, n bigint, cost double, x double, y double"), ["cost", "x", "y"], 3)
 
 
 @query
@@ -659,8 +770,15 @@ def saved_model_scores(spark, sf_dir):
     report = sinks.write_report(
         trained.sweep.scores, scratch.folder(spark, "report"), {trained.sweep.best: path}
     )
-    scored = cluster.score(rows, sinks.best_model_path(spark, report), keep=fx.LINE_KEY)
-    return _labels_hold(scored, trained.sweep.best, "cluster")
+    best = sinks.best_model_path(spark, report)
+    scored = cluster.score(rows, best, keep=fx.LINE_FEATURES)
+    # The vectors of the kept columns, by the model's own preparation.
+    prepared = PipelineModel(stages=cluster.load_model(spark, best).stages[:-1]).transform(scored)
+    points = [tuple(c) for c in trained.sweep.fits.by_k[trained.sweep.best].centers]
+    kept = cluster.kmeans_stage(cluster.load_model(spark, best)).clusterCenters()
+    if sorted(map(tuple, kept)) != sorted(points):
+        raise ValueError("the report names a model with other centres than those of the best k")
+    return _labels_hold(prepared, kept, "cluster")
 
 
 @query

@@ -37,6 +37,21 @@ DAMAGED_PART = """CASE p_brand
     WHEN 'Brand#12' THEN concat_ws('\t', CAST(p_partkey AS STRING), p_brand)
     ELSE concat_ws('\t', CAST(p_partkey AS STRING), p_brand, CAST(p_size AS STRING)) END"""
 
+# The field is a number, a number as text, no number, null or not there.
+MIXED_JSON = """concat('{"event_id": ', event_id, ', "props": ', CASE event_id % 5
+    WHEN 0 THEN concat('{"k-100": ', k, '}')
+    WHEN 1 THEN concat('{"k-100": "', k, '"}')
+    WHEN 2 THEN '{"k-100": "many"}'
+    WHEN 3 THEN '{"k-100": null}'
+    ELSE '{}' END, '}')"""
+
+PART_SYNONYMS = {
+    "size": ["size", "size_cm"],
+    "price": ["price", "retail-price"],
+    "brand": ["p_brand"],
+}
+NARROW_BOUNDS = {"l_quantity": (10.0, 14.0), "l_extendedprice": (15000.0, 22000.0)}
+
 LINE_Z = ["z_l_quantity", "z_l_extendedprice"]
 LINE_CENTERS = [(-1.0, -1.0), (0.0, 0.0), (1.0, 1.0)]
 PART_CENTERS = [(-1.0, 0.0), (0.0, 1.0), (1.0, -0.5)]
@@ -45,3 +60,4 @@ CENTER_SETS = {
     3: LINE_CENTERS,
     4: [(-1.2, -1.0), (-0.2, -0.5), (0.6, 0.2), (1.2, 1.6)],
 }
+JOINT_ITERATIONS = 3

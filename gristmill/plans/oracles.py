@@ -101,6 +101,55 @@ def _best_k() -> str:
     return f"SELECT k, silhouette FROM ({scores}) ORDER BY silhouette DESC, k LIMIT 1"
 
 
+def _joint_lloyd() -> str:
+    """Iterations from the given sets of centres, one pair of tables each."""
+    start = ", ".join(f"({k}, {c}, CAST({x} AS DOUBLE), CAST({y} AS DOUBLE))" for k, points in fx.CENTER_SETS.items() for c, (x, y) in enumerate(points))
+    parts = [
+        f"p AS MATERIALIZED (SELECT row_number() OVER () AS id, {fx.LINE_Z[0]} AS x, {fx.LINE_Z[1]} AS y FROM ({_LINE_SCALED}) s)",
+        f"c0(k, c, x, y) AS (VALUES {start})",
+    ]
+    for i in range(fx.JOINT_ITERATIONS):
+        parts.append(
+            f"l{i} AS (SELECT id, k, any_value(p.x) AS x, any_value(p.y) AS y, min({{'d': (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y), 'c': c.c}}) AS m FROM p, c{i} c GROUP BY id, k)"
+        )
+        parts.append(f"c{i + 1} AS MATERIALIZED (SELECT k, m.c AS c, avg(x) AS x, avg(y) AS y, count(*) AS n, sum(m.d) AS far FROM l{i} GROUP BY 1, 2)")
+    last = f"c{fx.JOINT_ITERATIONS}"
+    return (
+        f"WITH {', '.join(parts)} SELECT CAST(k AS INTEGER) AS k, CAST(c AS INTEGER) AS c, n, round(sum(far) OVER (PARTITION BY k), 3) AS cost, "
+        f"round(x, 3) AS x, round(y, 3) AS y FROM {last}"
+    )
+
+
+def _seeds(rounds: int = 2, wanted: int = 10) -> str:
+    """Keyed oversampling of part, then the heavy and far candidates, unrolled for five clusters."""
+    far = "list_min([(p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) FOR q IN cand])"
+    rank = "CAST('0x' || substr(md5('42:{0}:' || CAST(p_partkey AS VARCHAR)), 1, 8) AS BIGINT)"
+    parts = [
+        f"p AS MATERIALIZED (SELECT p_partkey, z_p_size AS x, z_p_retailprice AS y FROM ({_scaled('SELECT * FROM part', ['p_size', 'p_retailprice'])}) s)",
+        f"k0 AS MATERIALIZED (SELECT 0 AS turn, m.x AS x, m.y AS y FROM (SELECT min({{'r': {rank.format(0)}, 'x': x, 'y': y}}) AS m FROM p))",
+    ]
+    for turn in range(1, rounds + 1):
+        before = f"k{turn - 1}"
+        parts += [
+            f"f{turn} AS MATERIALIZED (SELECT p.*, {far} AS far FROM p, (SELECT list({{'x': x, 'y': y}}) AS cand FROM {before}))",
+            f"k{turn} AS MATERIALIZED (SELECT * FROM {before} UNION ALL SELECT DISTINCT {turn}, x, y FROM f{turn}"
+            f" WHERE {rank.format(turn)} < {wanted} * 4294967296.0 * far / (SELECT sum(far) FROM f{turn}) AND far > 0)",
+        ]
+    parts += [
+        f"q AS MATERIALIZED (SELECT row_number() OVER (ORDER BY turn, x, y) - 1 AS i, x, y FROM k{rounds})",
+        "w AS MATERIALIZED (SELECT q.i, q.x, q.y, coalesce(n, 0) AS w FROM q LEFT JOIN (SELECT m.i AS i, count(*) AS n FROM ("
+        "SELECT p_partkey, min({'d': (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y), 'i': q.i}) AS m FROM p, q GROUP BY p_partkey) GROUP BY 1) USING (i))",
+        "s0 AS MATERIALIZED (SELECT 0 AS c, i, x, y FROM w ORDER BY w DESC, i LIMIT 1)",
+    ]
+    for c in range(1, 5):
+        gap = f"(SELECT min((w.x - s.x) * (w.x - s.x) + (w.y - s.y) * (w.y - s.y)) FROM s{c - 1} s)"
+        parts.append(f"s{c} AS MATERIALIZED (SELECT * FROM s{c - 1} UNION ALL (SELECT {c}, i, x, y FROM w ORDER BY w * {gap} DESC, i LIMIT 1))")
+    return (
+        f"WITH {', '.join(parts)} SELECT CAST(k AS INTEGER) AS k, CAST(c AS INTEGER) AS c, round(x, 4) AS x, round(y, 4) AS y "
+        "FROM s4, (VALUES (3), (5)) AS v(k) WHERE c < k"
+    )
+
+
 def _in_range(nulls: str) -> str:
     tests = []
     for name, (lo, hi) in fx.BOUNDS.items():
@@ -147,10 +196,10 @@ SQL: dict[str, str] = {
                CAST(NULL AS DOUBLE) AS not_there
         FROM events""",
     "format_dispatch": _part_formats(),
-    "corrupt_split": """
+    **dict.fromkeys(("corrupt_split", "corrupt_stored"), """
         SELECT CASE WHEN p_brand IN ('Brand#11', 'Brand#12') THEN 'bad' ELSE 'good' END AS side,
                count(*) AS n, CAST(sum(p_partkey) AS BIGINT) AS sum_key
-        FROM part GROUP BY 1""",
+        FROM part GROUP BY 1"""),
     "small_csv_sink": """
         SELECT p_brand, count(*) AS n, round(avg(p_retailprice), 4) AS avg
         FROM part GROUP BY p_brand""",
@@ -192,6 +241,19 @@ SQL: dict[str, str] = {
         "count(v) AS count, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS stddev, "
         "round(min(v), 4) AS min, round(max(v), 4) AS max"
     ),
+    "profile_merged": _per_gap_column(
+        "count(*) AS n_rows, count(*) - count(v) AS nulls, count(v) AS count, round(avg(v), 4) AS mean, "
+        "round(stddev_samp(v), 4) AS stddev, round(min(v), 4) AS min, round(max(v), 4) AS max"
+    ),
+    "jsonl_variants": """
+        SELECT event_id, CASE WHEN event_id % 5 < 2 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+               CAST(NULL AS VARCHAR) AS not_there FROM events""",
+    "exports_by_header": """
+        SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, CAST(p_retailprice AS DOUBLE) AS price,
+               CASE WHEN p_partkey % 2 <> 0 THEN p_brand END AS brand FROM part""",
+    "clustered_range": f"""
+        SELECT {_KEY}, l_quantity, l_extendedprice FROM lineitem
+        WHERE {" AND ".join(f"{c} >= {lo} AND {c} <= {hi}" for c, (lo, hi) in fx.NARROW_BOUNDS.items())}""",
     "null_counts": _per_gap_column("count(*) - count(v) AS nulls"),
     "group_count_avg": """
         SELECT event_type, count(*) AS n, round(avg(value), 4) AS avg
@@ -256,19 +318,23 @@ SQL: dict[str, str] = {
         ("sample_target", "sample_capped", "sample_fraction"),
         "SELECT count(*) > 0 AS in_table, count(*) > 0 AS size_plausible FROM lineitem",
     ),
-    "medians_approx": " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count(*) > 0 AS rank_near_middle FROM lineitem" for c in fx.GAPS
+    **dict.fromkeys(
+        ("medians_approx", "medians_merged"),
+        " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) > 0 AS rank_near_middle FROM lineitem" for c in fx.GAPS),
     ),
     "vector_impute": f"""
         SELECT count(*) AS n_rows, count(*) AS n_as_expected FROM ({_GAPPY})
         WHERE {" OR ".join(f"{c} IS NOT NULL" for c in fx.GAPS)}""",
     **{
-        name: f"SELECT k, n > 0 AS in_range, n > 0 AS best_is_marked FROM range(3, {end}) AS r(k), (SELECT count(*) AS n FROM lineitem)"
+        name: f"SELECT k, n AS n_fitted, n AS n_rows, n > 0 AS cost_falls, n > 0 AS same_score, n > 0 AS best_is_marked FROM range(3, {end}) AS r(k), (SELECT count(*) AS n FROM lineitem)"
         for name, end in (("kmeans_sweep", 11), ("kmeans_fast", 7))
     },
-    "kmeans_train": "SELECT count(*) AS n_rows, count(*) AS n_labelled, count(*) > 0 AS all_labels_occur FROM lineitem",
-    "saved_model_scores": "SELECT count(*) AS n_rows, count(*) AS n_labelled, count(*) > 0 AS all_labels_occur FROM lineitem",
-    "kmeans_refit": "SELECT count(*) AS n_rows, count(*) > 0 AS all_labels_occur, count(*) > 0 AS none_empty FROM lineitem",
+    **dict.fromkeys(
+        ("kmeans_train", "saved_model_scores", "kmeans_refit"),
+        "SELECT count(*) AS n_rows, count(*) AS n_nearest, count(*) > 0 AS all_labels_occur FROM lineitem",
+    ),
+    "kmeans_seeds": _seeds(),
+    "lloyd_joint": _joint_lloyd(),
     "kmeans_centers": "SELECT cluster, n > 0 AS inside FROM range(0, 3) AS r(cluster), (SELECT count(*) AS n FROM lineitem)",
     "sweep_report": "SELECT k, n > 0 AS names_the_best, n > 0 AS same_score FROM range(3, 7) AS r(k), (SELECT count(*) AS n FROM lineitem)",
 }

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +29,14 @@ def load_export(
 ) -> DataFrame:
     """Read a dump; of a JSON dump also lift the nutrient struct to top-level columns.
 
-    With ``quarantine``, rows of delimited text with too many or too few fields are written
-    there and do not come back.
+    With ``quarantine``, delimited text is parsed once and stored; rows with too many or too few
+    fields are written there, and the others come back from storage.
     """
     if quarantine is not None:
         if format not in ("tsv", "csv"):
             raise ValueError("only delimited text has a quarantine")
-        good, bad = sources.split_corrupt(spark, path, sep="\t" if format == "tsv" else ",", **options)
+        stored = scratch.folder(spark, "export")
+        good, bad = sources.store_split(spark, path, stored, sep="\t" if format == "tsv" else ",", **options)
         sinks.write_parquet(bad, quarantine)
         return good
     df = sources.read_any(spark, path, format, **options)
@@ -44,6 +46,31 @@ def load_export(
     return columns.flatten_struct(df, struct, spellings, missing="omit")
 
 
+def load_exports(
+    spark: SparkSession,
+    paths: Sequence[str],
+    synonyms: Mapping[str, Sequence[str]] = presets.PROFILE_SYNONYMS,
+    required: bool | Sequence[str] = True,
+    keep: Sequence[str] = (),
+    **options,
+) -> DataFrame:
+    """Several delimited exports under logical names, each file by its own header.
+
+    A scan maps columns by their place, so files of different headers are never scanned together:
+    they are grouped by header, each group resolves the synonyms for itself, and the groups are
+    put together by logical name, null where a group has no such column. The driver reads one
+    line of each path; files below one path must share a header.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(tuple(sources.read_delimited(spark, path, **options).columns), []).append(path)
+    parts = []
+    for same in groups.values():
+        df = sources.read_delimited(spark, same, **options)
+        parts.append(columns.select_resolved(df, columns.resolve(df, synonyms, required=required), keep=keep))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 @dataclass
 class Profile:
     mapping: dict[str, str]

@@ -7,7 +7,9 @@ from gristmill.sources.readers import (
     read_delimited,
     read_jsonl,
     read_parquet,
+    read_variants,
     split_corrupt,
+    store_split,
     mark_corrupt,
     spread,
 )
@@ -19,7 +21,9 @@ __all__ = [
     "read_delimited",
     "read_jsonl",
     "read_parquet",
+    "read_variants",
     "split_corrupt",
+    "store_split",
     "mark_corrupt",
     "spread",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from gristmill.functions import quoted
 
 CORRUPT = "_corrupt_record"
+DAMAGED = "_damaged"
 
 
 def read_delimited(
@@ -66,6 +67,14 @@ def read_jsonl(
     return reader.json(path)
 
 
+def read_variants(spark: SparkSession, path: str | list[str], column: str = "value") -> DataFrame:
+    """One JSON value per line as a VARIANT, null where the line is none: no schema, so no pass to infer one.
+
+    ``columns.variant_fields`` lifts fields, whatever type they have in which line.
+    """
+    return spark.read.text(path).select(F.try_parse_json("value").alias(column))
+
+
 def read_parquet(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
     paths = [path] if isinstance(path, str) else path
     return spark.read.options(**options).parquet(*paths)
@@ -134,9 +143,31 @@ def split_corrupt(
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)`` rows of delimited text; ``bad`` also has the raw row.
 
-    Each side is a scan of its own; to look at both in one, use ``mark_corrupt``.
+    Each side is a scan of its own; to look at both in one, use ``mark_corrupt``, to keep both
+    ``store_split``.
     """
     rows = mark_corrupt(spark, path, schema, corrupt, **options)
     is_bad = F.col(quoted(corrupt)).isNotNull()
     good = rows.where(~is_bad).select(*[F.col(quoted(n)) for n in rows.columns if n != corrupt])
     return good, rows.where(is_bad)
+
+
+def store_split(
+    spark: SparkSession,
+    path: str | list[str],
+    out: str,
+    schema: T.StructType | str | None = None,
+    corrupt: str = CORRUPT,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` like ``split_corrupt``, parsed once: both are read back from ``out``.
+
+    One scan of the text writes parquet below ``out``, partitioned by whether a row is damaged;
+    each side then reads its own folder only. ``out`` must not exist yet.
+    """
+    rows = mark_corrupt(spark, path, schema, corrupt, **options)
+    rows.withColumn(DAMAGED, F.col(quoted(corrupt)).isNotNull()).write.partitionBy(DAMAGED).parquet(out)
+    # The schema is given, as either side may have no file.
+    stored = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField(DAMAGED, T.BooleanType())])).parquet(out)
+    good = stored.where(~F.col(DAMAGED)).select(*[F.col(quoted(n)) for n in rows.columns if n != corrupt])
+    return good, stored.where(F.col(DAMAGED)).drop(DAMAGED)

@@ -28,7 +28,7 @@ def vectors(blobs):
 
 @pytest.fixture(scope="module")
 def trained(blobs):
-    return cluster.train(blobs, ["x", "y"], ks=range(2, 6), max_iter=20, parallelism=2, partitions=4)
+    return cluster.train(blobs, ["x", "y"], ks=range(2, 6), max_iter=20, partitions=4)
 
 
 def test_assign_to_given_centres(spark, blobs):

@@ -146,3 +146,24 @@ def test_bad_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0]), (3, None), (4, [])], "id int, v array<double>")
     vec = df.select(F.when(F.col("v").isNotNull(), array_to_vector("v")).alias("v"))
     assert features.bad_vectors(vec, "v", 2).first()["n_bad"] == 3
+
+
+def test_sketches_of_slices_merge_to_the_union_in_any_order(spark):
+    rows = spark.range(200_000).select(
+        (F.col("id") % 11).alias("g"),
+        (F.col("id") * 7919 % 200_003).cast("double").alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(math.nan)).otherwise(F.pow(F.rand(3), 4)).alias("b"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    slices = features.quantile_sketches(rows, ["a", "b", "none"], by=["g"]).cache()
+    shares = [0.01, 0.25, 0.5, 0.99]
+    for parts in (1, 3, 11):
+        merged = features.merge_sketches(slices.repartition(parts, F.rand(parts)))
+        for r in features.sketched_quantiles(merged, shares).collect():
+            if r["column"] == "none":
+                assert r["value"] is None
+                continue
+            known = rows.where(F.col(r["column"]).isNotNull() & ~F.isnan(r["column"]))
+            n, below, upto = known.agg(F.count("*"), F.count_if(F.col(r["column"]) < r["value"]), F.count_if(F.col(r["column"]) <= r["value"])).first()
+            assert below / n - features.RANK_ERROR <= r["share"] <= upto / n + features.RANK_ERROR
+    assert [r["median"] for r in features.medians(rows.where("false"), ["a"]).collect()] == [None]

@@ -94,7 +94,7 @@ def test_train_and_inspect(spark, training_table, tmp_path):
     paths = {n: str(tmp_path / n) for n in ("model", "predictions", "report", "sample", "labels", "centers")}
     trained = plans.train_clusters(
         training_table, paths["model"], paths["predictions"], paths["report"], paths["sample"],
-        ks=range(2, 5), max_iter=20, parallelism=3, save_each=True,
+        ks=range(2, 5), max_iter=20, save_each=True,
     )
     assert trained.sweep.best == 3
     made = spark.read.parquet(paths["predictions"])
