@@ -27,18 +27,26 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-#: The default labelled table: words and pages of spam, adult, gambling and tracking hosts, and of ordinary ones.
-LABELLED_URLS = (
-    *(
-        (f"http://{host}.example.org/{path}", "block")
-        for host in ("spam-farm", "casino-bonus", "cheap-pills", "adult-xxx", "link-farm", "ads-click", "payday-loan", "warez-crack")
-        for path in ("en/win-now", "buy", "click/redirect?id=1", "")
-    ),
-    *(
-        (f"https://{host}.example.org/{path}", "allow")
-        for host in ("news", "docs", "m.wiki", "blog.travel", "library", "www.university", "museum", "weather", "then", "ther", "tion", "blog.than")
-        for path in ("en/story", "de/artikel/12", "fr/page/3", "es/articulo", "")
-    ),
+#: What ordinary and unwanted sites call themselves, and pages that they have: plain English words.
+ORDINARY = (
+    "library", "museum", "university", "school", "council", "hospital", "garden", "kitchen", "recipes", "history",
+    "science", "physics", "biology", "music", "theatre", "gallery", "journal", "gazette", "weather", "railway",
+    "football", "cycling", "hiking", "travel", "bakery", "furniture", "software", "handbook", "dictionary", "parliament",
+)
+ORDINARY_PAGES = ("about", "contact", "articles/2019/spring-flowers", "help/getting-started", "research/papers", "")
+UNWANTED = (
+    "casino", "jackpot", "roulette", "slots", "betting", "poker", "porn", "xxx", "nude", "escort",
+    "viagra", "cialis", "pharmacy-discount", "pills", "weightloss", "replica-watches", "payday", "quickloan", "lottery", "prizes",
+    "clickbait", "popunder", "adserver", "tracker", "doorway", "backlinks", "warez", "keygen", "torrents", "cracked",
+)
+UNWANTED_PAGES = ("buy-now", "free-bonus", "win/claim-your-prize", "click?offer=1", "cheap/order-online", "")
+#: The default labelled table: each site on a domain of its own, with each of its pages.
+LABELLED_URLS = tuple(
+    (f"https://{site}.{zone}/{page}", label)
+    for label, sites, pages in (("allow", ORDINARY, ORDINARY_PAGES), ("block", UNWANTED, UNWANTED_PAGES))
+    for i, site in enumerate(sites)
+    for zone in (("org", "net", "info", "eu", "co.uk")[i % 5],)
+    for page in pages
 )
 
 
@@ -76,10 +84,11 @@ def grams(host: Column, path: Column) -> Column:
 
     def of(text: Column, mark: str) -> Column:
         padded = F.concat(F.lit("^"), text, F.lit("$"))
+        # A look-ahead finds all grams in one pass; substrings would start from the front each time.
         parts = [
             F.transform(
-                F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - (n - 1))),
-                lambda i, n=n: F.concat(F.lit(mark), F.substring(padded, i, n)),
+                F.when(F.length(padded) < n, F.array(padded)).otherwise(F.regexp_extract_all(padded, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))),
+                lambda gram: F.concat(F.lit(mark), gram),
             )
             for n in SIZES
         ]
