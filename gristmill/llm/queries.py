@@ -183,22 +183,13 @@ def op8_lm_scoring(spark, sf_dir):
 def op1_warc_transactions(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     records = warc.read(spark, warc.write(pages, scratch.folder(spark, "warc")))
-    # Digests are taken from what was read, in one pass over the archives; payloads of captures
-    # need not be shuffled for them.
-    body = F.when(~F.col("type").isin("response", "revisit"), F.col("payload"))
-    full = F.col("type") == "response"
-    sized = records.withColumns(
-        {
-            "payload_bytes": F.when(full, F.octet_length("payload")).otherwise(F.regexp_extract("http_header", "(?i)content-length: ([0-9]+)", 1).try_cast("bigint")).cast("bigint"),
-            "payload_digest": F.when(full, F.sha1("payload")).otherwise(F.col("payload_digest")),
-            "payload": body,
-        }
-    )
-    captures = warc.assemble(scratch.materialize(sized, "records"))
+    captures = warc.assemble(scratch.materialize(records, "records"))
+    payload, announced = F.col("main.payload"), F.regexp_extract("main.http_header", "(?i)content-length: ([0-9]+)", 1)
+    full = F.col("main.type") == "response"
     return captures.select(
         warc.field(F.col("metadata"), "key").cast("bigint").alias("page_id"),
-        F.col("main.payload_bytes").alias("payload_bytes"),
-        F.col("main.payload_digest").alias("payload_digest"),
+        F.when(full, F.octet_length(payload)).otherwise(announced.try_cast("bigint")).cast("bigint").alias("payload_bytes"),
+        F.when(full, F.sha1(payload)).otherwise(F.col("main.payload_digest")).alias("payload_digest"),
         F.col("main.type").alias("record_type"),
         warc.field(F.col("metadata"), "refers-to").cast("bigint").alias("refers_to"),
     )
