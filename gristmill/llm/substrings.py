@@ -9,7 +9,9 @@ repeat. A word goes if such a window starts in a document with a smaller id too.
 What is shuffled is one entry per block of documents and distinct anchor, never one per
 occurrence, so a passage in a third of all documents costs one entry a block. Anchors and windows
 are dealt to buckets by their hashes; a bucket holds about ``BUCKET`` entries at any input size.
-Windows are compared by 64-bit hashes of their word hashes.
+A bucket answers with one bit per entry, in the order in which the block sent them: the block
+works its entries out anew, so no hash travels back. Windows are compared by 96 bits: a 64-bit
+hash of one set of word hashes and 32 bits of another, independent one.
 """
 
 from __future__ import annotations
@@ -33,72 +35,104 @@ BUCKET = 1 << 20
 LAST = np.iinfo(np.int64).max
 
 
-def _windows(row: dict, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, document number, anchor and full hash of every window within a document of a block."""
+def _windows(row: dict, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, document number, anchor, full hash and check of every window within a document of a block."""
     lens, ids, words = unpack(row["lens"], row["ids"], row["vocab"])
-    h = word_hashes(words)[ids] if len(words) else np.zeros(0, np.uint64)
+    none = np.zeros(0, np.uint64)
+    h, other = (word_hashes(words, seed)[ids] if len(words) else none for seed in (0, 1))
     n = max(0, len(h) - length + 1)
     nr = np.repeat(np.arange(len(lens)), lens)
     inside = np.flatnonzero(nr[:n] == nr[length - 1 :]) if n else np.zeros(0, np.int64)
     seed = min(SEED, length)
     grams = window_hashes(h, seed)
-    anchor = np.minimum.reduce([grams[i : i + n] for i in range(length - seed + 1)]) if n else grams[:0]
-    return inside, nr[inside], anchor[inside], window_hashes(h, length)[inside]
+    anchor = np.minimum.reduce([grams[i : i + n] for i in range(length - seed + 1)]) if n else none
+    check = (window_hashes(other, length)[inside] >> np.uint64(32)).astype(np.uint32)
+    return inside, nr[inside], anchor[inside], window_hashes(h, length)[inside], check
 
 
 def _keys(row: dict) -> np.ndarray:
     return np.array([LAST if k is None else k for k in row["keys"]], np.int64)
 
 
-def _dealt(block: int, buckets: int, hashes: np.ndarray, values: np.ndarray, names: list[str]) -> pa.RecordBatch | None:
-    """Sorted hashes and their values, cut by bucket: one row each."""
-    if not len(hashes):
-        return None
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a new value starts in sorted columns."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    new = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(np.concatenate([[True], new]))
+
+
+def _anchor_entries(nr: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct anchors of a block in order, and whether two of its documents have them."""
+    order = np.lexsort((nr, anchor))
+    anchor, nr = anchor[order], nr[order]
+    heads = _runs(anchor)
+    last = np.append(heads[1:], len(anchor)) - 1
+    return anchor[heads], (nr[last] > nr[heads]).astype(np.uint8) if len(heads) else np.zeros(0, np.uint8)
+
+
+def _window_entries(window: np.ndarray, check: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct windows of a block in order: hash, check, smallest key; and the number of each window among them."""
+    order = np.lexsort((own, check, window))
+    heads = _runs(window[order], check[order])
+    number = np.empty(len(window), np.int64)
+    number[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(window))))
+    first = order[heads]
+    return window[first], check[first], own[first], number
+
+
+def _order(buckets: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How entries are dealt: their order by bucket, the buckets, and where each bucket starts and ends."""
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    bucket, hashes, values = bucket[order], hashes[order], values[order]
-    heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    ends = np.append(heads[1:], len(bucket))
-    cut = list(zip(heads.tolist(), ends.tolist(), strict=True))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(bucket[heads]),
-            pa.array(np.full(len(heads), block)),
-            pa.array([hashes[a:b].tobytes() for a, b in cut], pa.binary()),
-            pa.array([values[a:b].tobytes() for a, b in cut], pa.binary()),
-        ],
-        names=names,
-    )
+    heads = _runs(bucket[order])
+    return order, bucket[order][heads], np.append(heads, len(hashes))
+
 
+def _dealt(block: int, buckets: int, hashes: np.ndarray, checks: np.ndarray | None, values: np.ndarray) -> pa.RecordBatch:
+    """Sorted hashes, their checks and values, cut by bucket: one row each."""
+    order, bucket, ends = _order(buckets, hashes)
+    cut = list(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
 
-def _gather(group: pa.Table, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All entries of a bucket sorted by hash: hash, value, block; and where each hash starts."""
-    hashes = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("hashes")]
-    values = [np.frombuffer(x.as_py(), kind) for x in group.column("vals")]
-    block = np.repeat(group.column("block").to_numpy(), [len(x) for x in hashes])
-    h, v = np.concatenate(hashes), np.concatenate(values)
-    order = np.argsort(h, kind="stable")
-    h, v, block = h[order], v[order], block[order]
-    return h, v, block, np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-
-
-def _returned(h: np.ndarray, v: np.ndarray, block: np.ndarray) -> pa.Table:
-    """Entries handed back to their blocks."""
-    order = np.argsort(block, kind="stable")
-    h, v, block = h[order], v[order], block[order]
-    heads = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
-    cut = list(zip(heads.tolist(), np.append(heads[1:], len(block)).tolist(), strict=True)) if len(block) else []
-    return pa.table(
-        {
-            "block": pa.array(block[heads], pa.int64()),
-            "hashes": pa.array([h[a:b].tobytes() for a, b in cut], pa.binary()),
-            "vals": pa.array([v[a:b].tobytes() for a, b in cut], pa.binary()),
-        }
+    def packed(x):
+        return pa.array([b"" if x is None else x[order[a:b]].tobytes() for a, b in cut], pa.binary())
+
+    columns = [pa.array(bucket), pa.array(np.full(len(bucket), block)), packed(hashes), packed(checks), packed(values)]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "hashes", "checks", "vals"])
+
+
+def _gather(group: pa.Table, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All entries of a bucket: hash, check, value, the order that sorts them, and where each distinct one starts."""
+    h, c, v = (
+        np.concatenate([np.frombuffer(x.as_py(), t) for x in group.column(name)])
+        for name, t in (("hashes", np.uint64), ("checks", np.uint32), ("vals", kind))
     )
+    if not len(c):
+        c = np.zeros(len(h), np.uint32)
+    order = np.lexsort((c, h))
+    return h, c, v, order, _runs(h[order], c[order])
+
 
+def _returned(group: pa.Table, flags: np.ndarray) -> pa.Table:
+    """A bit per entry, handed back to the blocks."""
+    sizes = [len(x.as_py()) // 8 for x in group.column("hashes")]
+    ends = np.cumsum(sizes)[:-1]
+    bits = [np.packbits(x).tobytes() for x in np.split(flags, ends)]
+    return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
-_ENTRY = "bucket long, block long, hashes binary, vals binary"
-_BACK = "block long, hashes binary, vals binary"
+
+def _flags(buckets: int, hashes: np.ndarray, back: list[dict] | None) -> np.ndarray:
+    """The answers to a block's entries, in the order of the entries."""
+    order, bucket, ends = _order(buckets, hashes)
+    bits = {x["bucket"]: x["bits"] for x in back or ()}
+    out = np.zeros(len(hashes), bool)
+    for k, a, b in zip(bucket.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        out[order[a:b]] = np.unpackbits(np.frombuffer(bits[k], np.uint8), count=b - a).astype(bool)
+    return out
+
+
+_ENTRY = "bucket long, block long, hashes binary, checks binary, vals binary"
+_BACK = "block long, bucket long, bits binary"
 
 
 def _rows(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict]:
@@ -107,9 +141,9 @@ def _rows(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict]
             yield {c: batch.column(c)[i].as_py() for c in names}
 
 
-def _back(df: DataFrame) -> DataFrame:
+def _back(df: DataFrame, name: str) -> DataFrame:
     """Per block, what its buckets returned."""
-    return df.groupBy("block").agg(F.collect_list(F.struct("hashes", "vals")).alias("back"))
+    return df.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, keep: tuple[str, ...] = (), gaps: bool = False) -> DataFrame:
@@ -120,7 +154,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     are judged on the input. ``kept`` joins the kept words by one space; with ``gaps`` it is the
     original text without the removed words and the white space after each.
 
-    Null text has no words. A null key counts as larger than all others. Rows with the same key
+    The key must be an integer or cast to one. Null text has no words. A null key counts as larger than all others. Rows with the same key
     are not repeats of each other. Documents shorter than ``length`` lose nothing. Columns in
     ``keep`` must not have the name of a result.
     """
@@ -131,50 +165,50 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     buckets = tokens // 4 // BUCKET + 1
     source = blocks.select("block", F.col(f"`k_{key}`").cast("array<bigint>").alias("keys"), "lens", "ids", "vocab")
     names = ["block", "keys", "lens", "ids", "vocab"]
-    entry = ["bucket", "block", "hashes", "vals"]
 
     def anchors(batches):
         for row in _rows(batches, names):
-            _, nr, anchor, _ = _windows(row, length)
-            if not len(anchor):
-                continue
-            first = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (nr[1:] != nr[:-1])])
-            anchor, nr = anchor[first], nr[first]
-            order = np.lexsort((nr, anchor))
-            anchor, nr = anchor[order], nr[order]
-            heads = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-            last = np.append(heads[1:], len(anchor)) - 1
-            yield _dealt(row["block"], buckets, anchor[heads], (nr[last] > nr[heads]).astype(np.uint8), entry)
+            _, nr, anchor, _, _ = _windows(row, length)
+            if len(anchor):
+                hashes, many = _anchor_entries(nr, anchor)
+                yield _dealt(row["block"], buckets, hashes, None, many)
 
     def shared(group: pa.Table) -> pa.Table:
-        h, many, block, heads = _gather(group, np.uint8)
-        counts = np.diff(np.append(heads, len(h)))
-        common = np.repeat((counts > 1) | (many[heads] > 0), counts)
-        return _returned(h[common], many[common], block[common])
+        _, _, many, order, heads = _gather(group, np.uint8)
+        counts = np.diff(np.append(heads, len(order)))
+        flags = np.empty(len(order), bool)
+        flags[order] = np.repeat((counts > 1) | (many[order][heads] > 0), counts)
+        return _returned(group, flags)
+
+    def around(row: dict):
+        """The windows of a block on shared anchors: start, key, number among the distinct ones, and those."""
+        start, nr, anchor, window, check = _windows(row, length)
+        hashes, _ = _anchor_entries(nr, anchor)
+        known = hashes[_flags(buckets, hashes, row["met"])]
+        at = np.minimum(np.searchsorted(known, anchor), max(0, len(known) - 1))
+        met = known[at] == anchor if len(known) else np.zeros(len(anchor), bool)
+        own = _keys(row)[nr[met]]
+        *entries, number = _window_entries(window[met], check[met], own)
+        return start[met], own, number, entries
 
     def extend(batches):
-        for row in _rows(batches, [*names, "back"]):
-            start, nr, anchor, window = _windows(row, length)
-            known = np.sort(np.concatenate([np.frombuffer(x["hashes"], np.uint64) for x in row["back"]]))
-            at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
-            met = known[at] == anchor
-            window, own = window[met], _keys(row)[nr[met]]
-            order = np.lexsort((own, window))
-            window, own = window[order], own[order]
-            heads = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]])) if len(window) else order
-            batch = _dealt(row["block"], buckets, window[heads], own[heads], entry)
-            if batch is not None:
-                yield batch
+        for row in _rows(batches, [*names, "met"]):
+            *_, entries = around(row)
+            if len(entries[0]):
+                yield _dealt(row["block"], buckets, *entries)
 
     def smallest(group: pa.Table) -> pa.Table:
-        h, own, block, heads = _gather(group, np.int64)
-        least = np.repeat(np.minimum.reduceat(own, heads), np.diff(np.append(heads, len(h))))
-        late = least < own
-        return _returned(h[late], least[late], block[late])
-
-    met = source.mapInArrow(anchors, _ENTRY).groupBy("bucket").applyInArrow(shared, _BACK)
-    around = source.join(_back(met).hint("shuffle_hash"), "block").mapInArrow(extend, _ENTRY)
-    firsts = scratch.materialize(around.groupBy("bucket").applyInArrow(smallest, _BACK), "firsts")
+        _, _, own, order, heads = _gather(group, np.int64)
+        least = np.repeat(np.minimum.reduceat(own[order], heads), np.diff(np.append(heads, len(order))))
+        flags = np.empty(len(order), bool)
+        flags[order] = least < own[order]
+        return _returned(group, flags)
+
+    found = source.mapInArrow(anchors, _ENTRY).groupBy("bucket").applyInArrow(shared, _BACK)
+    found = scratch.materialize(_back(found, "met"), "shared")
+    windows = source.join(found.hint("shuffle_hash"), "block").mapInArrow(extend, _ENTRY)
+    late = windows.groupBy("bucket").applyInArrow(smallest, _BACK)
+    answers = scratch.materialize(found.join(_back(late, "late"), "block", "left"), "firsts")
 
     kinds = [blocks.schema[f"k_{c}"] for c in (key, *keep)]
     schema = T.StructType(
@@ -185,25 +219,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     def cut(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in [*names, "back", *["gaps"] * gaps]}
+                row = {c: batch.column(c)[i].as_py() for c in [*names, "met", "late", *["gaps"] * gaps]}
                 lens, ids, words = unpack(row["lens"], row["ids"], row["vocab"])
-                start, nr, _, window = _windows(row, length)
                 gone = np.zeros(len(ids) + 1, np.int64)
-                if len(window):
-                    own = _keys(row)[nr]
-                    order = np.lexsort((own, window))
-                    heads = np.flatnonzero(np.concatenate([[True], window[order][1:] != window[order][:-1]]))
-                    least = np.empty(len(window), np.int64)
-                    least[order] = np.repeat(own[order][heads], np.diff(np.append(heads, len(window))))
-                    if row["back"]:
-                        h = np.concatenate([np.frombuffer(x["hashes"], np.uint64) for x in row["back"]])
-                        v = np.concatenate([np.frombuffer(x["vals"], np.int64) for x in row["back"]])
-                        by = np.argsort(h)
-                        at = np.minimum(np.searchsorted(h[by], window), len(h) - 1)
-                        least = np.where(h[by][at] == window, np.minimum(least, v[by][at]), least)
-                    late = start[least < own]
-                    np.add.at(gone, late, 1)
-                    np.add.at(gone, late + length, -1)
+                if row["met"]:
+                    start, own, number, entries = around(row)
+                    elsewhere = _flags(buckets, entries[0], row["late"])[number]
+                    at = start[elsewhere | (entries[2][number] < own)]
+                    np.add.at(gone, at, 1)
+                    np.add.at(gone, at + length, -1)
                 stay = np.cumsum(gone)[:-1] == 0
                 first = starts_of(lens)
                 kept_before = starts_of(stay)
@@ -223,4 +247,4 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     whole = blocks.select("block", *[f"`{f.name}`" for f in kinds if f.name != "keys"], F.col(f"`k_{key}`").cast("array<bigint>").alias("keys"), "lens", "ids", "vocab", *["gaps"] * gaps)
-    return whole.join(_back(firsts).hint("shuffle_hash"), "block", "left").mapInArrow(cut, schema)
+    return whole.join(answers.hint("shuffle_hash"), "block", "left").mapInArrow(cut, schema)
