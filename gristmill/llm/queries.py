@@ -183,7 +183,7 @@ def op8_lm_scoring(spark, sf_dir):
 def op1_warc_transactions(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     records = warc.read(spark, warc.write(pages, scratch.folder(spark, "warc")))
-    captures = warc.assemble(scratch.materialize(records, "records"))
+    captures = warc.assemble(records)
     payload, announced = F.col("main.payload"), F.regexp_extract("main.http_header", "(?i)content-length: ([0-9]+)", 1)
     full = F.col("main.type") == "response"
     return captures.select(

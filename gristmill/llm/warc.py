@@ -166,10 +166,12 @@ def assemble(records: DataFrame) -> DataFrame:
     """
     whole = F.struct(*[F.col(quoted(c)) for c in records.columns])
     known = records.where("record_id is not null")
-    # Identifiers are read several times, payloads once.
-    index = known.select("record_id", F.coalesce(F.col("type").isin(*_MAIN), F.lit(False)).alias("is_main"), "concurrent_to")
+    # Identifiers are read several times and stored, with the records around captures; captures,
+    # which hold nearly all payload, are taken from the archives again instead.
+    is_main = F.coalesce(F.col("type").isin(*_MAIN), F.lit(False))
+    index = known.select("record_id", is_main.alias("is_main"), "concurrent_to", F.when(~is_main, whole).alias("part"))
     index = scratch.materialize(index, "record-ids")
-    heads = index.withColumn("to", F.explode("concurrent_to"))
+    heads = index.select("record_id", "is_main", F.explode("concurrent_to").alias("to"))
     mains = known.where(F.col("type").isin(*_MAIN))
     ids = index.where("is_main").select(F.col("record_id").alias("main_id"))
     said = heads.where("not is_main").select(F.col("record_id").alias("part_id"), "to")
@@ -178,7 +180,7 @@ def assemble(records: DataFrame) -> DataFrame:
     near = direct.unionByName(named)
     over = said.join(near.select(F.col("part_id").alias("to"), "main_id"), "to").select("part_id", "main_id")
     ties = near.unionByName(over).distinct()
-    parts = known.where(~F.coalesce(F.col("type").isin(*_MAIN), F.lit(False))).select(F.col("record_id").alias("part_id"), whole.alias("part"))
+    parts = index.where("not is_main").select(F.col("record_id").alias("part_id"), "part")
     grouped = ties.join(parts, "part_id").groupBy("main_id").agg(F.sort_array(F.collect_list(F.struct("part_id", "part"))).alias("parts"))
     of = lambda test: F.transform(F.filter("parts", lambda p: test(p["part"]["type"])), lambda p: p["part"])
     nested = mains.select(F.col("record_id").alias("main_id"), whole.alias("main")).join(grouped, "main_id", "left")
