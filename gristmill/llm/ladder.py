@@ -52,6 +52,17 @@ def _before(values: np.ndarray) -> np.ndarray:
     return np.concatenate([values[:1], values[:-1]])
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A position of each distinct key, in their order, and the number of the key of each position."""
+    order = np.argsort(keys)
+    held = keys[order]
+    new = np.ones(len(held), bool)
+    new[1:] = held[1:] != held[:-1]
+    number = np.empty(len(held), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
 def _entropy(n: np.ndarray) -> np.ndarray:
     return n * np.log(np.maximum(n, 1))
 
@@ -73,7 +84,7 @@ class Rung:
         self.split = np.flatnonzero(self.size >= hot)
         parts = self.size[self.split] // hot + 1
         context[self.split] = _salted(context[self.split], symbol[self.split] % parts.astype(np.uint64))
-        _, first, inverse = np.unique(mix(context * _M1 + symbol), return_index=True, return_inverse=True)
+        first, inverse = grouped(mix(context * _M1 + symbol))
         order = np.argsort(context[first], kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
@@ -121,9 +132,11 @@ def _answer(penalty: float) -> Callable[[pa.Table], pa.Table]:
         symbol = raw.view(np.uint64).ravel()
         weight = np.concatenate([loose(x, np.int64) for x in col["weights"]] or [np.zeros(0, np.int64)])
         logs = np.frombuffer(b"".join(col["logs"]), np.float32).astype(np.float64)
-        known, which = np.unique(np.concatenate([*contexts, np.zeros(0, np.uint64)]), return_inverse=True)
+        asked_for = np.concatenate([*contexts, np.zeros(0, np.uint64)])
+        first, which = grouped(asked_for)
+        known = asked_for[first]
         of = np.repeat(which, np.concatenate([*grams, np.zeros(0, np.int32)]))
-        _, first, gram = np.unique(mix(known[of] * _M1 + symbol), return_index=True, return_inverse=True)
+        first, gram = grouped(mix(known[of] * _M1 + symbol))
         n = np.bincount(gram, weight, len(first))
         at = of[first]
         k = np.bincount(at, n > 0, len(known)).astype(np.int64)
@@ -151,19 +164,22 @@ def _answer(penalty: float) -> Callable[[pa.Table], pa.Table]:
     return answer
 
 
-def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: int, finish: Callable, schema: str, least: int = LEAST, hot: int = HOT) -> DataFrame:
+def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: int, finish: Callable, schema: str, least: int = LEAST, hot: int = HOT, root: DataFrame | None = None, dealt: int | None = None, used: list[str] | None = None) -> DataFrame:
     """Blocks of sequences with the probability of each symbol after its longest retained context.
 
     ``units`` has a column ``unit``. ``read`` takes a row of it and gives per position the symbol (a
     well spread 64-bit number), how many symbols of its sequence stand before it, its weight in
     training, its training count and its probability without a context. ``total`` is what all
     training counts add up to, ``positions`` about the number of positions. ``finish`` takes the row
-    and the probabilities and gives a batch of ``schema``. ``units`` is read several times.
+    and the probabilities and gives a batch of ``schema``. ``units`` is read several times; if it is
+    bucketed by ``unit``, ``dealt`` is the number of buckets, and it is not shuffled. ``root`` has
+    answers that ``read`` and ``finish`` find in the row as level 0. Paths of tables that are not read
+    again once the result is written are added to ``used``.
     """
     buckets = positions // BUCKET + 1
     penalty = math.log(max(2, total)) / 2
     names = units.columns
-    tables: list[DataFrame] = []
+    tables: list[DataFrame] = [] if root is None else [root.select("unit", F.lit(0).alias("level"), "bucket", "n", "k")]
     heavy: list[dict[int, tuple[int, float]]] = []
 
     def state(row: dict, levels: int, heavy: list):
@@ -201,6 +217,8 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
         if not tables:
             return units.withColumn("back", F.expr("cast(null as array<struct<level:int,bucket:bigint,n:binary,k:binary>>)"))
         all_of = reduce(DataFrame.unionByName, tables)
+        if dealt:
+            all_of = all_of.repartition(dealt, "unit")
         back = all_of.groupBy("unit").agg(F.collect_list(F.struct("level", "bucket", "n", "k")).alias("back"))
         return units.join(back.hint("shuffle_hash"), "unit", "left").select(*names, "back")
 
@@ -221,7 +239,10 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
 
     for level in range(1, depth + 1):
         entries = joined().mapInArrow(asking(level, list(heavy)), ENTRIES)
-        answers = scratch.materialize(entries.groupBy("bucket").applyInArrow(_answer(penalty), ANSWERS), "answers")
+        path = scratch.folder(units.sparkSession, "answers")
+        if used is not None:
+            used.append(path)
+        answers = scratch.materialize(entries.groupBy("bucket").applyInArrow(_answer(penalty), ANSWERS), "answers", path)
         # At most 2 * total / hot rows.
         split = answers.where("unit is null").select("context", "symbols", "gain").collect()
         heavy.append({r[0]: (r[1], r[2]) for r in split})

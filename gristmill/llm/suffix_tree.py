@@ -11,9 +11,10 @@ characters that reaches back to the token's start. Their contexts are found and
 tokens, over the distinct tokens weighted by their counts. Whether a token is the end is decided
 first, by its share of all tokens.
 
-Texts are read once, into blocks. The root's probability of a token is worked out once for each
-distinct token of a bucket and sent back to the blocks, together with the token's exact count;
-grams of several tokens are added up in the blocks before they are sent. No text is shuffled.
+Texts are read once, into blocks, which are dealt to bucketed files: what is joined to them moves,
+they do not. The root's probability of a token is worked out once for each distinct token of a
+bucket and sent back to the blocks, together with the token's exact count; grams of several tokens
+are added up in the blocks before they are sent. Tables that no later job reads are released.
 """
 
 from __future__ import annotations
@@ -26,13 +27,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gristmill import scratch
 from gristmill.functions.names import quoted
 from gristmill.llm.blocks import mix, spaced_lower, starts_of, token_blocks, unpack, word_hashes
-from gristmill.llm.blocks import vocabulary as block_words
 from gristmill.llm.ladder import HOT, LEAST, climb, loose, squeezed
 
 #: Characters of a context.
@@ -41,6 +40,9 @@ DEPTH = 5
 BUCKET = 4_000_000
 #: Bytes of text of a block: larger ones have fewer distinct grams a token.
 BLOCK = 4 << 20
+#: Bytes of text of a file of blocks, and the number of files beyond which they grow.
+FILE = 8 << 20
+MOST_FILES = 100_000
 #: Distinct tokens that are spelled at a time.
 SPELLED = 50_000
 EDGE = " "  # no token has it
@@ -118,9 +120,9 @@ def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(n)], names=["code", "n"])
 
 
-def spellings(words: DataFrame, least: int, whole: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+def spellings(words: DataFrame, least: int, whole: Callable[[np.ndarray, np.ndarray], np.ndarray], dealt: int | None = None, used: list[str] | None = None) -> DataFrame:
     """``bucket``, ``words``, ``counts``, ``values`` for rows of ``_distinct``; ``whole`` makes the value
-    of a word from its count and the log10 of its spelling."""
+    of a word from its count and the log10 of its spelling. ``dealt`` and ``used`` as for ``climb``."""
     # Bounded by Unicode.
     alphabet = words.select("words", "counts").mapInArrow(_characters, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where("n > 0")
     rows = sorted(tuple(r) for r in alphabet.toLocalIterator())
@@ -145,7 +147,7 @@ def spellings(words: DataFrame, least: int, whole: Callable[[np.ndarray, np.ndar
 
     units = words.select("unit", "bucket", "words", "counts")
     # A context has one entry at most for each row and next character, so none needs to be split.
-    return climb(units, read, DEPTH, total, size, finish, "bucket long, words binary, counts binary, values binary", least, NEVER)
+    return climb(units, read, DEPTH, total, size, finish, "bucket long, words binary, counts binary, values binary", least, NEVER, dealt=dealt, used=used)
 
 
 def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id", least: int = LEAST, hot: int = HOT, depth: int = WORDS) -> DataFrame:
@@ -157,8 +159,12 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     context of up to ``depth`` tokens of the same document. A context was seen ``least`` times in
     training at least; ``hot`` is where its counts are split. Null and empty texts have only the end. Without training rows spellings are uniform, and every second token is the end.
     """
+    spark = docs.sparkSession
     marked = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(train, F.lit(False)).alias("train"), F.col(quoted(text)).alias("text"))
-    blocks = scratch.materialize(token_blocks(marked, spaced_lower, "text", ("key", "train"), most=BLOCK), "tokens")
+    size = marked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = min(MOST_FILES, size // FILE + 1)
+    packed = token_blocks(marked, spaced_lower, "text", ("key", "train"), most=BLOCK).withColumnRenamed("block", "unit")
+    blocks = scratch.bucketed(packed, "tokens", "unit", dealt)
     tokens, ends = blocks.agg(F.sum("n_tokens"), F.sum(F.size(F.filter("k_train", lambda t: t)))).first()
     tokens, ends = tokens or 0, ends or 0
     buckets = tokens // BUCKET + 1
@@ -181,18 +187,18 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(held, pa.int64()),
-                        pa.array([row["block"]] * len(held), pa.int64()),
+                        pa.array([row["unit"]] * len(held), pa.int64()),
                         pa.array([b"\n".join(map(words.__getitem__, order[cut[b] : cut[b + 1]].tolist())) for b in held], pa.binary()),
                         pa.array([counts[order[cut[b] : cut[b + 1]]].tobytes() for b in held], pa.binary()),
                     ],
-                    names=["bucket", "block", "words", "counts"],
+                    names=["bucket", "unit", "words", "counts"],
                 )
 
-    packed = blocks.select("block", "k_train", "lens", "ids", "vocab")
-    entries = scratch.materialize(packed.mapInArrow(vocabulary, "bucket long, block long, words binary, counts binary"), "vocabulary")
-    words = scratch.materialize(
-        entries.groupBy("bucket").applyInArrow(_distinct, "unit long, bucket long, words binary, counts binary, known long, held long"), "distinct"
-    )
+    used = [scratch.folder(spark, label) for label in ("vocabulary", "spellings")]
+    packed = blocks.select("unit", "k_train", "lens", "ids", "vocab")
+    entries = scratch.materialize(packed.mapInArrow(vocabulary, "bucket long, unit long, words binary, counts binary"), "vocabulary", used[0])
+    distinct_words = entries.groupBy("bucket").applyInArrow(_distinct, "unit long, bucket long, words binary, counts binary, known long, held long")
+    words = scratch.bucketed(distinct_words, "distinct", "unit", dealt)
     known, distinct = words.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0))).first()
     total, distinct = known + ends, distinct + (ends > 0)
     weight, is_end = max(1, distinct), (ends + 0.5) / (total + 1)
@@ -203,7 +209,7 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
             seen = np.log10((counts + weight * 10**logs) / (total + weight))
         return np.where(counts > 0, seen, math.log10(weight / (total + weight)) + logs)
 
-    valued = scratch.materialize(spellings(words, least, smoothed), "spellings")
+    valued = scratch.materialize(spellings(words, least, smoothed, dealt, used), "spellings", used[1])
 
     def judge(asked: pa.Table, known: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
@@ -214,46 +220,35 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
         at = [np.fromiter(map(number.__getitem__, w.as_py().split(b"\n")), np.int64) for w in asked.column("words")]
         return pa.table(
             {
-                "block": asked.column("block"),
+                "unit": asked.column("unit"),
                 "bucket": asked.column("bucket"),
-                "counts": pa.array([n[x].tobytes() for x in at], pa.binary()),
-                "values": pa.array([v[x].tobytes() for x in at], pa.binary()),
+                "n": pa.array([squeezed(n[x]) for x in at], pa.binary()),
+                "k": pa.array([squeezed(v[x]) for x in at], pa.binary()),
             }
         )
 
-    both = entries.select("bucket", "block", "words").groupBy("bucket").cogroup(valued.groupBy("bucket"))
-    judged = both.applyInArrow(judge, "block long, bucket long, counts binary, values binary")
-    back = judged.groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "values")).alias("back"))
+    both = entries.select("bucket", "unit", "words").groupBy("bucket").cogroup(valued.groupBy("bucket"))
+    judged = scratch.materialize(both.applyInArrow(judge, "unit long, bucket long, n binary, k binary"), "roots")
+    scratch.release(spark, *used)
     end_score = math.log10((ends + weight * is_end) / (total + weight))
 
-    def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("vocab", "back")}
-                words = block_words(row["vocab"])
-                c, v = np.zeros(len(words), np.int64), np.zeros(len(words))
-                of = bucket_of(words)
-                for b in row["back"] or []:
-                    at = np.flatnonzero(of == b["bucket"])
-                    c[at] = np.frombuffer(b["counts"], np.int64)
-                    v[at] = np.frombuffer(b["values"], np.float64)
-                held = [batch.column(n).slice(i, 1) for n in names[:-2]]
-                yield pa.RecordBatch.from_arrays([*held, pa.array([squeezed(c)], pa.binary()), pa.array([squeezed(v)], pa.binary())], names=names)
-
-    names = ["unit", "k_key", "k_train", "lens", "ids", "vocab", "counts", "values"]
-    whole = blocks.join(back.hint("shuffle_hash"), "block", "left").select(F.col("block").alias("unit"), *names[1:-2], "back")
-    kept = T.StructType([whole.schema[c] for c in names[:-2]] + [T.StructField(c, T.BinaryType()) for c in names[-2:]])
-    units = scratch.materialize(whole.mapInArrow(attach, kept), "words")
-
     def spread(row: dict) -> tuple:
         """Where documents start, their lengths, and per position the symbol, count and root's log10; an end after each document."""
         lens, ids, words = unpack(row["lens"], row["ids"], row["vocab"])
+        h = word_hashes(words)
+        counts, values = np.zeros(len(h), np.int64), np.zeros(len(h))
+        order = np.argsort(of := (h % np.uint64(buckets)).astype(np.int64), kind="stable")
+        cut = starts_of(np.bincount(of, minlength=buckets)).tolist()
+        for b in row["back"] or []:
+            if b["level"] == 0:
+                at = order[cut[b["bucket"]] : cut[b["bucket"] + 1]]
+                counts[at], values[at] = loose(b["n"], np.int64), loose(b["k"], np.float64)
         lens = lens + 1
         starts = starts_of(lens)
         at = np.ones(starts[-1], bool)
         at[starts[1:] - 1] = False
         out = []
-        for per_word, end in ((mix(word_hashes(words)), END_SYMBOL), (loose(row["counts"], np.int64), ends), (loose(row["values"], np.float64), end_score)):
+        for per_word, end in ((mix(h), END_SYMBOL), (counts, ends), (values, end_score)):
             x = np.full(len(at), end, per_word.dtype)
             x[at] = per_word[ids]
             out.append(x)
@@ -277,5 +272,6 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     kind, pa_kind = docs.schema[key].dataType.simpleString(), to_arrow_type(docs.schema[key].dataType)
     out_names = ["key", "train", "n_tokens", "n_known", "base_score", "score"]
     schema = f"key {kind}, train boolean, n_tokens long, n_known long, base_score double, score double"
-    out = climb(units, read, depth, total, tokens, finish, schema, least, hot)
+    units = blocks.select("unit", "k_key", "k_train", "lens", "ids", "vocab")
+    out = climb(units, read, depth, total, tokens, finish, schema, least, hot, root=judged, dealt=dealt)
     return out.withColumn("train_tokens", F.lit(total).cast("bigint")).withColumnRenamed("key", key)
