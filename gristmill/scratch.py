@@ -58,14 +58,14 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, label: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
     """As ``materialize``, dealt to files by ``key``: joins on it with rows that are dealt to as many
     partitions do not move this side.
 
     The catalog only passes the bucketing on; its entry is dropped, the files stay.
     """
     spark = df.sparkSession
-    path = folder(spark, label)
+    path = path or folder(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     with _shuffles_dropped(spark):
         dealt = df.repartition(buckets, key).write.bucketBy(buckets, key)
