@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +36,7 @@ HOT = 1_000_000
 BUCKET = 2_000_000
 ENTRIES = "bucket long, unit long, contexts binary, grams binary, symbols binary, weights binary, logs binary"
 ANSWERS = "bucket long, unit long, n binary, k binary, context long, symbols long, gain double"
+BACK = "array<struct<level:int,bucket:bigint,n:binary,k:binary>>"
 ONE = np.uint64(1)
 
 
@@ -52,9 +52,23 @@ def _before(values: np.ndarray) -> np.ndarray:
     return np.concatenate([values[:1], values[:-1]])
 
 
+def ordered(keys: np.ndarray) -> np.ndarray:
+    """The stable order of well spread 64-bit keys, the same on every machine.
+
+    Sorting the high bits with the positions in the low ones is several times faster than sorting
+    positions; where different keys share their high bits, which is rare, the positions are sorted.
+    """
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    held = keys[order]
+    if ((held[1:] ^ held[:-1]) - ONE < low).any():
+        return np.argsort(keys, kind="stable")
+    return order
+
+
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A position of each distinct key, in their order, and the number of the key of each position."""
-    order = np.argsort(keys)
+    order = ordered(keys)
     held = keys[order]
     new = np.ones(len(held), bool)
     new[1:] = held[1:] != held[:-1]
@@ -85,7 +99,7 @@ class Rung:
         parts = self.size[self.split] // hot + 1
         context[self.split] = _salted(context[self.split], symbol[self.split] % parts.astype(np.uint64))
         first, inverse = grouped(mix(context * _M1 + symbol))
-        order = np.argsort(context[first], kind="stable")
+        order = ordered(context[first])
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
         #: The entry of each position.
@@ -172,14 +186,16 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
     training, its training count and its probability without a context. ``total`` is what all
     training counts add up to, ``positions`` about the number of positions. ``finish`` takes the row
     and the probabilities and gives a batch of ``schema``. ``units`` is read several times; if it is
-    bucketed by ``unit``, ``dealt`` is the number of buckets, and it is not shuffled. ``root`` has
+    bucketed by ``unit``, ``dealt`` is the number of buckets, answers are dealt alike, and no join
+    shuffles either side. ``root`` has
     answers that ``read`` and ``finish`` find in the row as level 0. Paths of tables that are not read
     again once the result is written are added to ``used``.
     """
     buckets = positions // BUCKET + 1
     penalty = math.log(max(2, total)) / 2
     names = units.columns
-    tables: list[DataFrame] = [] if root is None else [root.select("unit", F.lit(0).alias("level"), "bucket", "n", "k")]
+    tables: list[DataFrame] = []
+    roots = [] if root is None else [(0, root)]
     heavy: list[dict[int, tuple[int, float]]] = []
 
     def state(row: dict, levels: int, heavy: list):
@@ -188,7 +204,7 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
         gram, p = mix(symbols), p.copy()
         sizes = np.full(len(n), total, np.int64)
         back: dict[int, list[dict]] = {}
-        for b in row["back"] or []:
+        for b in row["back"]:
             back.setdefault(b["level"], []).append(b)
         for level in range(1, levels + 1):
             rung = Rung(level, gram, n, symbols, room, least, hot)
@@ -214,13 +230,14 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
         return symbols, room, weight, gram, n, sizes, p
 
     def joined() -> DataFrame:
-        if not tables:
-            return units.withColumn("back", F.expr("cast(null as array<struct<level:int,bucket:bigint,n:binary,k:binary>>)"))
-        all_of = reduce(DataFrame.unionByName, tables)
-        if dealt:
-            all_of = all_of.repartition(dealt, "unit")
-        back = all_of.groupBy("unit").agg(F.collect_list(F.struct("level", "bucket", "n", "k")).alias("back"))
-        return units.join(back.hint("shuffle_hash"), "unit", "left").select(*names, "back")
+        out, backs = units, []
+        for level, table in [*roots, *enumerate(tables, 1)]:
+            backs.append(f"back{level}")
+            held = F.struct(F.lit(level).alias("level"), "bucket", "n", "k")
+            back = table.where("unit is not null").groupBy("unit").agg(F.collect_list(held).alias(backs[-1]))
+            out = out.join(back.hint("shuffle_hash"), "unit", "left")
+        none = F.expr(f"cast(array() as {BACK})")
+        return out.select(*names, F.concat(none, *(F.coalesce(b, none) for b in backs)).alias("back"))
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -242,11 +259,12 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
         path = scratch.folder(units.sparkSession, "answers")
         if used is not None:
             used.append(path)
-        answers = scratch.materialize(entries.groupBy("bucket").applyInArrow(_answer(penalty), ANSWERS), "answers", path)
+        found = entries.groupBy("bucket").applyInArrow(_answer(penalty), ANSWERS)
+        answers = scratch.bucketed(found, "answers", "unit", dealt, path) if dealt else scratch.materialize(found, "answers", path)
         # At most 2 * total / hot rows.
         split = answers.where("unit is null").select("context", "symbols", "gain").collect()
         heavy.append({r[0]: (r[1], r[2]) for r in split})
-        tables.append(answers.where("unit is not null").select("unit", F.lit(level).alias("level"), "bucket", "n", "k"))
+        tables.append(answers)
 
     def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):

@@ -194,11 +194,11 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
                     names=["bucket", "unit", "words", "counts"],
                 )
 
-    used = [scratch.folder(spark, label) for label in ("vocabulary", "spellings")]
+    used = [scratch.folder(spark, label) for label in ("vocabulary", "spellings", "distinct")]
     packed = blocks.select("unit", "k_train", "lens", "ids", "vocab")
     entries = scratch.materialize(packed.mapInArrow(vocabulary, "bucket long, unit long, words binary, counts binary"), "vocabulary", used[0])
     distinct_words = entries.groupBy("bucket").applyInArrow(_distinct, "unit long, bucket long, words binary, counts binary, known long, held long")
-    words = scratch.bucketed(distinct_words, "distinct", "unit", dealt)
+    words = scratch.bucketed(distinct_words, "distinct", "unit", dealt, used[2])
     known, distinct = words.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0))).first()
     total, distinct = known + ends, distinct + (ends > 0)
     weight, is_end = max(1, distinct), (ends + 0.5) / (total + 1)
@@ -223,12 +223,12 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
                 "unit": asked.column("unit"),
                 "bucket": asked.column("bucket"),
                 "n": pa.array([squeezed(n[x]) for x in at], pa.binary()),
-                "k": pa.array([squeezed(v[x]) for x in at], pa.binary()),
+                "k": pa.array([squeezed(v[x].astype(np.float32)) for x in at], pa.binary()),
             }
         )
 
     both = entries.select("bucket", "unit", "words").groupBy("bucket").cogroup(valued.groupBy("bucket"))
-    judged = scratch.materialize(both.applyInArrow(judge, "unit long, bucket long, n binary, k binary"), "roots")
+    judged = scratch.bucketed(both.applyInArrow(judge, "unit long, bucket long, n binary, k binary"), "roots", "unit", dealt)
     scratch.release(spark, *used)
     end_score = math.log10((ends + weight * is_end) / (total + weight))
 
@@ -239,10 +239,10 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
         counts, values = np.zeros(len(h), np.int64), np.zeros(len(h))
         order = np.argsort(of := (h % np.uint64(buckets)).astype(np.int64), kind="stable")
         cut = starts_of(np.bincount(of, minlength=buckets)).tolist()
-        for b in row["back"] or []:
+        for b in row["back"]:
             if b["level"] == 0:
                 at = order[cut[b["bucket"]] : cut[b["bucket"] + 1]]
-                counts[at], values[at] = loose(b["n"], np.int64), loose(b["k"], np.float64)
+                counts[at], values[at] = loose(b["n"], np.int64), loose(b["k"], np.float32)
         lens = lens + 1
         starts = starts_of(lens)
         at = np.ones(starts[-1], bool)
