@@ -65,3 +65,13 @@ def test_thinned_weights_are_a_sample_of_the_rows(spark):
     counts = [lloyd.step(drawn, ["x"], {1: [(0.0,)]}).first()["n"] for _ in range(2)]
     assert counts[0] == counts[1]
     assert abs(counts[0] - 10_000) < 600
+
+
+def test_heavy_rows_need_no_more_rounds(spark, monkeypatch):
+    """What a row stands for does not thin the draws of further rounds."""
+    rows = spark.range(0, 400, 1, 3).select(F.col("id").cast("double").alias("x"), F.lit(100_000).alias("n"))
+    rounds, total = [], lloyd._total
+    monkeypatch.setattr(lloyd, "_total", lambda *a, **named: rounds.append(1) or total(*a, **named))
+    found = lloyd.seeds(rows, ["x"], [8], weight="n")
+    assert len(set(found[8])) == 8
+    assert len(rounds) <= 6
