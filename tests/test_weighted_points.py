@@ -75,3 +75,16 @@ def test_heavy_rows_need_no_more_rounds(spark, monkeypatch):
     found = lloyd.seeds(rows, ["x"], [8], weight="n")
     assert len(set(found[8])) == 8
     assert len(rounds) <= 6
+
+
+def test_a_refit_takes_equal_rows_once(spark):
+    rows = spark.range(3000).select((F.col("id") % 5 * F.col("id") % 5).cast("double").alias("x"), (F.col("id") % 2 * 9).cast("double").alias("y"))
+    trained = cluster.train(rows, ["x", "y"], ks=[2], max_iter=10, refit=True, partitions=2)
+    last = cluster.kmeans_stage(trained.model)
+    assert last.summary.predictions.count() == trained.points.count() < 20
+    # Each centre is the mean of all rows of its cluster.
+    at = {r["prediction"]: r for r in trained.model.transform(rows).groupBy("prediction").agg(F.avg("y").alias("y"), F.count("*").alias("n")).collect()}
+    assert sum(r["n"] for r in at.values()) == 3000
+    mean, spread = trained.model.stages[-2].mean[1], trained.model.stages[-2].std[1]
+    for c, center in enumerate(last.clusterCenters()):
+        assert center[1] == pytest.approx((at[c]["y"] - mean) / spread, abs=1e-9)
