@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -154,7 +154,9 @@ def unpack(lens: bytes, ids: bytes, vocab: bytes) -> tuple[np.ndarray, np.ndarra
 
 def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
     """A 64-bit hash of each word, the same in every task."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    if not seed:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(seed)), np.uint64, len(words))
 
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)

@@ -181,9 +181,10 @@ def _answer(penalty: float) -> Callable[[pa.Table], pa.Table]:
 def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: int, finish: Callable, schema: str, least: int = LEAST, hot: int = HOT, root: DataFrame | None = None, dealt: int | None = None, used: list[str] | None = None) -> DataFrame:
     """Blocks of sequences with the probability of each symbol after its longest retained context.
 
-    ``units`` has a column ``unit``. ``read`` takes a row of it and gives per position the symbol (a
-    well spread 64-bit number), how many symbols of its sequence stand before it, its weight in
-    training, its training count and its probability without a context. ``total`` is what all
+    ``units`` has a column ``unit``. ``read`` takes a row of it, and whether it is scored, and gives per position
+    the symbol (a well spread 64-bit number), how many symbols of its sequence stand before it, its weight in
+    training, its training count and its probability without a context; asking for counts needs no
+    probabilities, so rows that are not scored have none, and ``k`` is null in what they are sent. ``total`` is what all
     training counts add up to, ``positions`` about the number of positions. ``finish`` takes the row
     and the probabilities and gives a batch of ``schema``. ``units`` is read several times; if it is
     bucketed by ``unit``, ``dealt`` is the number of buckets, answers are dealt alike, and no join
@@ -198,10 +199,10 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
     roots = [] if root is None else [(0, root)]
     heavy: list[dict[int, tuple[int, float]]] = []
 
-    def state(row: dict, levels: int, heavy: list):
-        """Grams, their counts, those of their contexts and probabilities after ``levels`` lengths."""
-        symbols, room, weight, n, p = read(row)
-        gram, p = mix(symbols), p.copy()
+    def state(row: dict, levels: int, heavy: list, scored: bool):
+        """Grams, their counts, those of their contexts and, if ``scored``, probabilities after ``levels`` lengths."""
+        symbols, room, weight, n, p = read(row, scored)
+        gram, p = mix(symbols), p.copy() if scored else None
         sizes = np.full(len(n), total, np.int64)
         back: dict[int, list[dict]] = {}
         for b in row["back"]:
@@ -210,8 +211,9 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
             rung = Rung(level, gram, n, symbols, room, least, hot)
             found = sorted(back.get(level, ()), key=lambda b: b["bucket"])
             counts = np.concatenate([np.zeros(0, np.int64), *(loose(b["n"], np.int64) for b in found)])[rung.entry]
-            k = np.concatenate([np.zeros(0, np.int64), *(loose(b["k"], np.int64) for b in found)])[rung.context[rung.entry]]
-            if len(rung.split):
+            if scored:
+                k = np.concatenate([np.zeros(0, np.int64), *(loose(b["k"], np.int64) for b in found)])[rung.context[rung.entry]]
+            if scored and len(rung.split):
                 some, at, back_to = np.unique(rung.whole[rung.split], return_index=True, return_inverse=True)
                 whole = np.zeros(len(some), np.int64)
                 for x, (c, size) in enumerate(zip(some, rung.size[rung.split][at].tolist(), strict=True)):
@@ -221,7 +223,8 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
                     if sum(h[1] for h in held) - size * math.log(size) > penalty * symbols_of:
                         whole[x] = symbols_of
                 k[rung.split] = whole[back_to]
-            p[rung.live] = np.where(k > 0, (counts + k * p[rung.live]) / (rung.size + k), p[rung.live])
+            if scored:
+                p[rung.live] = np.where(k > 0, (counts + k * p[rung.live]) / (rung.size + k), p[rung.live])
             gram = mix(_before(gram) * _M1 + symbols)
             sizes = np.zeros(len(n), np.int64)
             sizes[rung.live] = rung.size
@@ -229,11 +232,12 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
             n[rung.live] = counts
         return symbols, room, weight, gram, n, sizes, p
 
-    def joined() -> DataFrame:
+    def joined(scored: bool) -> DataFrame:
         out, backs = units, []
+        k = F.col("k") if scored else F.lit(None).cast("binary").alias("k")
         for level, table in [*roots, *enumerate(tables, 1)]:
             backs.append(f"back{level}")
-            held = F.struct(F.lit(level).alias("level"), "bucket", "n", "k")
+            held = F.struct(F.lit(level).alias("level"), "bucket", "n", k)
             back = table.where("unit is not null").groupBy("unit").agg(F.collect_list(held).alias(backs[-1]))
             out = out.join(back.hint("shuffle_hash"), "unit", "left")
         none = F.expr(f"cast(array() as {BACK})")
@@ -247,7 +251,7 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
     def asking(level: int, heavy: list):
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in rows_of(batches):
-                symbols, room, weight, gram, n, sizes, _ = state(row, level - 1, heavy)
+                symbols, room, weight, gram, n, sizes, _ = state(row, level - 1, heavy, False)
                 rung = Rung(level, gram, n, symbols, room, least, hot)
                 at = rung.live
                 yield rung.ask(row["unit"], weight, np.log(np.maximum(n[at], 1) / np.maximum(sizes[at], 1)), buckets)
@@ -255,7 +259,7 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
         return ask
 
     for level in range(1, depth + 1):
-        entries = joined().mapInArrow(asking(level, list(heavy)), ENTRIES)
+        entries = joined(False).mapInArrow(asking(level, list(heavy)), ENTRIES)
         path = scratch.folder(units.sparkSession, "answers")
         if used is not None:
             used.append(path)
@@ -268,6 +272,6 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
 
     def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
-            yield finish(row, state(row, depth, heavy)[-1])
+            yield finish(row, state(row, depth, heavy, True)[-1])
 
-    return joined().mapInArrow(end, schema)
+    return joined(True).mapInArrow(end, schema)

@@ -130,12 +130,12 @@ def spellings(words: DataFrame, least: int, whole: Callable[[np.ndarray, np.ndar
     total, kinds = int(seen.sum()), max(1, len(rows))
     size = words.agg(F.sum(F.octet_length("words"))).first()[0] or 0
 
-    def read(row: dict) -> tuple:
+    def read(row: dict, scored: bool) -> tuple:
         codes, starts, lens, counts = _spelled(row)
         at = np.minimum(np.searchsorted(code, codes), len(code) - 1)
         n = np.where(code[at] == codes, seen[at], 0)
         room = np.arange(len(codes)) - np.repeat(starts, lens)
-        return mix(codes.astype(np.uint64) + np.uint64(1)), room, np.repeat(counts, lens), n, (n + kinds * UNIFORM) / (total + kinds)
+        return mix(codes.astype(np.uint64) + np.uint64(1)), room, np.repeat(counts, lens), n, (n + kinds * UNIFORM) / (total + kinds) if scored else None
 
     def finish(row: dict, p: np.ndarray) -> pa.RecordBatch:
         _, starts, _, counts = _spelled(row)
@@ -232,8 +232,8 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     scratch.release(spark, *used)
     end_score = math.log10((ends + weight * is_end) / (total + weight))
 
-    def spread(row: dict) -> tuple:
-        """Where documents start, their lengths, and per position the symbol, count and root's log10; an end after each document."""
+    def spread(row: dict, scored: bool) -> tuple:
+        """Where documents start, their lengths, and per position the symbol, count and, if ``scored``, root's log10; an end after each document."""
         lens, ids, words = unpack(row["lens"], row["ids"], row["vocab"])
         h = word_hashes(words)
         counts, values = np.zeros(len(h), np.int64), np.zeros(len(h))
@@ -242,26 +242,28 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
         for b in row["back"]:
             if b["level"] == 0:
                 at = order[cut[b["bucket"]] : cut[b["bucket"] + 1]]
-                counts[at], values[at] = loose(b["n"], np.int64), loose(b["k"], np.float32)
+                counts[at] = loose(b["n"], np.int64)
+                if scored:
+                    values[at] = loose(b["k"], np.float32)
         lens = lens + 1
         starts = starts_of(lens)
         at = np.ones(starts[-1], bool)
         at[starts[1:] - 1] = False
         out = []
-        for per_word, end in ((mix(h), END_SYMBOL), (counts, ends), (values, end_score)):
+        for per_word, end in ((mix(h), END_SYMBOL), (counts, ends), *[(values, end_score)] * scored):
             x = np.full(len(at), end, per_word.dtype)
             x[at] = per_word[ids]
             out.append(x)
-        return starts[:-1], lens, *out
+        return starts[:-1], lens, *out, *[None] * (not scored)
 
-    def read(row: dict) -> tuple:
-        starts, lens, symbols, n, root = spread(row)
+    def read(row: dict, scored: bool) -> tuple:
+        starts, lens, symbols, n, root = row["spread"] = spread(row, scored)
         room = np.arange(len(n)) - np.repeat(starts, lens)
         weight = np.repeat(np.array(row["k_train"], bool), lens).astype(np.int64)
-        return symbols, room, weight, n, np.maximum(10**root, TINY)
+        return symbols, room, weight, n, np.maximum(10**root, TINY) if scored else None
 
     def finish(row: dict, p: np.ndarray) -> pa.RecordBatch:
-        starts, lens, _, n, root = spread(row)
+        starts, lens, _, n, root = row.pop("spread")
         # What was never seen has only weights of contexts, which multiply, so tiny ones are scaled.
         logs = np.log10(p) + np.minimum(root - math.log10(TINY), 0)
         base = np.log10(n + 0.1) - math.log10(total + 0.1 * (distinct + 1))
