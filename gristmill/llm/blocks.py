@@ -75,6 +75,40 @@ def block_schema(docs: DataFrame, keep: tuple[str, ...], gaps: bool = False) ->
     return T.StructType([T.StructField("block", T.LongType()), *fields, T.StructField("n_tokens", T.LongType()), *packed])
 
 
+def joined(words: pa.Array, starts: np.ndarray) -> pa.Array:
+    """The words from each start to the next, joined by line feeds."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), words), b"\n")
+
+
+def parted(rows: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The words that each row joins, all in a row, and their number in each."""
+    cut = pc.split_pattern(rows.combine_chunks().view(pa.string()), "\n")
+    return cut.flatten().view(pa.binary()), pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+
+
+def _numbered(raw: pa.Array, words) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Word counts of texts, the numbers of their words, and the distinct ones in byte order, joined."""
+    if words in (spaced, spaced_lower):  # the same words, without a Python value for each
+        text = raw.view(pa.string())
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(text) if words is spaced_lower else text)
+        lens = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = cut.flatten().view(pa.binary())
+        empty = np.flatnonzero(pc.equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False))
+        if len(empty):  # at the ends of texts
+            lens -= np.bincount(np.searchsorted(np.cumsum(lens), empty, "right"), minlength=len(lens))
+            flat = flat.filter(pc.not_equal(pc.binary_length(flat), 0))
+    else:
+        each = [words(t) for t in raw.to_pylist()]
+        lens = np.fromiter(map(len, each), np.int64, len(each))
+        flat = pa.array(list(chain.from_iterable(each)), pa.binary())
+    coded = flat.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    rank = np.empty(len(order), id_type(len(order)))
+    rank[order.to_numpy(zero_copy_only=False)] = np.arange(len(order))
+    vocab = joined(coded.dictionary.take(order), np.array([0, len(order)]))
+    return lens, rank[coded.indices.to_numpy(zero_copy_only=False)], vocab[0].as_py()
+
+
 def pack_blocks(batches: Iterator[pa.RecordBatch], words, names: list[str], gaps: bool = False, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches of kept columns and a text, packed to block rows, inside a task."""
     block = TaskContext.get().partitionId() << 33
@@ -82,24 +116,19 @@ def pack_blocks(batches: Iterator[pa.RecordBatch], words, names: list[str], gaps
     for batch in batches:
         raw, sizes = texts_of(batch)
         for low, high in spans(sizes, most):
-            texts = raw.slice(low, high - low).to_pylist()
-            cut = [words(t) for t in texts]
-            flat = list(chain.from_iterable(cut))
-            vocab = sorted(set(flat))
-            number = dict(zip(vocab, range(len(vocab)), strict=True))
-            ids = np.fromiter(map(number.__getitem__, flat), _id_type(len(vocab)), len(flat))
-            lens = np.fromiter(map(len, cut), np.int64, len(cut))
+            texts = raw.slice(low, high - low)
+            lens, ids, vocab = _numbered(texts, words)
             kept = [
                 pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), column.slice(low, high - low))
                 for column in batch.columns[:-1]
             ]
-            parts = [lens.tobytes(), ids.tobytes(), b"\n".join(vocab)]
+            parts = [lens.tobytes(), ids.tobytes(), vocab]
             if gaps:
-                parts.append(b"\0".join(b"\1".join(_WORD.split(t)) for t in texts))
+                parts.append(b"\0".join(b"\1".join(_WORD.split(t)) for t in texts.to_pylist()))
             parts[1:] = [squeeze.compress(x) for x in parts[1:]]
             packed = [pa.array([x], pa.binary()) for x in parts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), *kept, pa.array([len(flat)], pa.int64()), *packed], names=names
+                [pa.array([block], pa.int64()), *kept, pa.array([len(ids)], pa.int64()), *packed], names=names
             )
             block += 1
 
@@ -142,14 +171,14 @@ def gaps_of(packed: bytes) -> list[list[bytes]]:
     return [g.split(b"\1") for g in expand(packed).split(b"\0")]
 
 
-def _id_type(words: int):
+def id_type(words: int):
     return np.uint16 if words <= 1 << 16 else np.uint32
 
 
 def unpack(lens: bytes, ids: bytes, vocab: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Token counts, token numbers and vocabulary of a block."""
     words = vocabulary(vocab)
-    return np.frombuffer(lens, np.int64), np.frombuffer(expand(ids), _id_type(len(words))), words
+    return np.frombuffer(lens, np.int64), np.frombuffer(expand(ids), id_type(len(words))), words
 
 
 def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
@@ -159,6 +188,8 @@ def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(seed)), np.uint64, len(words))
 
 
+#: Bytes of a word that are hashed without a Python value.
+SHORT = 64
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -168,6 +199,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def joined_hashes(words: bytes) -> np.ndarray:
+    """A 64-bit hash of each of the words joined by line feeds, the same in every task; none if there are no bytes."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    raw = np.frombuffer(words + bytes(8), np.uint8)
+    marks = np.append(np.flatnonzero(raw == 10), len(words))
+    starts = np.append(0, marks[:-1] + 1)
+    lens = marks - starts
+    eights = np.ndarray(len(words) + 1, "<u8", raw, strides=(1,))
+    out = mix(lens.astype(np.uint64) + _M1)
+    at = np.flatnonzero((lens > 0) & (lens <= SHORT))
+    for done in range(0, SHORT, 8):
+        left = lens[at] - done
+        held = eights[starts[at] + done]
+        held &= ~np.uint64(0) >> (np.uint64(8) * (8 - np.minimum(left, 8)).astype(np.uint64))
+        out[at] = mix(out[at] * _M1 + held)
+        at = at[left > 8]
+    for i in np.flatnonzero(lens > SHORT).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(words[starts[i] : marks[i]])
+    return mix(out)
+
+
 def window_hashes(h: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of each run of ``n`` consecutive word hashes."""
     out = np.zeros(max(0, len(h) - n + 1), np.uint64)

@@ -48,12 +48,8 @@ def loose(packed: bytes, kind) -> np.ndarray:
     return np.frombuffer(expand(packed), kind)
 
 
-def _before(values: np.ndarray) -> np.ndarray:
-    return np.concatenate([values[:1], values[:-1]])
-
-
-def ordered(keys: np.ndarray) -> np.ndarray:
-    """The stable order of well spread 64-bit keys, the same on every machine.
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of well spread 64-bit keys, the same on every machine, and the keys in it.
 
     Sorting the high bits with the positions in the low ones is several times faster than sorting
     positions; where different keys share their high bits, which is rare, the positions are sorted.
@@ -62,14 +58,19 @@ def ordered(keys: np.ndarray) -> np.ndarray:
     order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
     held = keys[order]
     if ((held[1:] ^ held[:-1]) - ONE < low).any():
-        return np.argsort(keys, kind="stable")
-    return order
+        order = np.argsort(keys, kind="stable")
+        return order, keys[order]
+    return order, held
+
+
+def ordered(keys: np.ndarray) -> np.ndarray:
+    """The stable order of well spread 64-bit keys."""
+    return _sorted(keys)[0]
 
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A position of each distinct key, in their order, and the number of the key of each position."""
-    order = ordered(keys)
-    held = keys[order]
+    order, held = _sorted(keys)
     new = np.ones(len(held), bool)
     new[1:] = held[1:] != held[:-1]
     number = np.empty(len(held), np.int64)
@@ -85,45 +86,105 @@ def _salted(context: np.ndarray, part: np.ndarray) -> np.ndarray:
     return mix(context ^ mix((part + 1).astype(np.uint64))) | ONE
 
 
+def _bits(numbers: int) -> int:
+    return max(1, (numbers - 1).bit_length())
+
+
+def _numbered(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, below ``2 ** bits``, in order, and the number of the key of each position.
+
+    Where there are few, a table of all has them. Else keys are sorted with their positions in the low bits,
+    which is several times faster than sorting positions.
+    """
+    low = _bits(len(keys))
+    if bits <= low + 3:
+        held = np.zeros(1 << bits, bool)
+        held[keys] = True
+        return np.flatnonzero(held), (np.cumsum(held, dtype=np.int32) - 1)[keys]
+    if bits + low < 64:
+        held = np.sort(keys << low | np.arange(len(keys)))
+        order, held = held & ((1 << low) - 1), held >> low
+    else:
+        order = np.argsort(keys)
+        held = keys[order]
+    new = np.ones(len(held), bool)
+    new[1:] = held[1:] != held[:-1]
+    number = np.empty(len(held), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    return held[new], number
+
+
+class Grams:
+    """The distinct grams of one length in a block. Number -1 stands for those that were not asked for.
+
+    ``at`` has the number of the gram that ends at each position, ``hashes`` their hashes, ``n`` their
+    training counts, ``sizes`` those of their contexts and, if scored, ``p`` their probabilities.
+    """
+
+    def __init__(self, at: np.ndarray, hashes: np.ndarray, n: np.ndarray, sizes: np.ndarray, p: np.ndarray | None):
+        self.at, self.hashes, self.p = at, hashes, p
+        self.n, self.sizes = np.append(n, 0), np.append(sizes, 0)
+
+
 class Rung:
-    """The distinct grams of one length that a block asks for, by context."""
-
-    def __init__(self, level: int, gram: np.ndarray, n: np.ndarray, symbols: np.ndarray, room: np.ndarray, least: int, hot: int):
-        size = _before(n)
-        self.live = np.flatnonzero((room >= level) & (size >= least))
-        self.size = size[self.live]
-        self.whole = _before(gram)[self.live] & ~ONE
-        symbol = symbols[self.live]
-        context = self.whole.copy()
-        self.split = np.flatnonzero(self.size >= hot)
-        parts = self.size[self.split] // hot + 1
-        context[self.split] = _salted(context[self.split], symbol[self.split] % parts.astype(np.uint64))
-        first, inverse = grouped(mix(context * _M1 + symbol))
-        order = ordered(context[first])
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        #: The entry of each position.
-        self.entry = place[inverse]
-        self.symbols = symbol[first][order]
-        of = context[first][order]
-        new = np.ones(len(of), bool)
-        new[1:] = of[1:] != of[:-1]
-        #: The context of each entry, and the contexts in order.
+    """The distinct grams of one length that a block asks for, by bucket and context."""
+
+    def __init__(self, level: int, below: Grams, ids: np.ndarray, hashes: np.ndarray, room: np.ndarray, least: int, hot: int, buckets: int):
+        self.live = np.flatnonzero((below.n >= least)[below.at[:-1]] & (room[1:] >= level)) + 1
+        context, symbol = below.at[self.live - 1].astype(np.int64), ids[self.live]
+        #: The grams that contexts are, and the hashes that these are asked for by: parts of split ones come last.
+        self.grams, wholes = np.arange(len(below.hashes)), below.hashes & ~ONE
+        self.splits: list[tuple[int, int, np.ndarray]] = []
+        split = np.flatnonzero(below.n[:-1] >= hot)
+        if len(split):
+            parts = below.n[split] // hot + 1
+            first = len(wholes) + starts_of(parts)
+            of = np.repeat(split, parts)
+            self.grams = np.concatenate([self.grams, of])
+            wholes = np.concatenate([wholes, _salted(wholes[of], np.arange(len(of)) - np.repeat(first[:-1] - first[0], parts))])
+            self.splits = list(zip(split.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True))
+            number = np.full(len(below.hashes), -1)
+            number[split] = np.arange(len(split))
+            which = number[context]
+            moved = np.flatnonzero(which >= 0)
+            which = which[moved]
+            context[moved] = first[which] + (hashes[symbol[moved]] % parts[which].astype(np.uint64)).astype(np.int64)
+        of = ((wholes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        order = np.argsort(of.astype(np.uint16) if buckets <= 1 << 16 else of, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        low = _bits(len(hashes))
+        keys, self.entry = _numbered(rank[context] << low | symbol, _bits(len(order)) + low)
+        #: By entry: the symbol, and the number of the context.
+        self.symbols = keys & ((1 << low) - 1)
+        ranks = keys >> low
+        new = np.ones(len(keys), bool)
+        new[1:] = ranks[1:] != ranks[:-1]
         self.context = np.cumsum(new) - 1
-        self.contexts = of[new]
-
-    def ask(self, unit: int, weight: np.ndarray, logs: np.ndarray, buckets: int) -> pa.RecordBatch:
+        #: By context, in order of buckets: where its entries start, its number among ``wholes``, hash and bucket.
+        self.starts = np.flatnonzero(new)
+        self.number = order[ranks[new]]
+        self.wholes, self.contexts, self.of = wholes, wholes[self.number], of[self.number]
+        self.size = below.n[self.grams[self.number]]
+        self.below, self.hashes, self.buckets = below, hashes, buckets
+
+    def of_suffix(self, values: np.ndarray) -> np.ndarray:
+        """By entry: the value of the gram without the context's first symbol."""
+        out = np.empty(len(self.symbols), values.dtype)
+        out[self.entry] = values[self.below.at[self.live]]
+        return out
+
+    def ask(self, unit: int, weight: np.ndarray) -> pa.RecordBatch:
         """One row for each bucket."""
-        entries, contexts = len(self.symbols), len(self.contexts)
-        own = weight[self.live]
-        weights = np.bincount(self.entry, own, entries).astype(np.int64)
-        logs = np.bincount(self.context[self.entry], own * logs, contexts)
-        grams = np.bincount(self.context, minlength=contexts).astype(np.int32)
-        of = ((self.contexts >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        cut, starts = np.searchsorted(of, np.arange(buckets + 1, dtype=np.uint64)).tolist(), starts_of(grams)
-        low48 = self.symbols.view(np.uint8).reshape(-1, 8)[:, :6]
+        entries = len(self.symbols)
+        weights = np.bincount(self.entry, weight[self.live], entries).astype(np.int64)
+        share = np.log(np.maximum(self.below.n, 1) / np.maximum(self.below.sizes, 1))
+        logs = np.bincount(self.context, weights * self.of_suffix(share), len(self.contexts))
+        grams = np.bincount(self.context, minlength=len(self.contexts)).astype(np.int32)
+        cut, starts = np.searchsorted(self.of, np.arange(self.buckets + 1, dtype=np.uint64)).tolist(), starts_of(grams)
+        low48 = self.hashes[self.symbols].view(np.uint8).reshape(-1, 8)[:, :6]
         rows = []
-        for b in range(buckets):
+        for b in range(self.buckets):
             x, y = cut[b], cut[b + 1]
             if x < y:
                 i, j = int(starts[x]), int(starts[y])
@@ -132,6 +193,17 @@ class Rung:
         names = ["bucket", "unit", "contexts", "grams", "symbols", "weights", "logs"]
         return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], names=names)
 
+    def counted(self, n: np.ndarray, k: np.ndarray | None) -> Grams:
+        """The grams, given their counts and, if scored, the numbers of symbols of retained contexts."""
+        p = None
+        if k is not None:
+            p, k = self.of_suffix(self.below.p), k[self.context]
+            p = np.where(k > 0, (n + k * p) / (self.size[self.context] + k), p)
+        of = self.grams[self.number][self.context]
+        at = np.full(len(self.below.at), -1, np.int32)
+        at[self.live] = self.entry
+        return Grams(at, mix(self.below.hashes[of] * _M1 + self.hashes[self.symbols]), n, self.size[self.context], p)
+
 
 def _answer(penalty: float) -> Callable[[pa.Table], pa.Table]:
     """Add up a bucket and test its contexts; a context that is not retained has 0 symbols."""
@@ -149,8 +221,9 @@ def _answer(penalty: float) -> Callable[[pa.Table], pa.Table]:
         asked_for = np.concatenate([*contexts, np.zeros(0, np.uint64)])
         first, which = grouped(asked_for)
         known = asked_for[first]
-        of = np.repeat(which, np.concatenate([*grams, np.zeros(0, np.int32)]))
-        first, gram = grouped(mix(known[of] * _M1 + symbol))
+        sizes = np.concatenate([*grams, np.zeros(0, np.int32)])
+        of = np.repeat(which, sizes)
+        first, gram = grouped(mix(np.repeat(asked_for, sizes) * _M1 + symbol))
         n = np.bincount(gram, weight, len(first))
         at = of[first]
         k = np.bincount(at, n > 0, len(known)).astype(np.int64)
@@ -182,8 +255,8 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
     """Blocks of sequences with the probability of each symbol after its longest retained context.
 
     ``units`` has a column ``unit``. ``read`` takes a row of it, and whether it is scored, and gives per position
-    the symbol (a well spread 64-bit number), how many symbols of its sequence stand before it, its weight in
-    training, its training count and its probability without a context; asking for counts needs no
+    the number of its symbol in the row, how many symbols of its sequence stand before it and its weight in
+    training, and per symbol a hash (a well spread 64-bit number), its training count and its probability without a context; asking for counts needs no
     probabilities, so rows that are not scored have none, and ``k`` is null in what they are sent. ``total`` is what all
     training counts add up to, ``positions`` about the number of positions. ``finish`` takes the row
     and the probabilities and gives a batch of ``schema``. ``units`` is read several times; if it is
@@ -199,38 +272,36 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
     roots = [] if root is None else [(0, root)]
     heavy: list[dict[int, tuple[int, float]]] = []
 
-    def state(row: dict, levels: int, heavy: list, scored: bool):
-        """Grams, their counts, those of their contexts and, if ``scored``, probabilities after ``levels`` lengths."""
-        symbols, room, weight, n, p = read(row, scored)
-        gram, p = mix(symbols), p.copy() if scored else None
-        sizes = np.full(len(n), total, np.int64)
+    def state(row: dict, levels: int, heavy: list, scored: bool) -> tuple[Callable[[int, Grams], Rung], np.ndarray, Grams, np.ndarray | None]:
+        """How to make the next rung, the weights, the grams after ``levels`` lengths and, if ``scored``, the probabilities."""
+        ids, room, weight, hashes, n, root = read(row, scored)
+        grams = Grams(ids, mix(hashes), n, np.full(len(n), total), root)
+        p = root[ids] if scored else None
         back: dict[int, list[dict]] = {}
         for b in row["back"]:
             back.setdefault(b["level"], []).append(b)
+
+        def rung_of(level: int, below: Grams) -> Rung:
+            return Rung(level, below, ids, hashes, room, least, hot, buckets)
+
         for level in range(1, levels + 1):
-            rung = Rung(level, gram, n, symbols, room, least, hot)
+            rung = rung_of(level, grams)
             found = sorted(back.get(level, ()), key=lambda b: b["bucket"])
-            counts = np.concatenate([np.zeros(0, np.int64), *(loose(b["n"], np.int64) for b in found)])[rung.entry]
-            if scored:
-                k = np.concatenate([np.zeros(0, np.int64), *(loose(b["k"], np.int64) for b in found)])[rung.context[rung.entry]]
-            if scored and len(rung.split):
-                some, at, back_to = np.unique(rung.whole[rung.split], return_index=True, return_inverse=True)
-                whole = np.zeros(len(some), np.int64)
-                for x, (c, size) in enumerate(zip(some, rung.size[rung.split][at].tolist(), strict=True)):
-                    parts = _salted(np.full(size // hot + 1, c), np.arange(size // hot + 1)).view(np.int64).tolist()
-                    held = [heavy[level - 1][q] for q in parts if q in heavy[level - 1]]
-                    symbols_of = sum(h[0] for h in held)
-                    if sum(h[1] for h in held) - size * math.log(size) > penalty * symbols_of:
-                        whole[x] = symbols_of
-                k[rung.split] = whole[back_to]
+            counts = np.concatenate([np.zeros(0, np.int64), *(loose(b["n"], np.int64) for b in found)])
+            k = np.concatenate([np.zeros(0, np.int64), *(loose(b["k"], np.int64) for b in found)]) if scored else None
+            if scored and rung.splits:
+                symbols_of = np.zeros(len(rung.wholes), np.int64)
+                symbols_of[rung.number] = k
+                for c, first, end in rung.splits:
+                    held = [heavy[level - 1][q] for q in rung.wholes[first:end].view(np.int64).tolist() if q in heavy[level - 1]]
+                    size, whole = int(grams.n[c]), sum(h[0] for h in held)
+                    kept = sum(h[1] for h in held) - size * math.log(size) > penalty * whole
+                    symbols_of[first:end] = whole if kept else 0
+                k = symbols_of[rung.number]
+            grams = rung.counted(counts, k)
             if scored:
-                p[rung.live] = np.where(k > 0, (counts + k * p[rung.live]) / (rung.size + k), p[rung.live])
-            gram = mix(_before(gram) * _M1 + symbols)
-            sizes = np.zeros(len(n), np.int64)
-            sizes[rung.live] = rung.size
-            n = np.zeros(len(n), np.int64)
-            n[rung.live] = counts
-        return symbols, room, weight, gram, n, sizes, p
+                p[rung.live] = grams.p[rung.entry]
+        return rung_of, weight, grams, p
 
     def joined(scored: bool) -> DataFrame:
         out, backs = units, []
@@ -251,10 +322,8 @@ def climb(units: DataFrame, read: Callable, depth: int, total: int, positions: i
     def asking(level: int, heavy: list):
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in rows_of(batches):
-                symbols, room, weight, gram, n, sizes, _ = state(row, level - 1, heavy, False)
-                rung = Rung(level, gram, n, symbols, room, least, hot)
-                at = rung.live
-                yield rung.ask(row["unit"], weight, np.log(np.maximum(n[at], 1) / np.maximum(sizes[at], 1)), buckets)
+                rung_of, weight, grams, _ = state(row, level - 1, heavy, False)
+                yield rung_of(level, grams).ask(row["unit"], weight)
 
         return ask
 

@@ -21,17 +21,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gristmill import scratch
 from gristmill.functions.names import quoted
-from gristmill.llm.blocks import mix, spaced_lower, starts_of, token_blocks, unpack, word_hashes
+from gristmill.llm.blocks import expand, id_type, joined, joined_hashes, mix, parted, spaced_lower, starts_of, token_blocks, word_hashes
 from gristmill.llm.ladder import HOT, LEAST, climb, loose, squeezed
 
 #: Characters of a context.
@@ -78,21 +78,27 @@ class Tree:
         return (own.get(symbol, 0) + weight * rest) / (self.totals.get(context, 0) + weight)
 
 
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Token counts, token numbers and vocabulary of a block, the words still joined."""
+    vocab = expand(row["vocab"])
+    words = vocab.count(b"\n") + 1 if vocab else 0
+    return np.frombuffer(row["lens"], np.int64), np.frombuffer(expand(row["ids"]), id_type(words)), vocab
+
+
 def _distinct(group: pa.Table) -> pa.Table:
     """The distinct words of a bucket with their training counts, ``SPELLED`` to a row."""
-    counts: dict[bytes, int] = {}
-    for words, own in zip(group.column("words"), group.column("counts"), strict=True):
-        for w, n in zip(words.as_py().split(b"\n"), np.frombuffer(own.as_py(), np.int64).tolist(), strict=True):
-            counts[w] = counts.get(w, 0) + n
-    words, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+    coded = parted(group.column("words"))[0].dictionary_encode()
+    counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.int64)
+    n = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(n, coded.indices.to_numpy(zero_copy_only=False), counts)
     bucket = group.column("bucket")[0].as_py() if group.num_rows else 0
-    starts = range(0, len(words), SPELLED)
-    cut = [n[i : i + SPELLED] for i in starts]
+    starts = np.arange(0, len(n), SPELLED)
+    cut = [n[i : i + SPELLED] for i in starts.tolist()]
     return pa.table(
         {
             "unit": pa.array([bucket << 20 | i for i in range(len(cut))], pa.int64()),
             "bucket": pa.array([bucket] * len(cut), pa.int64()),
-            "words": pa.array([b"\n".join(words[i : i + SPELLED]) for i in starts], pa.binary()),
+            "words": joined(coded.dictionary, np.append(starts, len(n))),
             "counts": pa.array([x.tobytes() for x in cut], pa.binary()),
             "known": pa.array([int(x.sum()) for x in cut], pa.int64()),
             "held": pa.array([int((x > 0).sum()) for x in cut], pa.int64()),
@@ -132,10 +138,13 @@ def spellings(words: DataFrame, least: int, whole: Callable[[np.ndarray, np.ndar
 
     def read(row: dict, scored: bool) -> tuple:
         codes, starts, lens, counts = _spelled(row)
-        at = np.minimum(np.searchsorted(code, codes), len(code) - 1)
-        n = np.where(code[at] == codes, seen[at], 0)
+        coded = pa.array(codes).dictionary_encode()
+        found = coded.dictionary.to_numpy()
+        at = np.minimum(np.searchsorted(code, found), len(code) - 1)
+        n = np.where(code[at] == found, seen[at], 0)
         room = np.arange(len(codes)) - np.repeat(starts, lens)
-        return mix(codes.astype(np.uint64) + np.uint64(1)), room, np.repeat(counts, lens), n, (n + kinds * UNIFORM) / (total + kinds) if scored else None
+        hashes = mix(found.astype(np.uint64) + np.uint64(1))
+        return coded.indices.to_numpy(), room, np.repeat(counts, lens), hashes, n, (n + kinds * UNIFORM) / (total + kinds) if scored else None
 
     def finish(row: dict, p: np.ndarray) -> pa.RecordBatch:
         _, starts, _, counts = _spelled(row)
@@ -169,27 +178,30 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     tokens, ends = tokens or 0, ends or 0
     buckets = tokens // BUCKET + 1
 
-    def bucket_of(words: list[bytes]) -> np.ndarray:
-        return (word_hashes(words) % np.uint64(buckets)).astype(np.int64)
+    def dealt_by(hashes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The words of a block by bucket, and where each bucket starts."""
+        of = (hashes % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+        return np.argsort(of, kind="stable"), starts_of(np.bincount(of, minlength=buckets)).tolist()
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                lens, ids, words = unpack(row["lens"], row["ids"], row["vocab"])
-                if not words:
+                lens, ids, vocab = _unpacked(row)
+                if not vocab:
                     continue
+                words = parted(pa.chunked_array([[vocab]], pa.binary()))[0]
                 learned = np.repeat(np.array(row["k_train"], bool), lens)
                 counts = np.bincount(ids[learned], minlength=len(words)).astype(np.int64)
-                order = np.argsort(of := bucket_of(words), kind="stable")
-                cut = starts_of(np.bincount(of, minlength=buckets)).tolist()
+                order, cut = dealt_by(joined_hashes(vocab))
+                words, counts = words.take(pa.array(order)), counts[order]
                 held = [b for b in range(buckets) if cut[b + 1] > cut[b]]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(held, pa.int64()),
                         pa.array([row["unit"]] * len(held), pa.int64()),
-                        pa.array([b"\n".join(map(words.__getitem__, order[cut[b] : cut[b + 1]].tolist())) for b in held], pa.binary()),
-                        pa.array([counts[order[cut[b] : cut[b + 1]]].tobytes() for b in held], pa.binary()),
+                        joined(words, np.array([*map(cut.__getitem__, held), len(words)])),
+                        pa.array([counts[cut[b] : cut[b + 1]].tobytes() for b in held], pa.binary()),
                     ],
                     names=["bucket", "unit", "words", "counts"],
                 )
@@ -212,12 +224,12 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     valued = scratch.materialize(spellings(words, least, smoothed, dealt, used), "spellings", used[1])
 
     def judge(asked: pa.Table, known: pa.Table) -> pa.Table:
-        number: dict[bytes, int] = {}
-        for words in known.column("words"):
-            number.update(zip(words.as_py().split(b"\n"), count(len(number)), strict=False))
         n = np.frombuffer(b"".join(known.column("counts").to_pylist()), np.int64)
         v = np.frombuffer(b"".join(known.column("values").to_pylist()), np.float64)
-        at = [np.fromiter(map(number.__getitem__, w.as_py().split(b"\n")), np.int64) for w in asked.column("words")]
+        words, lens = parted(asked.column("words"))
+        numbers = pc.index_in(words, parted(known.column("words"))[0]).to_numpy(zero_copy_only=False)
+        cut = starts_of(lens).tolist()
+        at = [numbers[i:j] for i, j in zip(cut, cut[1:], strict=False)]
         return pa.table(
             {
                 "unit": asked.column("unit"),
@@ -232,13 +244,12 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
     scratch.release(spark, *used)
     end_score = math.log10((ends + weight * is_end) / (total + weight))
 
-    def spread(row: dict, scored: bool) -> tuple:
-        """Where documents start, their lengths, and per position the symbol, count and, if ``scored``, root's log10; an end after each document."""
-        lens, ids, words = unpack(row["lens"], row["ids"], row["vocab"])
-        h = word_hashes(words)
-        counts, values = np.zeros(len(h), np.int64), np.zeros(len(h))
-        order = np.argsort(of := (h % np.uint64(buckets)).astype(np.int64), kind="stable")
-        cut = starts_of(np.bincount(of, minlength=buckets)).tolist()
+    def read(row: dict, scored: bool) -> tuple:
+        """An end stands after each document; its number is that after all words."""
+        lens, ids, vocab = _unpacked(row)
+        h = joined_hashes(vocab)
+        counts, values = np.full(len(h) + 1, ends), np.full(len(h) + 1, end_score) if scored else None
+        order, cut = dealt_by(h)
         for b in row["back"]:
             if b["level"] == 0:
                 at = order[cut[b["bucket"]] : cut[b["bucket"] + 1]]
@@ -247,27 +258,21 @@ def scores(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_i
                     values[at] = loose(b["k"], np.float32)
         lens = lens + 1
         starts = starts_of(lens)
-        at = np.ones(starts[-1], bool)
-        at[starts[1:] - 1] = False
-        out = []
-        for per_word, end in ((mix(h), END_SYMBOL), (counts, ends), *[(values, end_score)] * scored):
-            x = np.full(len(at), end, per_word.dtype)
-            x[at] = per_word[ids]
-            out.append(x)
-        return starts[:-1], lens, *out, *[None] * (not scored)
-
-    def read(row: dict, scored: bool) -> tuple:
-        starts, lens, symbols, n, root = row["spread"] = spread(row, scored)
-        room = np.arange(len(n)) - np.repeat(starts, lens)
-        weight = np.repeat(np.array(row["k_train"], bool), lens).astype(np.int64)
-        return symbols, room, weight, n, np.maximum(10**root, TINY) if scored else None
+        is_word = np.ones(starts[-1], bool)
+        is_word[starts[1:] - 1] = False
+        numbers = np.full(len(is_word), len(h), np.int32)
+        numbers[is_word] = ids
+        room = np.arange(len(numbers)) - np.repeat(starts[:-1], lens)
+        weight = np.repeat(np.array(row["k_train"], bool), lens)
+        row["spread"] = starts[:-1], lens, numbers, counts, values
+        return numbers, room, weight, np.append(mix(h), END_SYMBOL), counts, np.maximum(10**values, TINY) if scored else None
 
     def finish(row: dict, p: np.ndarray) -> pa.RecordBatch:
-        starts, lens, _, n, root = row.pop("spread")
+        starts, lens, numbers, n, root = row.pop("spread")
         # What was never seen has only weights of contexts, which multiply, so tiny ones are scaled.
-        logs = np.log10(p) + np.minimum(root - math.log10(TINY), 0)
-        base = np.log10(n + 0.1) - math.log10(total + 0.1 * (distinct + 1))
-        sums = [np.add.reduceat(x, starts) if len(starts) else x for x in ((n > 0).astype(np.int64), base, logs)]
+        logs = np.log10(p) + np.minimum(root - math.log10(TINY), 0)[numbers]
+        base = (np.log10(n + 0.1) - math.log10(total + 0.1 * (distinct + 1)))[numbers]
+        sums = [np.add.reduceat(x, starts) if len(starts) else x for x in ((n > 0).astype(np.int64)[numbers], base, logs)]
         keys = pa.array(row["k_key"], pa_kind)
         return pa.RecordBatch.from_arrays([keys, pa.array(row["k_train"], pa.bool_()), pa.array(lens), *map(pa.array, sums)], names=out_names)
 

@@ -38,3 +38,22 @@ def test_asking_works_out_no_probabilities(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a b c a b c a b d" if i % 3 else None) for i in range(30)], "doc_id long, text string")
     rows = suffix_tree.scores(docs, F.col("doc_id") % 10 != 0, least=2).collect()
     assert len(rows) == 30 and all(r["score"] < 0 for r in rows)
+
+
+def test_hashes_are_of_distinct_words(spark, monkeypatch):
+    climb = suffix_tree.climb
+
+    def watched(units, read, *a, **named):
+        def seen(row, scored):
+            out = read(row, scored)
+            hashes, counts = out[3:5]
+            if len(hashes) > 5 or len(counts) > 10:  # four words and the end; with marks, ten characters at most
+                raise ValueError("hashes and counts are for symbols, not for positions")
+            return out
+
+        return climb(units, seen, *a, **named)
+
+    monkeypatch.setattr(suffix_tree, "climb", watched)
+    docs = spark.createDataFrame([(i, "a b c a b c a b d " * 20) for i in range(10)], "doc_id long, text string")
+    rows = suffix_tree.scores(docs, F.col("doc_id") != 0, least=2).collect()
+    assert len(rows) == 10 and len({round(r["score"], 6) for r in rows}) == 1
